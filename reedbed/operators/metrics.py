@@ -114,14 +114,19 @@ def classification_report(df: DataFrame, mapping: ClassMapping | None = None, di
         *[ratio(F.sum(F.col(v) * F.col("support")), n).alias(f"weighted_{v}") for v in values],
     )
     acc = F.col("acc")
+
+    def row(position: int, name: str, cells: list[Column]) -> Column:
+        named = [cell.alias(c) for c, cell in zip((*values, "support"), cells)]
+        return F.struct(F.lit(position).alias("position"), F.lit(name).alias("label"), *named)
+
     rows = F.array(
-        F.struct(F.lit(1_000_000), F.lit("accuracy"), acc, acc, acc, acc),
+        row(1_000_000, "accuracy", [acc] * 4),
         *[
-            F.struct(F.lit(1_000_001 + i), F.lit(f"{kind} avg"), *[F.col(f"{kind}_{v}") for v in values], F.col("n"))
+            row(1_000_001 + i, f"{kind} avg", [*[F.col(f"{kind}_{v}") for v in values], F.col("n")])
             for i, kind in enumerate(("macro", "weighted"))
         ],
     )
-    summary = sums.select(F.inline(rows).alias("position", "label", *values, "support"))
+    summary = sums.select(F.inline(rows))
     both = per_class.unionByName(summary)
     return both.select("position", "label", *[half_even(F.col(c), digits).alias(c) for c in (*values, "support")]).orderBy("position")
 

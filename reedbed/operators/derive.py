@@ -18,7 +18,9 @@ TIME_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "d MMM yyyy H:mm:ss", "d MM
 
 
 def parse_capture_time(df: DataFrame, col: str = "capture_time", formats: Sequence[str] = TIME_FORMATS) -> DataFrame:
-    """Text to wall-clock time; a zone suffix is dropped, bad text gives null."""
+    """Text to wall-clock time; a zone suffix is dropped, bad text gives null. A time stays as it is."""
+    if dict(df.dtypes)[col] == "timestamp_ntz":
+        return df
     text = F.trim(F.col(col).cast("string"))
     parsed = [text.try_cast("timestamp_ntz")]
     parsed += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
@@ -26,7 +28,7 @@ def parse_capture_time(df: DataFrame, col: str = "capture_time", formats: Sequen
 
 
 def sort_species(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.array_sort(c) for c in ("validated_frog_names", "validated_frog_ids")})
+    return df.withColumns({c: F.sort_array(c) for c in ("validated_frog_names", "validated_frog_ids")})
 
 
 def temporal_features(df: DataFrame) -> DataFrame:
@@ -151,8 +153,8 @@ def dashboard_columns(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     derived = df.transform(species_count_features).transform(first_species).transform(includes_target, targets)
     return derived.transform(parse_capture_time).withColumns(
         {
-            "sorted_species_names": F.array_sort("validated_frog_names"),
-            "sorted_species_ids": F.array_sort("validated_frog_ids"),
+            "sorted_species_names": F.sort_array("validated_frog_names"),
+            "sorted_species_ids": F.sort_array("validated_frog_ids"),
         }
     )
 

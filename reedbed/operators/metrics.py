@@ -160,12 +160,17 @@ def _score_points(df: DataFrame) -> DataFrame:
     return running_totals(points, ["class_label"], "score", ["pos", "neg"], value_cuts(scores, "score"), descending=True)
 
 
-def roc_auc_per_class(df: DataFrame) -> DataFrame:
-    """One-vs-rest AUC by counting ordered pairs, half for ties; null for a one-sided class."""
+def _roc_auc(points: DataFrame) -> DataFrame:
     above = F.col("pos_run") - F.col("pos")
     wins = F.sum(F.col("neg").cast("double") * (above.cast("double") + F.col("pos") / F.lit(2.0)))
     pairs = F.max("pos_total").cast("double") * F.max("neg_total").cast("double")
-    return _score_points(df).groupBy("class_label").agg(ratio(wins, pairs).alias("roc_auc"))
+    return points.groupBy("class_label").agg(ratio(wins, pairs).alias("roc_auc"))
+
+
+def _average_precision(points: DataFrame) -> DataFrame:
+    precision = ratio(F.col("pos_run"), F.col("pos_run") + F.col("neg_run"))
+    area = F.sum(F.col("pos") * precision)
+    return points.groupBy("class_label").agg(ratio(area, F.max("pos_total")).alias("pr_auc"))
 
 
 def _mean_or_null(per_class: DataFrame, col: str, out: str) -> DataFrame:
@@ -173,6 +178,48 @@ def _mean_or_null(per_class: DataFrame, col: str, out: str) -> DataFrame:
     return per_class.agg(F.when(all_known, F.avg(col)).alias(out))
 
 
+def _curve(points: DataFrame, x: str, y: str, cols: dict[str, Column], start: dict[str, float]) -> DataFrame:
+    """Curve of the classes with true rows; each class also gets its point before the first threshold (null)."""
+    seen = points.filter("pos_total > 0")
+    curve = seen.select("class_label", F.col("score").alias("threshold"), *[cols[c].alias(c) for c in (x, y)])
+    first = seen.select("class_label").distinct().select(
+        "class_label", F.lit(None).cast("double").alias("threshold"), *[F.lit(start[c]).alias(c) for c in (x, y)]
+    )
+    return curve.unionByName(first)
+
+
+def _roc_curve(points: DataFrame) -> DataFrame:
+    rates = {
+        "fpr": ratio(F.col("neg_run"), F.col("neg_total")),
+        "tpr": ratio(F.col("pos_run"), F.col("pos_total")),
+    }
+    return _curve(points, "fpr", "tpr", rates, {"fpr": 0.0, "tpr": 0.0})
+
+
+def _pr_curve(points: DataFrame) -> DataFrame:
+    rates = {
+        "precision": ratio(F.col("pos_run"), F.col("pos_run") + F.col("neg_run")),
+        "recall": ratio(F.col("pos_run"), F.col("pos_total")),
+    }
+    return _curve(points, "precision", "recall", rates, {"precision": 1.0, "recall": 0.0})
+
+
+def _pr_trapezoid(points: DataFrame) -> DataFrame:
+    # The point before follows from the running sums, so no row looks at its neighbour.
+    pos_before = F.col("pos_run") - F.col("pos")
+    neg_before = F.col("neg_run") - F.col("neg")
+    here = ratio(F.col("pos_run"), F.col("pos_run") + F.col("neg_run"))
+    before = F.coalesce(ratio(pos_before, pos_before + neg_before), F.lit(1.0))
+    area = F.sum(F.col("pos") * (here + before) / 2)
+    seen = points.filter("pos_total > 0")
+    return seen.groupBy("class_label").agg(ratio(area, F.max("pos_total")).alias("pr_auc_trapezoid"))
+
+
+def roc_auc_per_class(df: DataFrame) -> DataFrame:
+    """One-vs-rest AUC by counting ordered pairs, half for ties; null for a one-sided class."""
+    return _roc_auc(_score_points(df))
+
+
 def roc_auc_macro(df: DataFrame) -> DataFrame:
     """Mean AUC; null as soon as one class has none."""
     return _mean_or_null(roc_auc_per_class(df), "roc_auc", "roc_auc_macro")
@@ -180,57 +227,26 @@ def roc_auc_macro(df: DataFrame) -> DataFrame:
 
 def average_precision_per_class(df: DataFrame) -> DataFrame:
     """Sum of precision times the step in recall; null without positives."""
-    precision = ratio(F.col("pos_run"), F.col("pos_run") + F.col("neg_run"))
-    area = F.sum(F.col("pos") * precision)
-    return _score_points(df).groupBy("class_label").agg(ratio(area, F.max("pos_total")).alias("pr_auc"))
+    return _average_precision(_score_points(df))
 
 
 def average_precision_macro(df: DataFrame) -> DataFrame:
     return _mean_or_null(average_precision_per_class(df), "pr_auc", "pr_auc_macro")
 
 
-def _with_start(curve: DataFrame, x: str, y: str, x0: float, y0: float) -> DataFrame:
-    """Add the point before the first threshold (null) to every class."""
-    start = curve.select("class_label").distinct().select(
-        "class_label", F.lit(None).cast("double").alias("threshold"), F.lit(x0).alias(x), F.lit(y0).alias(y)
-    )
-    return curve.unionByName(start)
-
-
 def roc_curve(df: DataFrame) -> DataFrame:
     """``(threshold, fpr, tpr)`` at every distinct score of the classes with true rows, and the origin."""
-    points = _score_points(df).filter("pos_total > 0").select(
-        "class_label",
-        F.col("score").alias("threshold"),
-        ratio(F.col("neg_run"), F.col("neg_total")).alias("fpr"),
-        ratio(F.col("pos_run"), F.col("pos_total")).alias("tpr"),
-    )
-    return _with_start(points, "fpr", "tpr", 0.0, 0.0)
+    return _roc_curve(_score_points(df))
 
 
 def pr_curve(df: DataFrame) -> DataFrame:
     """``(threshold, precision, recall)`` likewise; the extra point is recall 0, precision 1."""
-    points = _score_points(df).filter("pos_total > 0").select(
-        "class_label",
-        F.col("score").alias("threshold"),
-        ratio(F.col("pos_run"), F.col("pos_run") + F.col("neg_run")).alias("precision"),
-        ratio(F.col("pos_run"), F.col("pos_total")).alias("recall"),
-    )
-    return _with_start(points, "precision", "recall", 1.0, 0.0)
+    return _pr_curve(_score_points(df))
 
 
 def pr_auc_trapezoid(df: DataFrame) -> DataFrame:
-    """Trapezoid area below the precision-recall curve; not the same as average precision.
-
-    The point before is known from the running sums, so no row looks at its neighbour.
-    """
-    pos_before = F.col("pos_run") - F.col("pos")
-    neg_before = F.col("neg_run") - F.col("neg")
-    here = ratio(F.col("pos_run"), F.col("pos_run") + F.col("neg_run"))
-    before = F.coalesce(ratio(pos_before, pos_before + neg_before), F.lit(1.0))
-    area = F.sum(F.col("pos") * (here + before) / 2)
-    points = _score_points(df).filter("pos_total > 0")
-    return points.groupBy("class_label").agg(ratio(area, F.max("pos_total")).alias("pr_auc_trapezoid"))
+    """Trapezoid area below the precision-recall curve; not the same as average precision."""
+    return _pr_trapezoid(_score_points(df))
 
 
 def top_k_accuracy(df: DataFrame, k: int = 3) -> DataFrame:
@@ -244,13 +260,18 @@ def top_k_accuracy(df: DataFrame, k: int = 3) -> DataFrame:
 
 
 def evaluate(chunks: DataFrame, mapping: ClassMapping, settings: EvaluationSettings) -> dict[str, DataFrame]:
-    """Pool chunks and compute all metric frames; the pooled frame is written once and shared."""
+    """Pool chunks and compute all metric frames.
+
+    The pooled frame and its score points are written once and shared by the frames.
+    """
     pooled = materialize(
         recording_predictions(
             chunks, mapping, settings.n_classes, settings.pooling, settings.k, settings.confidence_threshold, settings.legacy_eval
         ),
         "pooled",
     )
+    points = materialize(_score_points(pooled), "score-points")
+    roc_auc, average_precision = _roc_auc(points), _average_precision(points)
     return {
         "recording_predictions": pooled,
         "confusion_counts": confusion_counts(pooled),
@@ -258,12 +279,12 @@ def evaluate(chunks: DataFrame, mapping: ClassMapping, settings: EvaluationSetti
         "per_class_metrics": per_class_metrics(pooled, mapping),
         "global_metrics": global_metrics(pooled),
         "classification_report": classification_report(pooled, mapping),
-        "roc_auc_per_class": roc_auc_per_class(pooled),
-        "roc_auc_macro": roc_auc_macro(pooled),
-        "average_precision_per_class": average_precision_per_class(pooled),
-        "average_precision_macro": average_precision_macro(pooled),
-        "roc_curve": roc_curve(pooled),
-        "pr_curve": pr_curve(pooled),
-        "pr_auc_trapezoid": pr_auc_trapezoid(pooled),
+        "roc_auc_per_class": roc_auc,
+        "roc_auc_macro": _mean_or_null(roc_auc, "roc_auc", "roc_auc_macro"),
+        "average_precision_per_class": average_precision,
+        "average_precision_macro": _mean_or_null(average_precision, "pr_auc", "pr_auc_macro"),
+        "roc_curve": _roc_curve(points),
+        "pr_curve": _pr_curve(points),
+        "pr_auc_trapezoid": _pr_trapezoid(points),
         "top_k_accuracy": top_k_accuracy(pooled, settings.k),
     }

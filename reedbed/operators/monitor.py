@@ -13,7 +13,7 @@ def rmse() -> Column:
 
 def daily_metric(preds: DataFrame) -> DataFrame:
     """RMSE and number of predictions per model and day."""
-    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    day = F.to_date("ts").cast("timestamp_ntz")
     return preds.groupBy(day.alias("day"), "model_id").agg(rmse(), F.count(F.lit(1)).alias("num_predictions"))
 
 

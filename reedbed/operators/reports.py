@@ -15,6 +15,7 @@ from reedbed.functions.columns import half_even, only, percent, ratio
 from reedbed.functions.ordering import running_totals, value_cuts
 from reedbed.operators.clean import keep_condition
 from reedbed.operators.derive import dashboard_columns
+from reedbed.session import materialize
 
 # Fixed values.
 MONTH_NAMES = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
@@ -36,19 +37,28 @@ def _not_null(cols: Sequence[str]) -> Column:
     return cond
 
 
+def _by_group_and_species(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows and occurrences per (group, species) in one pass; a row counts at its first species."""
+    spread = df.select(*by, "is_multi_species", F.posexplode_outer("species_names").alias("_pos", "_species"))
+    first = F.coalesce(F.col("_pos") == 0, F.lit(True))
+    return spread.groupBy(*by, "_species").agg(
+        F.count_if(first & ~F.col("is_multi_species")).alias("single_species"),
+        F.count_if(first & F.col("is_multi_species")).alias("multi_species"),
+    )
+
+
+def _group_sums(table: DataFrame, by: Sequence[str], count_col: str) -> DataFrame:
+    sums = table.filter(_not_null(by)).groupBy(*by).agg(
+        F.count("_species").alias("unique_species"),
+        F.sum("single_species").alias("single_species"),
+        F.sum("multi_species").alias("multi_species"),
+    )
+    return sums.withColumn(count_col, F.col("single_species") + F.col("multi_species"))
+
+
 def grouped_distribution(df: DataFrame, by: Sequence[str], count_col: str = "total") -> DataFrame:
     """Per group: unique species, single- and multi-species rows, all rows. Null keys drop out."""
-    keyed = df.filter(_not_null(by))
-    rows = keyed.groupBy(*by).agg(
-        F.count_if(~F.col("is_multi_species")).alias("single_species"),
-        F.count_if(F.col("is_multi_species")).alias("multi_species"),
-    )
-    species = keyed.select(*by, F.explode("species_names").alias("_s"))
-    unique = species.groupBy(*by).agg(F.count_distinct("_s").alias("unique_species"))
-    joined = rows.join(unique, list(by), "left").withColumn(count_col, F.col("single_species") + F.col("multi_species"))
-    # A group whose lists are all empty has no exploded row, and so 0 species.
-    joined = joined.withColumn("unique_species", F.coalesce("unique_species", F.lit(0)))
-    return joined.select(*by, "unique_species", "single_species", "multi_species", count_col).orderBy(*by)
+    return _group_sums(_by_group_and_species(df, by), by, count_col).orderBy(*by)
 
 
 def grouped_distribution_total(df: DataFrame, by: Sequence[str], count_col: str = "total") -> DataFrame:
@@ -56,8 +66,9 @@ def grouped_distribution_total(df: DataFrame, by: Sequence[str], count_col: str
 
     Counts of the TOTAL row cover the shown groups; its unique species cover all of ``df``.
     """
-    groups = grouped_distribution(df, by, count_col)
-    unique = df.select(F.explode("species_names").alias("_s")).agg(F.count_distinct("_s").alias("n"))
+    table = _by_group_and_species(df, by)
+    groups = _group_sums(table, by, count_col)
+    unique = table.agg(F.count_distinct("_species").alias("n"))
     sums = groups.groupingSets([list(map(F.col, by)), []], *by).agg(
         F.grouping_id().alias("_gid"),
         *[F.sum(c).alias(c) for c in ("unique_species", "single_species", "multi_species", count_col)],
@@ -176,7 +187,7 @@ def mean_species_count(df: DataFrame) -> DataFrame:
 def species_pairs(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     """One row per two-species recording: the pair, its targets and its kind."""
     names = F.col("sorted_species_names")
-    found = F.array_sort(F.array_intersect(names, F.array(*[F.lit(t) for t in targets])))
+    found = F.sort_array(F.array_intersect(names, F.array(*[F.lit(t) for t in targets])))
     pairs = df.filter(F.col("species_count") == 2).select(
         "id",
         F.try_element_at(names, F.lit(1)).alias("species_1"),
@@ -330,8 +341,8 @@ def describe_by_species(df: DataFrame, col: str, by: str = "species_name") -> Da
         F.min("_x").alias("min"),
         F.max("_x").alias("max"),
     )
-    counts = known.groupBy(by, "_x").agg(_rows().alias("_n"))
-    ranked = running_totals(counts, [by], "_x", ["_n"], value_cuts(known, "_x"), descending=False)
+    counts = materialize(known.groupBy(by, "_x").agg(_rows().alias("_n")), "value-counts")
+    ranked = running_totals(counts, [by], "_x", ["_n"], value_cuts(counts, "_x"), descending=False)
 
     def at_rank(rank: Column) -> Column:
         """Value at a 0-based rank."""

@@ -18,6 +18,7 @@ from reedbed.session import materialize
 
 LABEL = "class_label_single"
 DRAWS_PER_TASK_ROW = 100_000
+MANY_LABELS = 10_000
 
 
 def _target_pool(df: DataFrame) -> DataFrame:
@@ -88,7 +89,8 @@ def sample_other_stratified(df: DataFrame, size: int, seed: int = 42) -> DataFra
     if size <= 0:
         return df.limit(0)
     pool = _other_pool(df)
-    narrow = materialize(pool.select("id", "species_names", hash_key("id", seed).alias("_key")), "other-pool")
+    key = hash_key("id", seed)  # cheaper to compute again than to store
+    narrow = materialize(pool.select("id", "species_names"), "other-pool").withColumn("_key", key)
     groups = narrow.agg(F.count_distinct("species_names").alias("n")).scalar()
     share = F.when(groups > 0, F.greatest(F.lit(1).cast("bigint"), F.floor(F.lit(size) / groups)))
     even = materialize(take_by_hash(narrow, ["species_names"], "_key", share).select("id"), "other-share")
@@ -175,13 +177,18 @@ def _with_quota(ids: DataFrame, wanted: Column, stratify: bool) -> DataFrame:
         F.when(split, F.concat(F.lit("c"), F.coalesce(F.col("label").cast("string"), F.lit("")))).otherwise("all").alias("_stratum"),
         F.when(split, quota).otherwise(F.col("_wanted")).alias("_quota"),
     )
-    return ids.join(quotas, F.col("label").eqNullSafe(F.col("_label"))).drop("_label")
+    # A class may hold most ids, so a join by label must not shuffle. With more labels
+    # than a class list ever has, labels are spread enough to do it.
+    few = ids.select("label").distinct().limit(MANY_LABELS + 1).count() <= MANY_LABELS
+    by_label = F.col("label").eqNullSafe(F.col("_label"))
+    return ids.join(F.broadcast(quotas) if few else quotas, by_label).drop("_label")
 
 
-def _assign(ids: DataFrame, wanted: Column, stratify: bool) -> DataFrame:
-    """Mark the wanted number of ids with ``_chosen``; written once for the next step."""
-    ranked = rank_by_hash(_with_quota(ids, wanted, stratify), ["_stratum"], "_key", "_rank")
-    return ranked.select("id", "label", "_key", (F.col("_rank") <= F.col("_quota")).alias("_chosen"))
+def _assign(ids: DataFrame, wanted: Column, stratify: bool, seed: int) -> DataFrame:
+    """Mark the wanted number of ids with ``_chosen``."""
+    keyed = _with_quota(ids, wanted, stratify).withColumn("_key", hash_key("id", seed))
+    ranked = rank_by_hash(keyed, ["_stratum"], "_key", "_rank")
+    return ranked.select("id", "label", (F.col("_rank") <= F.col("_quota")).alias("_chosen"))
 
 
 def split_ids(
@@ -193,11 +200,11 @@ def split_ids(
     The label of an id is that of its first row by ``order_col``.
     """
     named = df.groupBy(F.col(id_col).alias("id")).agg(F.min_by(label_col, order_col).alias("label"))
-    ids = materialize(named.withColumn("_key", hash_key("id", seed)), "split-ids")
+    ids = materialize(named, "split-ids")
     n = ids.agg(F.count(F.lit(1))).scalar()
-    tested = materialize(_assign(ids, F.floor(n * F.lit(float(test))), stratify), "split-test")
-    rest = tested.filter(~F.col("_chosen")).select("id", "label", "_key")
-    valued = _assign(rest, F.floor(n * F.lit(float(val))), stratify)
+    tested = materialize(_assign(ids, F.floor(n * F.lit(float(test))), stratify, seed), "split-test")
+    rest = tested.filter(~F.col("_chosen")).select("id", "label")
+    valued = _assign(rest, F.floor(n * F.lit(float(val))), stratify, seed)
     return tested.filter("_chosen").select("id", F.lit("test").alias("split")).unionByName(
         valued.select("id", F.when(F.col("_chosen"), "val").otherwise("train").alias("split"))
     )

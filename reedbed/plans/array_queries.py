@@ -10,16 +10,16 @@ from reedbed.plans import sql as q
 from reedbed.plans.registry import query
 from reedbed.session import materialize
 
-_WAVES = "waves AS (SELECT vec_id AS id, embedding[1:(vec_id % 64) + 1] AS y FROM embeddings)"
+_WAVES = "waves AS (SELECT vec_id AS id, list_filter(embedding, lambda x: x > 0) AS y FROM embeddings)"
 _ZEROS = "list_transform(range({n}), lambda i: CAST(0 AS FLOAT))"
 
 
 @query(
     "frame_single",
-    f"""WITH {_WAVES} SELECT id, {q.decimals(f"list_concat(y, {_ZEROS.format(n=40)})[1:40]")} AS y FROM waves""",
+    f"""WITH {_WAVES} SELECT id, {q.decimals(f"list_concat(y, {_ZEROS.format(n=32)})[1:32]")} AS y FROM waves""",
 )
 def _(spark, sf_dir):
-    return arrays.frame_single(fx.waveforms(spark, sf_dir), 40)
+    return arrays.frame_single(fx.waveforms(spark, sf_dir), 32)
 
 
 def _frames_sql(n: int, hop: int, limit: str, chunks: int) -> str:
@@ -31,13 +31,13 @@ def _frames_sql(n: int, hop: int, limit: str, chunks: int) -> str:
 
 @query(
     "frame_sliding",
-    f"""WITH {_WAVES} SELECT 'plain' AS setting, * FROM ({_frames_sql(24, 16, 'len(y)', 64)})
-    UNION ALL SELECT 'limited', * FROM ({_frames_sql(10, 12, 'least(len(y), 45)', 3)})""",
+    f"""WITH {_WAVES} SELECT 'plain' AS setting, * FROM ({_frames_sql(12, 8, 'len(y)', 64)})
+    UNION ALL SELECT 'limited', * FROM ({_frames_sql(5, 7, 'least(len(y), 30)', 4)})""",
 )
 def _(spark, sf_dir):
     waves = fx.waveforms(spark, sf_dir)
-    plain = arrays.frame_sliding(waves, 24, 16).withColumn("setting", F.lit("plain"))
-    limited = arrays.frame_sliding(waves, 10, 12, max_samples=45, max_chunks=3).withColumn("setting", F.lit("limited"))
+    plain = arrays.frame_sliding(waves, 12, 8).withColumn("setting", F.lit("plain"))
+    limited = arrays.frame_sliding(waves, 5, 7, max_samples=30, max_chunks=4).withColumn("setting", F.lit("limited"))
     return plain.unionByName(limited).select("setting", "id", "chunk_index", "y")
 
 
@@ -101,18 +101,18 @@ def _(spark, sf_dir):
 
 
 def _signal_features(row):
-    """Peak, trough and length of a signal; a signal of one sample is refused."""
+    """Peak, trough and length of a signal; a short signal is refused."""
     y = row["y"]
-    if len(y) < 2:
+    if len(y) < 28:
         raise ValueError("signal too short")
     return [max(y), min(y), len(y)]
 
 
 @query(
     "extract_features",
-    f"""WITH {_WAVES} SELECT id, CASE WHEN len(y) >= 2 THEN CAST(0 AS INTEGER) END AS chunk_index,
-    CASE WHEN len(y) >= 2 THEN {q.decimals('[CAST(list_max(y) AS DOUBLE), list_min(y), len(y)]')} END AS features,
-    CASE WHEN len(y) < 2 THEN 'ValueError: signal too short' END AS error FROM waves""",
+    f"""WITH {_WAVES} SELECT id, CASE WHEN len(y) >= 28 THEN CAST(0 AS INTEGER) END AS chunk_index,
+    CASE WHEN len(y) >= 28 THEN {q.decimals('[CAST(list_max(y) AS DOUBLE), list_min(y), len(y)]')} END AS features,
+    CASE WHEN len(y) < 28 THEN 'ValueError: signal too short' END AS error FROM waves""",
 )
 def _(spark, sf_dir):
     return arrays.extract_features(fx.waveforms(spark, sf_dir), arrays.per_row_extractor(_signal_features))
@@ -120,11 +120,11 @@ def _(spark, sf_dir):
 
 @query(
     "preprocessing_summary",
-    f"""WITH {_WAVES} SELECT count(*) AS total_input, count(*) FILTER (WHERE len(y) < 2) AS failed_count,
-    count(*) FILTER (WHERE id % 5 = 0) AS skipped_cached_count, count(*) FILTER (WHERE len(y) >= 2) AS final_output FROM waves""",
+    f"""WITH {_WAVES} SELECT count(*) AS total_input, count(*) FILTER (WHERE len(y) < 28) AS failed_count,
+    count(*) FILTER (WHERE len(y) > 36) AS skipped_cached_count, count(*) FILTER (WHERE len(y) >= 28) AS final_output FROM waves""",
 )
 def _(spark, sf_dir):
     waves = fx.waveforms(spark, sf_dir)
     found = materialize(arrays.extract_features(waves, arrays.per_row_extractor(_signal_features)), "extracted")
     good, failed = arrays.split_failures(found)
-    return arrays.preprocessing_summary(waves, good, failed, waves.filter("id % 5 = 0"))
+    return arrays.preprocessing_summary(waves, good, failed, waves.filter("size(y) > 36"))

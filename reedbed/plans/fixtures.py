@@ -79,14 +79,23 @@ def report_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Modelling ids by the last digit of the order key; 9 is left unused."""
-    digit = F.col("o_orderkey") % 10
-    split = F.when(digit <= 6, "train").when(digit == 7, "val").when(digit == 8, "test")
+    """Modelling ids, split by order priority; low-priority orders are left unused."""
+    priority = F.col("o_orderpriority")
+    split = (
+        F.when(priority == "3-MEDIUM", "val").when(priority == "4-NOT SPECIFIED", "test").when(priority != "5-LOW", "train")
+    )
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), split.alias("split")).filter("split IS NOT NULL")
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").filter("o_orderkey % 4 <> 0").select(F.col("o_orderkey").alias("id"))
+    """Recordings whose audio is at hand: all but the urgent ones."""
+    return table(spark, sf_dir, "orders").filter("o_orderpriority <> '1-URGENT'").select(F.col("o_orderkey").alias("id"))
+
+
+def failed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings that were tried and did not arrive: the dear ones among the urgent."""
+    dear = "o_orderpriority = '1-URGENT' AND o_totalprice > 250000"
+    return table(spark, sf_dir, "orders").filter(dear).select(F.col("o_orderkey").alias("id"))
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +104,7 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     Row by row, so it needs no order over a whole label. Chunk indexes have gaps.
     """
     return table(spark, sf_dir, "embeddings").select(
-        (F.floor(F.col("vec_id") / 50) * 10 + F.col("label")).alias("recording_id"),
+        (F.expr("vec_id div 50") * 10 + F.col("label")).alias("recording_id"),
         (F.col("vec_id") % 50).cast("int").alias("chunk_index"),
         F.col("label").alias("y_true"),
         "embedding",
@@ -127,12 +136,13 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("y_true").alias("class_label"),
         F.concat(F.lit("sp"), F.col("y_true").cast("string")).alias("species_name"),
         "vec_id",
+        (F.col("embedding")[0] > 0).alias("is_held"),
     )
 
 
 def embedding_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two thirds of the chunks in the store's layout."""
-    return to_store_rows(features(spark, sf_dir).filter("vec_id % 3 <> 0"), SETTINGS)
+    """The chunks already held, by the sign of their first component, in the store's layout."""
+    return to_store_rows(features(spark, sf_dir).filter("is_held"), SETTINGS)
 
 
 def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,6 +185,6 @@ def test_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def waveforms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signals of 1 to 64 samples."""
-    length = (F.col("vec_id") % 64 + 1).cast("int")
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.slice("embedding", 1, length).alias("y"))
+    """Signals of unequal length: the positive components of each embedding."""
+    positive = F.filter("embedding", lambda x: x > 0)
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), positive.alias("y"))

@@ -76,21 +76,21 @@ def _store_columns(df):
 
 @query("write_embeddings", f"WITH {q.FEATURES} SELECT {_STORED} FROM features")
 def _(spark, sf_dir):
-    """Half of the recordings first, then all: the second write adds the other half only."""
+    """The first classes, then all: the second write adds the others only."""
     path, rows = scratch_dir(spark, "embeddings"), fx.features(spark, sf_dir)
-    embeddings.write_embeddings(rows.filter("id % 2 = 0"), path, fx.SETTINGS)
+    embeddings.write_embeddings(rows.filter("class_label < 5"), path, fx.SETTINGS)
     embeddings.write_embeddings(rows, path, fx.SETTINGS)
     return _store_columns(embeddings.read_store(spark, path))
 
 
 @query(
     "read_embeddings",
-    f"""WITH {q.STORE}, wanted AS (SELECT DISTINCT id, class_label FROM features WHERE id % 2 = 0)
+    f"""WITH {q.STORE}, wanted AS (SELECT DISTINCT id, class_label FROM features)
     SELECT w.id, w.class_label, s.chunk_index, s.species_name AS stored_species_name, CAST(len(s.embedding) AS INTEGER) AS width
     FROM wanted w JOIN store s ON s.audio_id = CAST(w.id AS VARCHAR)""",
 )
 def _(spark, sf_dir):
-    wanted = fx.features(spark, sf_dir).filter("id % 2 = 0").select("id", "class_label").distinct()
+    wanted = fx.features(spark, sf_dir).select("id", "class_label").distinct()
     rows = embeddings.read_embeddings(wanted, fx.embedding_store(spark, sf_dir), fx.SETTINGS)
     return rows.withColumn("width", F.size("features")).drop("features")
 
@@ -102,14 +102,14 @@ def _(spark, sf_dir):
 
 @query(
     "read_eval_artifacts",
-    f"""WITH {q.ERRORS} SELECT id, pred_class, ({q.M})[pred_class + 1] AS predicted_species FROM errs WHERE id % 2 = 0""",
+    f"""WITH {q.ERRORS} SELECT id, pred_class, ({q.M})[pred_class + 1] AS predicted_species FROM errs WHERE actual_class < 5""",
 )
 def _(spark, sf_dir):
     path, rows = scratch_dir(spark, "evaluation"), fx.errors(spark, sf_dir)
     mapping = spark.createDataFrame(list(enumerate(fx.MAPPING.species)), "class_label int, species_name string")
     rows.write.parquet(f"{path}/predictions")
     mapping.write.parquet(f"{path}/class_mapping")
-    rows.filter("id % 2 = 0").select("id").write.parquet(f"{path}/test_ids")
+    rows.filter("actual_class < 5").select("id").write.parquet(f"{path}/test_ids")
     found = artifacts.read_eval_artifacts(spark, path)
     names = found["class_mapping"].select(F.col("class_label").alias("pred_class"), F.col("species_name").alias("predicted_species"))
     tested = found["predictions"].join(found["test_ids"], "id", "left_semi")
@@ -119,17 +119,17 @@ def _(spark, sf_dir):
 @query(
     "incremental_features",
     f"""WITH {q.FEATURES} SELECT id, chunk_index, class_label, species_name,
-    CASE WHEN vec_id % 3 <> 0 THEN 'hit' ELSE 'to_do' END AS status FROM features""",
+    CASE WHEN is_held THEN 'hit' ELSE 'to_do' END AS status FROM features""",
 )
 def _(spark, sf_dir):
     rows = fx.features(spark, sf_dir)
-    held = rows.filter("vec_id % 3 <> 0").select("id", "chunk_index", "features")
+    held = rows.filter("is_held").select("id", "chunk_index", "features")
     hits, to_do, _ = embeddings.incremental_features(rows.drop("features", "vec_id"), held)
     both = hits.drop("features").withColumn("status", F.lit("hit")).unionByName(to_do.withColumn("status", F.lit("to_do")))
     return both.select("id", "chunk_index", "class_label", "species_name", "status")
 
 
-@query("scan_audio_inventory", "SELECT s_suppkey AS id FROM supplier WHERE s_suppkey % 5 <> 0 AND s_suppkey % 7 <> 0")
+@query("scan_audio_inventory", "SELECT s_suppkey AS id FROM supplier WHERE s_acctbal >= 0 AND s_nationkey > 3")
 def _(spark, sf_dir):
     """One small audio file per supplier is written by the tasks, some under names that do not count."""
     folder = scratch_dir(spark, "audio")
@@ -146,8 +146,8 @@ def _(spark, sf_dir):
             yield batch.assign(written=1)[["written"]]
 
     key = F.col("s_suppkey")
-    stem = F.when(key % 5 == 0, F.concat(F.lit("rec_"), key.cast("string"))).otherwise(key.cast("string"))
-    extension = F.when(key % 7 == 0, ".txt").otherwise(".wav")
+    stem = F.when(F.col("s_acctbal") < 0, F.concat(F.lit("rec_"), key.cast("string"))).otherwise(key.cast("string"))
+    extension = F.when(F.col("s_nationkey") <= 3, ".txt").otherwise(".wav")
     names = fx.table(spark, sf_dir, "supplier").select(F.concat(stem, extension).alias("name"))
     names.mapInPandas(write_files, "written int").count()
     return artifacts.scan_audio_inventory(spark, folder, "wav")
@@ -155,13 +155,13 @@ def _(spark, sf_dir):
 
 @query(
     "retain_features",
-    f"""WITH {q.FEATURES} SELECT id, chunk_index, CASE WHEN vec_id % 4 <> 0 THEN 'npz' ELSE 'pkl' END AS format,
-    CASE WHEN id % 2 = 0 AND vec_id % 4 <> 0 THEN 'kept' ELSE 'removed' END AS status FROM features""",
+    f"""WITH {q.FEATURES} SELECT id, chunk_index, CASE WHEN is_held THEN 'npz' ELSE 'pkl' END AS format,
+    CASE WHEN class_label < 5 AND is_held THEN 'kept' ELSE 'removed' END AS status FROM features""",
 )
 def _(spark, sf_dir):
-    kind = F.when(F.col("vec_id") % 4 != 0, "npz").otherwise("pkl")
+    kind = F.when(F.col("is_held"), "npz").otherwise("pkl")
     rows = fx.features(spark, sf_dir).withColumn("format", kind)
-    kept, removed = embeddings.retain_features(rows, rows.filter("id % 2 = 0").select("id"), ["npz"])
+    kept, removed = embeddings.retain_features(rows, rows.filter("class_label < 5").select("id"), ["npz"])
     both = kept.withColumn("status", F.lit("kept")).unionByName(removed.withColumn("status", F.lit("removed")))
     return both.select("id", "chunk_index", "format", "status")
 

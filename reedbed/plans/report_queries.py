@@ -40,24 +40,19 @@ def _(spark, sf_dir):
     return found.select("id", F.lit("available").alias("status")).union(missing.select("id", F.lit("missing").alias("status")))
 
 
-def _failed(spark, sf_dir):
-    """Ids that were tried and did not arrive."""
-    return fx.table(spark, sf_dir, "orders").filter("o_orderkey % 8 = 0").select(F.col("o_orderkey").alias("id"))
-
-
-@query("drop_missing_audio", f"WITH {q.cleaned()} SELECT id, state FROM cleaned WHERE id % 8 <> 0")
+@query("drop_missing_audio", f"WITH {q.cleaned()}, {q.INVENTORY} SELECT id, state FROM cleaned WHERE id NOT IN (SELECT id FROM failed)")
 def _(spark, sf_dir):
-    return joins.drop_missing_audio(fx.cleaned(spark, sf_dir), _failed(spark, sf_dir)).select(*ID_STATE)
+    return joins.drop_missing_audio(fx.cleaned(spark, sf_dir), fx.failed_ids(spark, sf_dir)).select(*ID_STATE)
 
 
 @query(
     "embedding_coverage",
     f"""WITH {q.STORE} SELECT id, chunk_index,
-    CASE WHEN CAST(id AS VARCHAR) IN (SELECT audio_id FROM store WHERE CAST(audio_id AS BIGINT) % 3 <> 0) THEN 'stored' ELSE 'to_do' END AS status
+    CASE WHEN CAST(id AS VARCHAR) IN (SELECT audio_id FROM store WHERE species_name < 'sp5') THEN 'stored' ELSE 'to_do' END AS status
     FROM features""",
 )
 def _(spark, sf_dir):
-    held = fx.embedding_store(spark, sf_dir).filter("cast(audio_id AS bigint) % 3 <> 0")
+    held = fx.embedding_store(spark, sf_dir).filter("species_name < 'sp5'")
     stored, to_do = embeddings.embedding_coverage(fx.features(spark, sf_dir), held, fx.SETTINGS)
     keys = ["id", "chunk_index"]
     return stored.select(*keys, F.lit("stored").alias("status")).union(to_do.select(*keys, F.lit("to_do").alias("status")))
@@ -70,17 +65,18 @@ def _(spark, sf_dir):
 
 @query(
     "download_summary",
-    f"""WITH {q.cleaned()}, {q.INVENTORY}, c AS (
-      SELECT count(*) AS required_count, count(*) FILTER (WHERE id % 4 <> 0) AS available_count,
-        count(*) FILTER (WHERE id % 4 = 0) AS missing_from_directory_count,
-        count(*) FILTER (WHERE id % 4 = 0 AND id % 8 <> 0) AS downloaded_count,
-        count(*) FILTER (WHERE id % 8 = 0) AS failed_to_download_count,
-        count(*) FILTER (WHERE id % 8 = 0) AS missing_after_download_count FROM cleaned)
+    f"""WITH {q.cleaned()}, {q.INVENTORY}, r AS (
+      SELECT id, id IN (SELECT id FROM inventory) AS have, id IN (SELECT id FROM failed) AS lost FROM cleaned), c AS (
+      SELECT count(*) AS required_count, count(*) FILTER (WHERE have) AS available_count,
+        count(*) FILTER (WHERE NOT have) AS missing_from_directory_count,
+        count(*) FILTER (WHERE NOT have AND NOT lost) AS downloaded_count,
+        count(*) FILTER (WHERE NOT have AND lost) AS failed_to_download_count,
+        count(*) FILTER (WHERE NOT have AND lost) AS missing_after_download_count FROM r)
     SELECT *, required_count - missing_after_download_count AS ready_for_use_count,
       missing_after_download_count = 0 AS has_complete_data FROM c""",
 )
 def _(spark, sf_dir):
-    return joins.download_summary(fx.cleaned(spark, sf_dir), fx.inventory(spark, sf_dir), _failed(spark, sf_dir))
+    return joins.download_summary(fx.cleaned(spark, sf_dir), fx.inventory(spark, sf_dir), fx.failed_ids(spark, sf_dir))
 
 
 # --- grouped distributions -------------------------------------------------------------

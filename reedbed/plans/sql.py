@@ -141,11 +141,12 @@ voted AS (SELECT *, CAST(list_position(probs, list_max(probs)) - 1 AS INTEGER) A
 
 FEATURES = CHUNKS + """,
 features AS (
-  SELECT recording_id AS id, chunk_index, embedding AS features, y_true AS class_label, 'sp' || y_true AS species_name, vec_id
+  SELECT recording_id AS id, chunk_index, embedding AS features, y_true AS class_label, 'sp' || y_true AS species_name, vec_id,
+    embedding[1] > 0 AS is_held
   FROM chunks)"""
 
 STORE = FEATURES + """,
-store AS (SELECT CAST(id AS VARCHAR) AS audio_id, chunk_index, features AS embedding, species_name FROM features WHERE vec_id % 3 <> 0)"""
+store AS (SELECT CAST(id AS VARCHAR) AS audio_id, chunk_index, features AS embedding, species_name FROM features WHERE is_held)"""
 
 # Rows of ``weighted``: recording, class, probability, weight of the chunk.
 _META = """
@@ -187,11 +188,12 @@ daily AS (
 
 SPLITS = """
 split_ids AS (
-  SELECT o_orderkey AS id, CASE WHEN o_orderkey % 10 <= 6 THEN 'train' WHEN o_orderkey % 10 = 7 THEN 'val' ELSE 'test' END AS split
-  FROM orders WHERE o_orderkey % 10 < 9)"""
+  SELECT o_orderkey AS id, CASE o_orderpriority WHEN '3-MEDIUM' THEN 'val' WHEN '4-NOT SPECIFIED' THEN 'test' ELSE 'train' END AS split
+  FROM orders WHERE o_orderpriority <> '5-LOW')"""
 
 INVENTORY = """
-inventory AS (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 4 <> 0)"""
+inventory AS (SELECT o_orderkey AS id FROM orders WHERE o_orderpriority <> '1-URGENT'),
+failed AS (SELECT o_orderkey AS id FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 250000)"""
 
 TEST_IDS = cleaned("first") + """,
 test_ids AS (

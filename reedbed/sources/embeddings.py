@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reedbed.config import EmbeddingSettings
-from reedbed.sources.tables import read_table, table_exists, write_table
+from reedbed.session import materialize
+from reedbed.sources.tables import read_or_empty, write_table
 
 STORE_SCHEMA = (
     "audio_id string, chunk_index int, embedding array<float>, embedding_strategy string, "
@@ -50,18 +51,20 @@ def embedding_coverage(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows whose recording has stored vectors at these settings, and the rows still to do.
 
-    Coverage is by recording, not by chunk.
+    Coverage is by recording, not by chunk. The stored ids are made distinct and written
+    once: a recording with very many stored chunks is one row there, both results share
+    the list, and its known size lets a short list be broadcast, so the wide rows of ``df``
+    are not shuffled for it.
     """
-    stored = at_settings(store, settings).select(F.col("audio_id").alias("_stored")).distinct()
+    ids = at_settings(store, settings).select(F.col("audio_id").alias("_stored")).distinct()
+    stored = materialize(ids, "stored-ids")
     match = F.col(id_col).cast("string") == F.col("_stored")
     return df.join(stored, match, "left_semi"), df.join(stored, match, "left_anti")
 
 
 def read_store(spark: SparkSession, table: str) -> DataFrame:
     """The stored table, or an empty frame of its layout before the first write."""
-    if table_exists(spark, table):
-        return read_table(spark, table).select(*STORE_COLUMNS)
-    return spark.createDataFrame([], STORE_SCHEMA)
+    return read_or_empty(spark, table, STORE_SCHEMA).select(*STORE_COLUMNS)
 
 
 def write_embeddings(features: DataFrame, table: str, settings: EmbeddingSettings) -> None:
@@ -113,9 +116,10 @@ def retain_features(
     Rewriting the store is left to the caller, who writes ``kept`` to a new place. An
     empty keep list would remove everything and needs ``allow_empty_keep``.
     """
-    if not allow_empty_keep and keep_ids.isEmpty():
+    ids = keep_ids.select(F.trim(F.col(id_col).cast("string")).alias("_keep")).distinct()
+    wanted = materialize(ids, "keep-ids")
+    if not allow_empty_keep and wanted.isEmpty():
         raise ValueError("empty keep list: pass allow_empty_keep=True to remove everything")
-    wanted = keep_ids.select(F.trim(F.col(id_col).cast("string")).alias("_keep")).distinct()
     match = F.trim(F.col(id_col).cast("string")) == F.col("_keep")
     if keep_formats is None:
         return store.join(wanted, match, "left_semi"), store.join(wanted, match, "left_anti")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,10 +26,13 @@ def write_table(df: DataFrame, table: str, mode: str = "append", partition_by: S
         writer.saveAsTable(table)
 
 
-def table_exists(spark: SparkSession, table: str) -> bool:
-    """True when the table can be read; an empty or missing folder counts as absent."""
+def read_or_empty(spark: SparkSession, table: str, schema: str) -> DataFrame:
+    """The table in the given layout; no rows before the first write."""
     if not _is_path(table):
-        return spark.catalog.tableExists(table)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path) and len(fs.listStatus(hadoop_path)) > 0
+        return spark.table(table) if spark.catalog.tableExists(table) else spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(table)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

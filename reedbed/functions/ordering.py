@@ -8,8 +8,6 @@ balance rests on ``id`` being a key of the input.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,10 +47,12 @@ def rank_by_hash(df: DataFrame, groups: list[str], key: str, out: str = "rank")
     sliced = df.withColumn("_slice", F.substring(key, 1, SLICE_DIGITS))
     offsets = _slices(df, groups, key).drop("_rows")
     local = Window.partitionBy(*groups, "_slice").orderBy(key)
+    # Numbered before the join: its order by group and slice then serves the join as well.
     return (
-        sliced.join(offsets, groups + ["_slice"])
-        .withColumn(out, F.col("_before") + F.row_number().over(local))
-        .drop("_slice", "_before")
+        sliced.withColumn("_rn", F.row_number().over(local))
+        .join(offsets, groups + ["_slice"])
+        .withColumn(out, F.col("_before") + F.col("_rn"))
+        .drop("_slice", "_before", "_rn")
     )
 
 
@@ -127,9 +127,6 @@ def running_totals(
     local = (
         Window.partitionBy(*groups, "_piece").orderBy(row_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = cut.join(shifts, groups + ["_piece"])
-    return reduce(
-        lambda d, s: d.withColumn(f"{s}_run", F.col(f"_shift_{s}") + F.sum(s).over(local)).drop(f"_shift_{s}"),
-        sums,
-        joined,
-    ).drop("_piece")
+    summed = cut.withColumns({f"_local_{s}": F.sum(s).over(local) for s in sums}).join(shifts, groups + ["_piece"])
+    runs = {f"{s}_run": F.col(f"_shift_{s}") + F.col(f"_local_{s}") for s in sums}
+    return summed.withColumns(runs).drop("_piece", *[f"_{kind}_{s}" for kind in ("shift", "local") for s in sums])

@@ -47,18 +47,14 @@ def _by_group_and_species(df: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _group_sums(table: DataFrame, by: Sequence[str], count_col: str) -> DataFrame:
-    sums = table.filter(_not_null(by)).groupBy(*by).agg(
+def grouped_distribution(df: DataFrame, by: Sequence[str], count_col: str = "total") -> DataFrame:
+    """Per group: unique species, single- and multi-species rows, all rows. Null keys drop out."""
+    sums = _by_group_and_species(df.filter(_not_null(by)), by).groupBy(*by).agg(
         F.count("_species").alias("unique_species"),
         F.sum("single_species").alias("single_species"),
         F.sum("multi_species").alias("multi_species"),
     )
-    return sums.withColumn(count_col, F.col("single_species") + F.col("multi_species"))
-
-
-def grouped_distribution(df: DataFrame, by: Sequence[str], count_col: str = "total") -> DataFrame:
-    """Per group: unique species, single- and multi-species rows, all rows. Null keys drop out."""
-    return _group_sums(_by_group_and_species(df, by), by, count_col).orderBy(*by)
+    return sums.withColumn(count_col, F.col("single_species") + F.col("multi_species")).orderBy(*by)
 
 
 def grouped_distribution_total(df: DataFrame, by: Sequence[str], count_col: str = "total") -> DataFrame:
@@ -67,20 +63,21 @@ def grouped_distribution_total(df: DataFrame, by: Sequence[str], count_col: str
     Counts of the TOTAL row cover the shown groups; its unique species cover all of ``df``.
     """
     table = _by_group_and_species(df, by)
-    groups = _group_sums(table, by, count_col)
-    unique = table.agg(F.count_distinct("_species").alias("n"))
-    sums = groups.groupingSets([list(map(F.col, by)), []], *by).agg(
-        F.grouping_id().alias("_gid"),
-        *[F.sum(c).alias(c) for c in ("unique_species", "single_species", "multi_species", count_col)],
+    # Each species counts in the total where it comes up first, in a group without key too.
+    first = F.row_number().over(Window.partitionBy("_species").orderBy(*by)) == 1
+    marked = table.withColumn("_new", (first & F.col("_species").isNotNull()).cast("int")).withColumn("_keyed", _not_null(by))
+    counts = [F.sum(F.when(F.col("_keyed"), F.col(c)).otherwise(0)).alias(c) for c in ("single_species", "multi_species")]
+    sums = marked.groupingSets([list(map(F.col, by)), []], *by).agg(
+        F.grouping_id().alias("_gid"), F.count("_species").alias("_in_group"), F.sum("_new").alias("_in_all"), *counts
     )
     total = F.col("_gid") != 0
-    return sums.select(
+    return sums.filter(total | _not_null(by)).select(
         *by,
         total.alias("is_total"),
-        F.when(total, unique.scalar()).otherwise(F.col("unique_species")).alias("unique_species"),
+        F.when(total, F.col("_in_all")).otherwise(F.col("_in_group")).alias("unique_species"),
         "single_species",
         "multi_species",
-        count_col,
+        (F.col("single_species") + F.col("multi_species")).alias(count_col),
     )
 
 

@@ -59,7 +59,9 @@ def sample_target_upsample(df: DataFrame, cap: int | None, seed: int = 42) -> Da
     blocks = (
         sizes.withColumn("_wanted", wanted)
         .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_wanted - 1) div {DRAWS_PER_TASK_ROW}"))))
-        .repartition(LABEL, "_block")
+        # A fixed number of partitions: the few block rows look too small to adaptive
+        # execution, which would merge them, and with them all draws, into one task.
+        .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), LABEL, "_block")
     )
     first = F.col("_block") * DRAWS_PER_TASK_ROW
     last = F.least(first + DRAWS_PER_TASK_ROW, F.col("_wanted")) - 1

@@ -308,19 +308,18 @@ def other_value_counts(test_ids: DataFrame, other_label: int) -> DataFrame:
 def other_concentration(test_ids: DataFrame, other_label: int) -> DataFrame:
     """How the Other class is spread: species, singletons, species below 5, share of the top 5."""
     counts = other_value_counts(test_ids, other_label)
-    ranked = counts.withColumn(
-        "_rn", F.row_number().over(Window.orderBy(F.col("count").desc(), "species_name"))
-    )
-    top = F.sum(F.when(F.col("_rn") <= 5, F.col("count")).otherwise(0))
+    top_5 = counts.orderBy(F.col("count").desc(), "species_name").limit(5).agg(F.sum("count")).scalar()
     few = F.count_if(F.col("count") < 5)
-    return ranked.agg(
+    sums = counts.agg(
         _rows().alias("unique_species"),
         F.count_if(F.col("count") == 1).alias("singletons"),
         few.alias("few_samples"),
         percent(few, _rows(), 1).alias("percent_few"),
-        F.coalesce(top, F.lit(0)).alias("top_5_sum"),
         F.coalesce(F.sum("count"), F.lit(0)).alias("total"),
-        percent(top, F.sum("count"), 1).alias("percent_top_5"),
+    ).withColumn("top_5_sum", F.coalesce(top_5, F.lit(0)))
+    share = percent(F.col("top_5_sum"), F.col("total"), 1)
+    return sums.select(
+        "unique_species", "singletons", "few_samples", "percent_few", "top_5_sum", "total", share.alias("percent_top_5")
     )
 
 

@@ -36,7 +36,7 @@ _BEST = """, best AS (SELECT * FROM (
 _pool_query("pool_mean", f"WITH {q.pooled()} {q.REC_SHOWN}", lambda df: pooling.pool_mean(df, C))
 _pool_query(
     "pool_max",
-    f"""WITH {q.CHUNKS}, {q._META} {_BEST.format(k=1)},
+    f"""WITH {q.CHUNKS}, {q.META} {_BEST.format(k=1)},
     rec AS (SELECT b.recording_id, b.pred AS y_pred, b.conf AS confidence, m.num_chunks, b.probs, m.y_true
       FROM best b JOIN meta m ON m.recording_id = b.recording_id) {q.REC_SHOWN}""",
     lambda df: pooling.pool_max(df, C),

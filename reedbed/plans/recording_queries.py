@@ -347,7 +347,7 @@ _kept_query(
 )
 _kept_query(
     "class_labels",
-    ["id", f"{q.joined(f'list_transform({q._ON_TARGET}, lambda n: list_position({q.M}, n) - 1)')} AS class_labels"],
+    ["id", f"{q.joined(f'list_transform({q.ON_TARGET}, lambda n: list_position({q.M}, n) - 1)')} AS class_labels"],
     lambda df: derive.class_labels(df, fx.MAPPING),
     _named,
 )
@@ -364,7 +364,7 @@ _kept_query(
 )
 
 
-@query("species_frequency", f"WITH {q.KEPT}, {q._FREQ} SELECT s AS species, n AS count FROM freq")
+@query("species_frequency", f"WITH {q.KEPT}, {q.FREQ} SELECT s AS species, n AS count FROM freq")
 def _(spark, sf_dir):
     return an.species_frequency(_named(spark, sf_dir))
 

@@ -69,7 +69,7 @@ kept AS (SELECT * FROM raw WHERE {' AND '.join(cond for _, cond in STEPS)})"""
 
 TARGET_COUNT = f"len(list_filter(names, lambda n: list_contains({M}, n)))"
 
-_FREQ = """
+FREQ = """
 freq AS (SELECT s, count(*) AS n FROM (SELECT unnest(names) AS s FROM kept) GROUP BY s)"""
 
 
@@ -81,16 +81,16 @@ picked AS (
     FROM (SELECT id, unnest({among}) AS s FROM kept) u JOIN freq f ON f.s = u.s) WHERE rn = 1)"""
 
 
-_ON_TARGET = f"list_filter(names, lambda n: list_contains({M}, n))"
+ON_TARGET = f"list_filter(names, lambda n: list_contains({M}, n))"
 
 
 def with_anchor(anchor: str | None) -> str:
     """CTEs up to ``anchored``: kept rows with the anchor species."""
     if anchor in ("most-frequent", "most-frequent-target"):
-        among = "names" if anchor == "most-frequent" else _ON_TARGET
-        return KEPT + "," + _FREQ + "," + _picked(among) + """,
+        among = "names" if anchor == "most-frequent" else ON_TARGET
+        return KEPT + "," + FREQ + "," + _picked(among) + """,
 anchored AS (SELECT k.*, p.anchor FROM kept k LEFT JOIN picked p ON p.id = k.id)"""
-    expr = {None: "CAST(NULL AS VARCHAR)", "first": "names[1]", "first-target": f"({_ON_TARGET})[1]"}[anchor]
+    expr = {None: "CAST(NULL AS VARCHAR)", "first": "names[1]", "first-target": f"({ON_TARGET})[1]"}[anchor]
     return KEPT + f""",
 anchored AS (SELECT *, {expr} AS anchor FROM kept)"""
 
@@ -109,7 +109,7 @@ cleaned AS (
     CASE WHEN len(ids) > 0 THEN CAST({TARGET_COUNT} AS DOUBLE) / len(ids) ELSE 0.0 END AS target_species_ratio,
     CASE WHEN {TARGET_COUNT} = 0 THEN 'Other' WHEN {TARGET_COUNT} = len(ids) THEN 'Target Only' ELSE 'Mixed' END AS species_type,
     names AS species_names, list_sort(ids) AS species_ids,
-    list_transform({_ON_TARGET}, lambda n: list_position({M}, n) - 1) AS class_labels,
+    list_transform({ON_TARGET}, lambda n: list_position({M}, n) - 1) AS class_labels,
     coalesce({label_of('chosen')}, 0) AS class_label_single,
     chosen AS species_name_single,
     ({M})[coalesce({label_of('chosen')}, 0) + 1] AS class_name_single,
@@ -149,13 +149,13 @@ STORE = FEATURES + """,
 store AS (SELECT CAST(id AS VARCHAR) AS audio_id, chunk_index, features AS embedding, species_name FROM features WHERE is_held)"""
 
 # Rows of ``weighted``: recording, class, probability, weight of the chunk.
-_META = """
+META = """
 meta AS (SELECT recording_id, count(*) AS num_chunks, arg_min(y_true, chunk_index) AS y_true FROM voted GROUP BY 1)"""
 
 
 def pooled(weight: str = "1.0", source: str = "voted") -> str:
     """CTEs up to ``rec``: weighted mean probabilities, argmax and confidence per recording."""
-    return CHUNKS + "," + _META + f""",
+    return CHUNKS + "," + META + f""",
 spread AS (SELECT recording_id, {weight} AS w, unnest(range(10)) AS c, unnest(probs) AS p FROM {source}),
 means AS (SELECT recording_id, c, sum(w * p) / sum(w) AS p FROM spread GROUP BY 1, 2),
 vecs AS (SELECT recording_id, list(p ORDER BY c) AS probs FROM means GROUP BY 1),

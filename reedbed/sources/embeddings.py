@@ -16,7 +16,6 @@ STORE_SCHEMA = (
     "species_name string, embedding_from string, window_sec float, overlap_window_sec float"
 )
 STORE_COLUMNS = [part.split()[0] for part in STORE_SCHEMA.split(", ")]
-SETTING_COLUMNS = ["embedding_from", "embedding_strategy", "window_sec", "overlap_window_sec"]
 # Few values each, so a fixed setting prunes whole folders; ids would make one folder per recording.
 PARTITIONS = ["embedding_from", "embedding_strategy"]
 

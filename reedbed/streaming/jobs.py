@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reedbed.config import EmbeddingSettings
 from reedbed.operators.monitor import rmse
-from reedbed.sources.embeddings import PARTITIONS, SETTING_COLUMNS, at_settings, read_store, to_store_rows
+from reedbed.sources.embeddings import PARTITIONS, at_settings, read_store, to_store_rows
 from reedbed.sources.tables import write_table
 
 
@@ -34,8 +34,9 @@ def append_new_chunks(batch: DataFrame, table: str, settings: EmbeddingSettings)
     repeats inside the batch.
     """
     rows = to_store_rows(batch, settings).dropDuplicates(["audio_id", "chunk_index"])
-    held = at_settings(read_store(batch.sparkSession, table), settings).select("audio_id", "chunk_index", *SETTING_COLUMNS)
-    fresh = rows.join(held, ["audio_id", "chunk_index", *SETTING_COLUMNS], "left_anti")
+    held = at_settings(read_store(batch.sparkSession, table), settings).select("audio_id", "chunk_index")
+    # Same keys as the repeats above, so the wide rows are shuffled once for both.
+    fresh = rows.join(held, ["audio_id", "chunk_index"], "left_anti")
     write_table(fresh.select(*rows.columns), table, "append", PARTITIONS)
 
 

@@ -195,3 +195,40 @@ def test_running_totals_match_a_window(spark, descending):
         assert r["n_run"] == sum(n for g, x, n in all_rows if g == r["g"] and before(x))
         assert r["n_total"] == sum(n for g, _, n in all_rows if g == r["g"])
     assert len(got) == len(all_rows)
+
+
+@pytest.fixture
+def fixed_partitions(spark):
+    """Partitions as planned, so that their sizes can be looked at."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def largest_share(df):
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_one_class_is_ranked_by_many_tasks(spark, fixed_partitions):
+    """Every row is of one class; with four partitions no task may hold much more than a quarter."""
+    df = spark.range(20_000).select("id", F.lit(1).alias("g"), hash_key("id", 1).alias("k"))
+    assert largest_share(rank_by_hash(df, ["g"], "k")) < 0.4
+    assert largest_share(take_by_hash(df, ["g"], "k", 10_000, small_groups=True)) < 0.4
+
+
+def test_one_group_is_summed_by_many_tasks(spark, fixed_partitions):
+    df = spark.range(20_000).select(F.lit(1).alias("g"), (F.col("id") / 7).alias("x"), F.lit(1).cast("bigint").alias("n"))
+    summed = running_totals(df, ["g"], "x", ["n"], value_cuts(df, "x"), descending=True)
+    # Sixteen ranges over four partitions by hash.
+    assert largest_share(summed) < 0.6
+
+
+def test_draws_of_one_class_are_made_by_many_tasks(spark):
+    """The block rows are few and small; adaptive execution must not merge them into one task."""
+    df = spark.range(50).select(
+        "id", F.lit(1).alias("class_label_single"), F.lit("Target Only").alias("species_type")
+    )
+    plan = sampling.sample_target_upsample(df, 3_000_000)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    assert sampling.sample_target_upsample(df, 300_000).count() == 300_000

@@ -46,11 +46,13 @@ def frame_sliding(
 
 
 def normalize_db_clip(df: DataFrame, col: str = "features") -> DataFrame:
-    """Clip to [-80, 0] and divide by 80; the result lies in [-1, 0]."""
-    low, high = F.lit(-80.0), F.lit(0.0)
-    return df.withColumn(
-        col, F.transform(col, lambda x: F.least(F.greatest(x.cast("double"), low), high) / F.lit(80.0))
-    )
+    """Clip to [-80, 0] and divide by 80; the result lies in [-1, 0]. NaN stays NaN."""
+
+    def scaled(x: Column) -> Column:
+        clipped = F.least(F.greatest(x, F.lit(-80.0)), F.lit(0.0))  # NaN counts as largest here
+        return F.when(F.isnan(x), x).otherwise(clipped / F.lit(80.0))
+
+    return df.withColumn(col, F.transform(col, lambda x: scaled(x.cast("double"))))
 
 
 def normalize_minmax(df: DataFrame, col: str = "features") -> DataFrame:
@@ -61,7 +63,7 @@ def normalize_minmax(df: DataFrame, col: str = "features") -> DataFrame:
     values = F.transform(col, lambda x: x.cast("double"))
     known = F.filter(values, lambda x: ~F.isnan(x))
     low, high = F.array_min(known), F.array_max(known)
-    close = F.abs(high - low) <= F.lit(1e-8) + F.lit(1e-5) * F.abs(low)
+    close = high - low <= F.lit(1e-8) + F.lit(1e-5) * F.abs(high)
     scaled = F.transform(values, lambda x: (x - low) / (high - low + F.lit(1e-8)))
     zeros = F.transform(values, lambda x: F.lit(0.0))
     return df.withColumn(col, F.when(F.size(known) > 0, F.when(close, zeros).otherwise(scaled)))

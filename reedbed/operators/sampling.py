@@ -113,10 +113,11 @@ def sample_other(
 
 
 def sample_target(df: DataFrame, strategy: str, cap: int | None, seed: int = 42) -> DataFrame:
+    """The named target sampling; upsampled rows also carry their ``draw``."""
     if strategy == "downsample":
         return sample_target_downsample(df, cap, seed)
     if strategy == "upsample":
-        return sample_target_upsample(df, cap, seed).drop("draw")
+        return sample_target_upsample(df, cap, seed)
     if strategy == "none":
         return sample_target_none(df)
     raise ValueError(f"unknown target sampling {strategy!r}")
@@ -131,10 +132,9 @@ def sample_modelling_dataset(df: DataFrame, strategy: SamplingStrategy = Samplin
         if cap is None:
             raise ValueError("max_samples_per_class is needed to size the Other sample")
         size = round(cap * strategy.other_boost)  # half to even
-        drawn = drawn.unionByName(
-            sample_other(pool, strategy.other_sampling, size, strategy.exclude_other_below_count, seed)
-        )
-    return shuffle_rows(drawn, seed)
+        other = sample_other(pool, strategy.other_sampling, size, strategy.exclude_other_below_count, seed)
+        drawn = drawn.unionByName(other, allowMissingColumns=True)
+    return shuffle_rows(drawn, seed).select(*df.columns)
 
 
 def sample_hold_out(
@@ -179,8 +179,8 @@ def _with_quota(ids: DataFrame, wanted: Column, stratify: bool) -> DataFrame:
         F.when(split, F.concat(F.lit("c"), F.coalesce(F.col("label").cast("string"), F.lit("")))).otherwise("all").alias("_stratum"),
         F.when(split, quota).otherwise(F.col("_wanted")).alias("_quota"),
     )
-    # A class may hold most ids, so a join by label must not shuffle. With more labels
-    # than a class list ever has, labels are spread enough to do it.
+    # A class may hold most ids, so a join by label should not shuffle them. With more labels
+    # than a class list ever has it does, and adaptive execution splits a hot label.
     few = ids.select("label").distinct().limit(MANY_LABELS + 1).count() <= MANY_LABELS
     by_label = F.col("label").eqNullSafe(F.col("_label"))
     return ids.join(F.broadcast(quotas) if few else quotas, by_label).drop("_label")
@@ -230,5 +230,8 @@ def split_sizes(df: DataFrame, id_col: str) -> DataFrame:
 
 
 def shuffle_rows(df: DataFrame, seed: int = 42) -> DataFrame:
-    """A fixed random order. Drawn copies of an id stay neighbours."""
-    return df.orderBy(hash_key("id", seed))
+    """A fixed random order; copies of an id are told apart by their ``draw`` if there is one."""
+    if "draw" not in df.columns:
+        return df.orderBy(hash_key("id", seed))
+    copy = F.concat_ws(":", F.col("id").cast("string"), F.col("draw").cast("string"))
+    return df.orderBy(hash_key(copy, seed))

@@ -46,6 +46,9 @@ def test_normalising(spark):
     df = spark.createDataFrame([(1, [-100.0, -40.0, 5.0])], "id int, features array<double>")
     assert arrays.normalize_db_clip(df).first()["features"] == [-1.0, -0.5, 0.0]
     nan = float("nan")
+    df = spark.createDataFrame([(1, [nan, -8.0])], "id int, features array<double>")
+    clipped = arrays.normalize_db_clip(df).first()["features"]
+    assert np.isnan(clipped[0]) and clipped[1] == -0.1
     given = [[2.0, 4.0], [3.0, 3.0], [], [nan, 0.0, 1.0], [nan]]
     df = spark.createDataFrame(list(enumerate(given)), "id int, features array<double>")
     got = [r["features"] for r in arrays.normalize_minmax(df).orderBy("id").collect()]

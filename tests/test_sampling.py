@@ -117,6 +117,11 @@ def test_modelling_set(spark):
         sampling.sample_modelling_dataset(df, SamplingStrategy(max_samples_per_class=None))
     with pytest.raises(ValueError, match="unknown strategy"):
         sampling.sample_modelling_dataset(df, SamplingStrategy(species_data_to_use="nope"))
+    up = SamplingStrategy(target_sampling="upsample", max_samples_per_class=200, other_boost=0.05)
+    mixed = [r[0] for r in sampling.sample_modelling_dataset(df, up).select("id").collect()]
+    assert len(mixed) == 200 * len(targets(df)) + 10
+    assert sum(a == b for a, b in zip(mixed, mixed[1:])) < 50  # copies are spread
+    assert sampling.sample_modelling_dataset(df, up).columns == df.columns
     alone = sampling.sample_modelling_dataset(df, SamplingStrategy(include_other=False, max_samples_per_class=None))
     assert alone.count() == sum(map(len, targets(df).values()))
 

@@ -30,4 +30,8 @@ def test_contract(spark):
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_equals_its_sql(spark, sf_dir, db, name):
     df = contract.queries()[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # No pair of rows is made without a key, and no row goes to Python one by one.
+    for step in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert step not in plan
     assert differences(df, [tuple(r) for r in df.collect()], db, contract.oracle_sql()[name]) == []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -29,7 +30,19 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None)
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    return show_package(session)
+
+
+def show_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from the folder it was loaded from.
+
+    For a checkout that the executors see too; elsewhere install the package or pass it with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    return spark
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -5,9 +5,9 @@ buckets, and all samples folded into a bitmap by parity make an odd sketch, whos
 tells how many samples differ. Candidates are pairs within a bucket; those whose sketches are alike are
 confirmed on the full sets, and linked classes form components.
 
-No bucket is expanded into pairs. First each member meets one pivot of the bucket only. What is
-then in one component needs no more links; only members of one bucket in different components are
-compared, in blocks, sketch by sketch.
+No bucket is expanded into pairs. First each member meets one pivot of the bucket only, then the member
+with the most in common with all others. What is in one component needs no more links; only members of
+one bucket that are still in different components are compared, in blocks, sketch by sketch.
 """
 
 from __future__ import annotations
@@ -146,23 +146,26 @@ def _alike(one: str, two: str, percent: int) -> Column:
     return (100 * small >= percent * large) & (bits <= most_bits(percent / 100 - MARGIN))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that are linked by their full sets."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node").select("node", "key")
-    rows = wanted.join(docs, "key").select("node", "text")
+def _sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, set): the full sets of these nodes, packed."""
+    rows = nodes.join(classes, "node").select("node", "key").join(docs, "key").select("node", "text")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, out = [], []
+            numbers, out = [], []
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text")):
                 found = shingles(text.as_py())
                 if len(found) and _node(found) == node:  # else another row of a repeated key
-                    nodes.append(node)
+                    numbers.append(node)
                     out.append(found.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.binary())], ["node", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(out, pa.binary())], ["node", "set"])
+
+    return materialize(rows.mapInArrow(run, "node long, set binary"), "sets")
 
-    held = materialize(rows.mapInArrow(sets, "node long, set binary"), "sets")
-    side = lambda c: held.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}"))
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes that are linked by their full sets."""
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,22 +176,64 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, percent: i
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
 
 
-def _across(members: DataFrame, roots: DataFrame, nodes: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs within a bucket, in different components and not tried before, whose sketches are alike.
+def _lone(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, lone): how many shingles of each of these nodes no other one of them has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, packed in zip(batch.column("node").to_pylist(), batch.column("set")):
+                found = np.frombuffer(packed.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), node)), pa.array(found)], ["node", "shingle"])
+
+    each = sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]).mapInArrow(run, "node long, shingle long")
+    return each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("lone"))
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of buckets with more than one component, with the component as ``root``."""
+    rows = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return materialize(rows.join(mixed.select("bucket"), "bucket"), "placed")
+
 
-    A component with many members in the bucket has blocks of its own, which do not meet each other; the
+def _left_over(members: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, size, sketch, live) of members that may still get a link.
+
+    ``live`` counts the shingles that another of them has. What two sets have in common is at most
+    that of either, so a member with too many shingles of its own has no link at all.
+    """
+    placed = _rooted(members, roots)
+    lone = _lone(sets, placed.select("node").distinct())
+    live = nodes.join(lone, "node", "left").select("node", "size", "sketch", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("live"))
+    return materialize(placed.drop("root").join(live.where(100 * F.col("live") >= percent * F.col("size")), "node"), "live")
+
+
+def _to_common(placed: DataFrame, percent: int) -> DataFrame:
+    """Each member with the one of its bucket that has the smallest share of shingles of its own.
+
+    In a group of copies that is the least changed one, to which all others are most alike.
+    """
+    whole = F.struct((F.col("live") / F.col("size")).alias("share"), "node", "root", "size", "live", "sketch")
+    pivots = placed.groupBy("bucket").agg(F.max(whole).alias("two"))
+    met = placed.select("bucket", F.struct("node", "root", "size", "live", "sketch").alias("one")).join(pivots, "bucket")
+    common = F.least("one.live", "two.live")
+    met = met.where((F.col("one.root") != F.col("two.root")) & (100 * common >= percent * (F.col("one.size") + F.col("two.size") - common)) & _alike("one", "two", percent))
+    return met.select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct()
+
+
+def _across(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs within a bucket and in different components that may be linked by their live shingles and sketches.
+
+    A component with many members in a bucket has blocks of its own, which do not meet each other; the
     others share blocks. So a bucket with one large component costs its members times the few left over.
     """
-    placed = members.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
-    open_buckets = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    placed = materialize(placed.join(open_buckets, "bucket").join(nodes.select("node", "size", "sketch"), "node"), "placed")
     counts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     counts = counts.withColumn("own", F.when(F.col("n") >= BLOCK // 2, F.col("root")))
     totals = counts.groupBy("bucket", "own").agg(F.ceil(F.sum("n") / BLOCK).alias("slices"))
     numbered = placed.join(counts.select("bucket", "root", "own"), ["bucket", "root"])
     blocks = numbered.join(totals.withColumnRenamed("own", "own_").withColumnRenamed("bucket", "bucket_"), (F.col("bucket") == F.col("bucket_")) & F.col("own").eqNullSafe(F.col("own_")))
     blocks = blocks.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")))
-    packed = blocks.groupBy("bucket", "own", "slice").agg(F.collect_list(F.struct("node", "root", "size", "sketch")).alias("held"))
+    packed = blocks.groupBy("bucket", "own", "slice").agg(F.collect_list(F.struct("node", "root", "size", "live", "sketch")).alias("held"))
     packed = materialize(packed.withColumn("block", F.xxhash64("own", "slice")), "blocks")
     one, two = packed.alias("one"), packed.alias("two")
     apart = (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.block") <= F.col("two.block")) & ~(F.coalesce(F.col("one.own") == F.col("two.own"), F.lit(False)))
@@ -198,17 +243,26 @@ def _across(members: DataFrame, roots: DataFrame, nodes: DataFrame, done: DataFr
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for left, right in zip(batch.column("one"), batch.column("two")):
-                (na, ra, sa, ka), (nb, rb, sb, kb) = ([x.values.field(i).to_numpy(zero_copy_only=False) if i < 3 else np.asarray(x.values.field(3).flatten()).reshape(-1, SKETCH_WORDS) for i in range(4)] for x in (left, right))
+                na, ra, sa, la, ka = _columns(left)
+                nb, rb, sb, lb, kb = _columns(right)
                 out_a, out_b = [], []
                 for i in range(len(na)):
-                    good = (ra[i] != rb) & (100 * np.minimum(sa[i], sb) >= percent * np.maximum(sa[i], sb))
+                    common = np.minimum(la[i], lb)
+                    good = (ra[i] != rb) & (100 * common >= percent * (sa[i] + sb - common))
                     good &= np.bitwise_count((ka[i] ^ kb).view(np.uint64)).sum(axis=1) <= limit
                     for j in np.flatnonzero(good):
                         out_a.append(min(na[i], nb[j]))
                         out_b.append(max(na[i], nb[j]))
                 yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
-    return met.mapInArrow(compare, "a long, b long").distinct().join(done, ["a", "b"], "left_anti")
+    return met.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _columns(block: pa.ListScalar) -> list[np.ndarray]:
+    """Numbers of a block's members, and their sketches as rows."""
+    held = block.values
+    plain = [held.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
+    return [*plain, held.field(4).flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH_WORDS)]
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -235,13 +289,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     details = nodes.select("node", "size", "sketch")
     a, b = details.alias("one"), details.alias("two")
     likely = tried.join(a, F.col("a") == F.col("one.node")).join(b, F.col("b") == F.col("two.node")).where(_alike("one", "two", percent)).select("a", "b")
-    links = materialize(_confirmed(materialize(likely, "likely"), source, classes, percent), "linked")
+    sets = _sets(members.select("node").distinct(), source, classes)
+    links = materialize(_confirmed(materialize(likely, "likely"), sets, percent), "linked")
     roots = components(links)
-    more = materialize(_across(members.where("n > 2").select("bucket", "node"), roots, nodes, tried, percent), "across")
-    if not more.isEmpty():
-        late = materialize(_confirmed(more, source, classes, percent), "linked")
-        if not late.isEmpty():
-            roots = components(links.unionByName(late))
+    left = _left_over(members.where("n > 2").select("bucket", "node"), roots, nodes, sets, percent)
+    for candidates in (_to_common, _across):
+        more = materialize(candidates(_rooted(left, roots), percent).join(tried, ["a", "b"], "left_anti"), "more")
+        if not more.isEmpty():
+            links = materialize(links.unionByName(_confirmed(more, sets, percent)), "linked")
+            tried = tried.unionByName(more)
+            roots = components(links)
     joined = classes.join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
     least = joined.groupBy("root").agg(F.min("key").alias("component_id"))
     labels = joined.join(least, "root").select("node", "component_id")

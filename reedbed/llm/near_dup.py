@@ -28,8 +28,8 @@ WORDS, PERCENT = 5, 75
 #: MinHash samples in bands: a pair at 75 % meets in no bucket with probability (1 - 0.75 ** 4) ** 32 = 5e-6.
 BANDS, BAND_ROWS = 32, 4
 SAMPLES = BANDS * BAND_ROWS
-#: Bits of an odd sketch, as 64-bit words; and by how much an estimate may fall short (over five deviations).
-SKETCH_WORDS, MARGIN = 8, 0.25
+#: Bits of an odd sketch, as 64-bit words; and by how much an estimate may fall short: 4.7 of its deviations (0.042), which loses no more than the bands do.
+SKETCH_WORDS, MARGIN = 8, 0.2
 SKETCH_BITS = 64 * SKETCH_WORDS
 #: Members of a bucket that one task compares with as many others at a time.
 BLOCK = 512
@@ -72,9 +72,9 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(rolled)
 
 
-def linked(one: np.ndarray, two: np.ndarray, percent: int = PERCENT) -> bool:
-    common = len(np.intersect1d(one, two, assume_unique=True))
-    return common > 0 and 100 * common >= percent * (len(one) + len(two) - common)
+def linked(one: int, two: int, common: int, percent: int = PERCENT) -> bool:
+    """Whether two sets of these sizes with so many elements in common are alike enough."""
+    return common > 0 and 100 * common >= percent * (one + two - common)
 
 
 def samples(shingle_set: np.ndarray) -> np.ndarray:
@@ -163,17 +163,22 @@ def _sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     return materialize(rows.mapInArrow(run, "node long, set binary"), "sets")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that are linked by their full sets."""
+def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes with ``far``, one less their similarity on full sets, and whether they are ``linked``."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}"))
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = zip(batch.column("set_a"), batch.column("set_b"))
-            good = [linked(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64), percent) for a, b in sides]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            far, good = [], []
+            for one, two in zip(batch.column("set_a"), batch.column("set_b")):
+                a, b = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(two.as_buffer(), np.uint64)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                far.append(1 - common / (len(a) + len(b) - common))
+                good.append(linked(len(a), len(b), common, percent))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(far, pa.float64()), pa.array(good, pa.bool_())], ["a", "b", "far", "linked"])
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
+    return materialize(joined.mapInArrow(run, "a long, b long, far double, linked boolean"), "measured")
 
 
 def _lone(sets: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -208,21 +213,20 @@ def _left_over(members: DataFrame, roots: DataFrame, nodes: DataFrame, sets: Dat
     return materialize(placed.drop("root").join(live.where(100 * F.col("live") >= percent * F.col("size")), "node"), "live")
 
 
-def _to_common(placed: DataFrame, percent: int) -> DataFrame:
-    """Each member with the one of its bucket that has the smallest share of shingles of its own.
+def _to_common(placed: DataFrame) -> DataFrame:
+    """(bucket, node, pivot): each member with the one of its bucket that has the smallest share of shingles of its own.
 
     In a group of copies that is the least changed one, to which all others are most alike.
     """
-    whole = F.struct((F.col("live") / F.col("size")).alias("share"), "node", "root", "size", "live", "sketch")
-    pivots = placed.groupBy("bucket").agg(F.max(whole).alias("two"))
-    met = placed.select("bucket", F.struct("node", "root", "size", "live", "sketch").alias("one")).join(pivots, "bucket")
-    common = F.least("one.live", "two.live")
-    met = met.where((F.col("one.root") != F.col("two.root")) & (100 * common >= percent * (F.col("one.size") + F.col("two.size") - common)) & _alike("one", "two", percent))
-    return met.select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct()
+    pivots = placed.groupBy("bucket").agg(F.max(F.struct((F.col("live") / F.col("size")).alias("share"), "node")).alias("top"))
+    return materialize(placed.join(pivots, "bucket").select("bucket", "node", F.col("top.node").alias("pivot")), "pivots")
 
 
 def _across(placed: DataFrame, percent: int) -> DataFrame:
-    """Pairs within a bucket and in different components that may be linked by their live shingles and sketches.
+    """Pairs within a bucket and in different components that may be linked by all that is known of them.
+
+    That is what they share with any other, their sketches, and how ``far`` each is from the bucket's pivot:
+    one less the similarity is a metric, so linked sets are about as far from any third.
 
     A component with many members in a bucket has blocks of its own, which do not meet each other; the
     others share blocks. So a bucket with one large component costs its members times the few left over.
@@ -233,7 +237,7 @@ def _across(placed: DataFrame, percent: int) -> DataFrame:
     numbered = placed.join(counts.select("bucket", "root", "own"), ["bucket", "root"])
     blocks = numbered.join(totals.withColumnRenamed("own", "own_").withColumnRenamed("bucket", "bucket_"), (F.col("bucket") == F.col("bucket_")) & F.col("own").eqNullSafe(F.col("own_")))
     blocks = blocks.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")))
-    packed = blocks.groupBy("bucket", "own", "slice").agg(F.collect_list(F.struct("node", "root", "size", "live", "sketch")).alias("held"))
+    packed = blocks.groupBy("bucket", "own", "slice").agg(F.collect_list(F.struct("node", "root", "size", "live", "far", "sketch")).alias("held"))
     packed = materialize(packed.withColumn("block", F.xxhash64("own", "slice")), "blocks")
     one, two = packed.alias("one"), packed.alias("two")
     apart = (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.block") <= F.col("two.block")) & ~(F.coalesce(F.col("one.own") == F.col("two.own"), F.lit(False)))
@@ -243,12 +247,13 @@ def _across(placed: DataFrame, percent: int) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for left, right in zip(batch.column("one"), batch.column("two")):
-                na, ra, sa, la, ka = _columns(left)
-                nb, rb, sb, lb, kb = _columns(right)
+                na, ra, sa, la, fa, ka = _columns(left)
+                nb, rb, sb, lb, fb, kb = _columns(right)
                 out_a, out_b = [], []
                 for i in range(len(na)):
                     common = np.minimum(la[i], lb)
                     good = (ra[i] != rb) & (100 * common >= percent * (sa[i] + sb - common))
+                    good &= np.abs(fa[i] - fb) <= 1 - percent / 100 + 1e-9
                     good &= np.bitwise_count((ka[i] ^ kb).view(np.uint64)).sum(axis=1) <= limit
                     for j in np.flatnonzero(good):
                         out_a.append(min(na[i], nb[j]))
@@ -261,8 +266,8 @@ def _across(placed: DataFrame, percent: int) -> DataFrame:
 def _columns(block: pa.ListScalar) -> list[np.ndarray]:
     """Numbers of a block's members, and their sketches as rows."""
     held = block.values
-    plain = [held.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
-    return [*plain, held.field(4).flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH_WORDS)]
+    plain = [held.field(i).to_numpy(zero_copy_only=False) for i in range(5)]
+    return [*plain, held.field(5).flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH_WORDS)]
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -273,7 +278,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     row for each row; repeated rows are of one class, and a null key is never the smallest. Other columns are not carried.
 
     A link is lost only if a pair meets in no bucket (5e-6 at the threshold, less above) or its sketches
-    mislead by five deviations, and then only if no other way joins the two.
+    mislead by nearly five deviations, and then only if no other way joins the two.
     """
     source = keyed_text(docs, key, text)
     every = materialize(_sketched(source), "sketches")
@@ -290,15 +295,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     a, b = details.alias("one"), details.alias("two")
     likely = tried.join(a, F.col("a") == F.col("one.node")).join(b, F.col("b") == F.col("two.node")).where(_alike("one", "two", percent)).select("a", "b")
     sets = _sets(members.select("node").distinct(), source, classes)
-    links = materialize(_confirmed(materialize(likely, "likely"), sets, percent), "linked")
+    sets = _sets(members.select("node").distinct(), source, classes)
+    links = _measured(materialize(likely, "likely"), sets, percent).where("linked").select("a", "b")
     roots = components(links)
     left = _left_over(members.where("n > 2").select("bucket", "node"), roots, nodes, sets, percent)
-    for candidates in (_to_common, _across):
-        more = materialize(candidates(_rooted(left, roots), percent).join(tried, ["a", "b"], "left_anti"), "more")
-        if not more.isEmpty():
-            links = materialize(links.unionByName(_confirmed(more, sets, percent)), "linked")
-            tried = tried.unionByName(more)
-            roots = components(links)
+    pivoted = _to_common(left)
+    ends = (F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    measured = _measured(pivoted.where("node <> pivot").select(*ends).distinct(), sets, percent)
+    links = materialize(links.unionByName(measured.where("linked").select("a", "b")), "linked")
+    roots = components(links)
+    distances = pivoted.select("bucket", "node", *ends).join(measured, ["a", "b"], "left").select("bucket", "node", F.coalesce("far", F.lit(0.0)).alias("far"))
+    more = _across(_rooted(left.join(distances, ["bucket", "node"]), roots), percent).join(tried.unionByName(measured.select("a", "b")), ["a", "b"], "left_anti")
+    late = _measured(materialize(more, "more"), sets, percent).where("linked").select("a", "b")
+    if not late.isEmpty():
+        roots = components(links.unionByName(late))
     joined = classes.join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
     least = joined.groupBy("root").agg(F.min("key").alias("component_id"))
     labels = joined.join(least, "root").select("node", "component_id")

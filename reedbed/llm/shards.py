@@ -17,10 +17,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reedbed.llm.bpe import load
+from reedbed.llm.bpe import KNOWN_PATTERN, Bpe, read_ranks
 from reedbed.llm.common import keyed_text, materialize, text_batches
 
 #: Tokens of a record, and records of a file (16 MB).
@@ -29,6 +30,26 @@ ROUNDS = 6
 _PRIME = np.uint64(0xBF58476D1CE4E5B9)
 
 
+_loaded: dict[str, LibraryBpe] = {}
+
+
+class LibraryBpe(Bpe):
+    """The same splitting and cache, with new pieces encoded by the tokenizer library: here ids are input, not the method."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__(ranks)
+        self.library = tiktoken.Encoding("ranks", pat_str=KNOWN_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode_piece(self, piece: bytes) -> list[int]:
+        return self.library.encode_ordinary(piece.decode())
+
+
+def load(path: str) -> LibraryBpe:
+    if path not in _loaded:
+        _loaded[path] = LibraryBpe(read_ranks(path))
+    return _loaded[path]
+
+
 def round_keys(key: str) -> list[np.uint64]:
     digest = hashlib.sha512(key.encode()).digest()
     return [np.uint64(int.from_bytes(digest[8 * i : 8 * i + 8], "little")) for i in range(ROUNDS)]

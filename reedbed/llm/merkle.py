@@ -127,7 +127,7 @@ def _bucketed(source: DataFrame, buckets: int) -> DataFrame:
     """
     shares = [i / buckets for i in range(1, buckets)]
     cuts = source.select(F.percentile_approx("key", shares, 100_000).alias("cuts")).first().cuts or []
-    splits = [-math.inf, *sorted({float(c) for c in cuts}), math.inf]
+    splits = [-math.inf, *sorted({float(c) for c in cuts or [0]}), math.inf]
     held = source.withColumn("_at", F.col("key").cast("double"))
     cut = Bucketizer(splits=splits, inputCol="_at", outputCol="_cut", handleInvalid="keep").transform(held)
     return cut.select("key", "text", F.when(F.col("key").isNull(), -1).otherwise(F.col("_cut").cast("int")).alias("bucket"))

@@ -259,6 +259,7 @@ def redact_documents(docs: DataFrame, text: str = "text", chars: str = "n_chars"
     A null text stays null. All other columns are as they were.
     """
     schema = docs.schema
+    plain = [f"c{i}" for i in range(len(schema))]  # any names pass, dots and blanks included
     at, count = schema.names.index(text), schema.names.index(chars) if chars in schema.names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,6 +269,7 @@ def redact_documents(docs: DataFrame, text: str = "text", chars: str = "n_chars"
             columns[at] = pa.array(texts, columns[at].type)
             if count is not None:
                 columns[count] = pa.array([None if t is None else len(t) for t in texts], columns[count].type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+            yield pa.RecordBatch.from_arrays(columns, plain)
 
-    return docs.mapInArrow(run, schema)
+    numbered = docs.toDF(*plain)
+    return numbered.mapInArrow(run, numbered.schema).toDF(*schema.names)

@@ -1,0 +1,304 @@
+"""Operators on single texts, against brute force, round trips and hand cases."""
+
+import base64
+import gzip
+import hashlib
+import random
+import urllib.parse
+from collections import Counter
+
+import numpy as np
+import pytest
+import sentencepiece
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from reedbed.llm import bpe, chat, decontaminate, extract, language, merkle, near_dup, secret_scan, shards, token_counts
+from reedbed.llm.common import tokenizer_path
+
+RANKS = tokenizer_path("byte_bpe_50k.tiktoken")
+CODER = bpe.load(RANKS)
+LIBRARY = tiktoken.Encoding("t", pat_str=bpe.KNOWN_PATTERN, mergeable_ranks=CODER.ranks, special_tokens={})
+MESSY = [None, "", " ", "\n\n", "a", "'s it's I'll x'", "  two  spaces \t", "é中😀\x1c\x85​", "word " * 5000, "=" * 3000]
+
+
+def texts(spark, values, schema="doc_id long, text string, `text.x` string, key string, node long"):
+    return spark.createDataFrame([(i, t, "x", "k", 1) for i, t in enumerate(values)], schema)
+
+
+def unpack(ids):
+    return np.frombuffer(ids, "<u4").tolist()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab '\n\tsrevltmd12é中!😀\x1c"), max_size=30), st.text(st.sampled_from("ab 'lre\n"), max_size=6))
+def test_bpe_equals_the_library(text, more):
+    assert unpack(CODER.encode(text)) == LIBRARY.encode_ordinary(text)
+    assert CODER.append(text, CODER.encode(text), more) == CODER.encode(text + more)
+    assert CODER.decode(CODER.encode(text)) == text.encode()
+
+
+def test_prefix_table_edits():
+    rng = random.Random(1)
+    for _ in range(300):
+        data = bytes(rng.choice(b"abcnest ") for _ in range(rng.randint(1, 300)))
+        table = bpe.Prefixes(CODER, data)
+        table.edit(rng.randrange(len(data)), rng.randint(0, 3), bytes(rng.choice(b"nest") for _ in range(rng.randint(0, 4))))
+        assert table.last == bpe.Prefixes(CODER, table.data).last
+        assert table.tokens() == CODER.merged(table.data)
+        assert table.tokens(len(table.data) // 2) == CODER.merged(table.data[: len(table.data) // 2])
+
+
+def test_bpe_query(spark):
+    got = {r.doc_id: r for r in bpe.encode_documents(texts(spark, MESSY), RANKS).collect()}
+    for i, text in enumerate(MESSY):
+        assert unpack(got[i].ids) == LIBRARY.encode_ordinary(text or "")
+        assert bytes(got[i].decoded) == (text or "").encode()
+    assert bpe.encode_documents(texts(spark, []), RANKS).count() == 0
+
+
+def test_token_counts_and_cache(spark, tmp_path):
+    path, cache = tokenizer_path("piece_bpe_32k.model"), f"{tmp_path}/cache"
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    docs = texts(spark, [*MESSY, "a"])
+    for _ in range(2):  # the second run has no misses and adds nothing
+        got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs, path, cache).collect()}
+        assert got == {i: (len((t or "").encode()), len(model.encode(t or ""))) for i, t in enumerate([*MESSY, "a"])}
+        assert spark.read.parquet(cache).count() == len({t or "" for t in MESSY})
+
+
+SECRET = 'token = "abcdef0123456789"'
+LAYERS = {
+    "base64": base64.b64encode(SECRET.encode()).decode(),
+    "percent": urllib.parse.quote(SECRET, safe=""),
+    "percent twice": urllib.parse.quote(urllib.parse.quote(SECRET, safe=""), safe=""),
+    "unicode": "".join(f"\\u{ord(c):04x}" for c in SECRET),
+    "entities": "".join(f"&#{ord(c)};" for c in SECRET),
+    "gzip": base64.b64encode(gzip.compress(SECRET.encode())).decode(),
+    "hex": SECRET.encode().hex(),
+    "base64 in percent in base64": base64.b64encode(urllib.parse.quote(base64.b64encode(SECRET.encode()).decode(), safe="").encode()).decode(),
+}
+
+
+@pytest.mark.parametrize("name", LAYERS)
+def test_secret_below_layers(name):
+    text = f"xé {LAYERS[name]} tail"
+    base, spans = secret_scan.find_secrets(text)
+    assert [s for s in base if s[0] == "assign"] == []
+    (kind, start, end), = [s for s in spans if s[0] == "assign"]
+    assert 3 <= start < end <= len(text) - 5
+    assert "0123" not in secret_scan.redact(text, spans)
+
+
+def test_base_spans():
+    found = lambda t: secret_scan.find_secrets(t)[0]
+    assert found("Password: hunter2") == [("assign", 0, 17)]
+    assert found("secret: token: abcdef") == []  # the short match takes the second word with it
+    assert found("AKIA" + "A" * 15) == [] and found("AKIA" + "A" * 16) == [("access", 0, 20)]
+    assert found("f" * 23) == [] and found("f" * 24) == [("hex", 0, 24)]
+    assert found("ſecret: abcdefgh") == []
+
+
+def test_secret_rows(spark):
+    docs = texts(spark, [*MESSY, SECRET]).withColumn("n_chars", F.length("text").cast("long"))
+    assert secret_scan.scan_documents(docs).where("size(spans) > 0").count() == 1
+    out = secret_scan.redact_documents(docs)
+    assert out.columns == docs.columns
+    row = out.where(f"doc_id = {len(MESSY)}").first()
+    assert row.n_chars == len(row.text) and "abcdef" not in row.text
+    assert out.where("doc_id = 0").first().text is None
+
+
+def test_cross_parsing_equals_greedy_search():
+    rng = random.Random(4)
+    samples = {k: ["".join(rng.choice(a) for _ in range(400))] for k, a in (("x", "aab c"), ("y", "bcd "))}
+    learned = language.Languages(samples)
+    table = language.code_table(learned.letters)
+    for _ in range(40):
+        text = "".join(rng.choice("abcd zq1") for _ in range(rng.randint(1, 1500)))
+        codes = language.codes_of(text, table).tolist()
+        for name, rate in zip(learned.names, learned.phrases([text])[0][0]):
+            known, phrases = bytes([*language.codes_of(samples[name][0], table).tolist(), 0]), 0
+            for begin in range(0, len(codes), language.STRETCH):
+                part, i = codes[begin : begin + language.STRETCH], 0
+                while i < len(part):
+                    j = i + 1
+                    while j < len(part) and bytes(part[i : j + 1]) in known:
+                        j += 1
+                    phrases, i = phrases + 1, j
+            assert rate == pytest.approx(phrases / len(codes))
+
+
+def test_language_held_out_accuracy(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = language.identify(docs, language.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id").where(language.held_out(F.col("doc_id")))
+    total, right = found.count(), found.where("lang = lang_pred").count()
+    assert right >= 0.95 * total > 0
+
+
+def test_language_of_nothing(spark):
+    docs = spark.createDataFrame([(1, None, None), (2, "12 !", "en"), (3, "", None)], "doc_id long, text string, lang string")
+    assert {tuple(r) for r in language.identify(docs, language.learn(docs)).collect()} == {(i, "und", 0.0) for i in (1, 2, 3)}
+
+
+def test_distance_equals_brute_force():
+    rng = random.Random(3)
+
+    def distance(item, text):
+        before = [0] * (len(text) + 1)
+        for i, a in enumerate(item, 1):
+            now = [i]
+            for j, b in enumerate(text, 1):
+                now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (a != b)))
+            before = now
+        return min(before)
+
+    for _ in range(400):
+        item = "".join(rng.choice("abc") for _ in range(rng.randint(1, 30)))
+        copy = list(item)
+        for _ in range(rng.randint(0, 4)):
+            copy.insert(rng.randrange(len(copy) + 1), "x")
+        text = "".join(rng.choice("abc") for _ in range(15)) + "".join(copy)
+        found, least = decontaminate.Matcher([(1, item)], 0.15), distance(item, text)
+        assert found.find(text) == ([(1, least)] if least <= decontaminate.budget(item, 0.15) else [])
+
+
+def test_leak_rows(spark):
+    item = "the quick brown fox jumps over the lazy dog and then runs away"
+    bench = spark.createDataFrame([(7, item), (8, None), (9, " "), (7, item)], "item_id long, text string")
+    docs = texts(spark, [None, "", f"so  {item.upper().replace(' ', chr(10))} it goes", item.replace("quick", "quack"), "clean", item])
+    assert {tuple(r) for r in decontaminate.find_leaks(docs, bench).collect()} == {(2, 7, 0), (3, 7, 1), (5, 7, 0)}
+    assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
+    assert decontaminate.find_leaks(docs.limit(0), bench).count() == 0
+
+
+def test_merkle_locates_edits():
+    one = "\n\n".join("\n".join(f"line {s} {p} " + "some words " * 20 for p in range(4)) for s in range(3))
+    assert "".join(x for s in merkle.tree(one) for p in s for x in p) == one
+    two = one.replace("line 1 2", "LINE 1 2")
+    a, b = merkle.fingerprint(one), merkle.fingerprint(two)
+    assert merkle.likeness(a, a) == 1 and 0.8 < merkle.likeness(a, b) < 1
+    (start, end), = merkle.edits(a, b)
+    assert start <= two.index("LINE") < end and end - start < len(two) / 6
+
+
+def test_merkle_rows(spark):
+    values = [*MESSY, "a", "a"]
+    for tasks in (1, 3):
+        got = {r.doc_id: r for r in merkle.compare_with_next(texts(spark, values).repartition(tasks)).collect()}
+        for i, text in enumerate(values):
+            text, following = text or "", values[(i + 1) % len(values)] or ""
+            half = len(text) // 2
+            new, row = text[: len(text) - half] + following[:half], got[i]
+            assert (row.n_chars, row.edited_sha256) == (len(text), hashlib.sha256(new.encode()).hexdigest())
+            assert row.fingerprint == merkle.fingerprint(text) and row.edited_fingerprint == merkle.fingerprint(new)
+            assert 0 <= row.near_edited <= 1 and (row.near_next == 1) == (text == following)
+    assert merkle.compare_with_next(texts(spark, [])).count() == 0
+    assert merkle.compare_with_next(texts(spark, ["only one"])).first().near_next == 1
+
+
+def test_pairs(spark):
+    turn = lambda role, text: {"role": role, "text": text}
+    a, b, c = turn("user", "hi"), turn("assistant", "é?"), turn("assistant", "no")
+    rows = [(1, [a, b], [a, c]), (2, [a], [a]), (3, None, [b]), (4, [b, a, b], [c])]
+    cell = "array<struct<role:string,text:string>>"
+    got = {r.pair_id: r for r in chat.format_pairs(spark.createDataFrame(rows, f"pair_id long, chosen {cell}, rejected {cell}")).collect()}
+    assert got[1].prompt == "<|user|>\nhi<|end|>\n" and got[1].prompt_turns == 1
+    assert got[1].chosen == "<|assistant|>\né?<|end|>\n" and [got[1].chosen[s.start : s.end] for s in got[1].chosen_mask] == ["é?<|end|>"]
+    assert (got[2].prompt_turns, got[2].chosen, got[2].rejected, got[2].chosen_mask) == (1, "", "", [])
+    assert (got[3].prompt, got[3].chosen) == ("", "") and got[3].rejected != ""
+    assert [got[4].chosen[s.start : s.end] for s in got[4].chosen_mask] == ["é?<|end|>"] * 2
+
+
+def test_feistel_is_a_permutation():
+    for total in (1, 2, 3, 17, 1000, 4097):
+        assert sorted(shards.slots(np.arange(total), total, "k").tolist()) == list(range(total))
+    assert shards.slots(np.arange(1000), 1000, "k").tolist() != shards.slots(np.arange(1000), 1000, "l").tolist()
+
+
+def test_shards_read_back(spark, tmp_path):
+    docs, folder = texts(spark, [*MESSY, "a", "a"]), f"file://{tmp_path}/s"
+    rows = shards.write_shards(docs, RANKS, folder, "seed", records=7, length=16).orderBy("slot").collect()
+    whole = [LIBRARY.encode_ordinary(t or "") for t in [*MESSY, "a", "a"]]
+    assert [r.slot for r in rows] == list(range(sum(-(-len(w) // 16) for w in whole)))
+    read = list(shards.read_records(folder, 0, len(rows), len(rows), 7, 16))
+    for row, ids in zip(rows, read):
+        assert ids.tolist() == whole[row.doc_id][16 * row.part : 16 * row.part + 16] and (row.shard, row.byte_offset) == shards.place(row.slot, 7, 16)
+    assert [x.tolist() for x in shards.read_records(folder, 5, 9, len(rows), 7, 16)] == [x.tolist() for x in read[5:14]]
+    assert shards.write_shards(texts(spark, [None, ""]), RANKS, folder).count() == 0
+
+
+def page(body):
+    return f"<html><head><title>t</title><style>p>a{{}}</style></head><body><nav><a href=/>Home</a></nav><!-- x -->{body}<footer>&copy; us</footer></body></html>"
+
+
+def test_pages(spark):
+    story = "A long enough story about one thing with many words &amp; an entity {}"
+    rows = [
+        (1, "http://h.org/1", page(f"<div class=ad>Buy</div><article><h1>One</h1><p><b>{story.format(1)}<br><p>Second\n  part</article>")),
+        (2, "http://h.org/2", page(f"<article><h1>Two</h1><p>{story.format(2)}</p></article>")),
+        (3, "http://h.org/3", page(f"<article><h1>Three</h1><p>{story.format(3)}</p></article><section class=comments><p>{story.format(9)}</p></section>")),
+        (4, "http://other.org/", page(f"<div id=sidebar><p>{story.format(8)}</p></div><div class=post><p>{story.format(4)}</p><p>End.</p></div>")),
+        (5, None, None), (6, "x", ""), (7, "http://h.org/7", "<article><p>cut of"), (8, "http://h.org/8", "plain < text"),
+    ]
+    got = {r.page_id: r.text for r in extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    text = lambda n: story.format(n).replace("&amp;", "&")
+    assert got[1] == f"One\n{text(1)}\nSecond part" and got[2] == f"Two\n{text(2)}" and got[3] == f"Three\n{text(3)}"
+    assert got[4] == f"{text(4)}\nEnd." and got[5] == got[6] == "" and got[7] == "cut of" and got[8] == "plain < text"
+
+
+def test_tree_matching_is_largest():
+    shape = lambda s: extract.Page(s).shape
+    a, b = shape("<body><nav></nav><div><p></p></div><footer></footer></body>"), shape("<body><div><p></p></div><aside></aside><footer></footer></body>")
+    assert sum(x >= 0 for x in extract.align(a, b)) == 5
+    assert extract.align(a, a) == list(range(6))
+
+
+def brute_components(values):
+    sets = {i: near_dup.shingles(t or "") for i, t in values.items()}
+    parent = {i: i for i in values}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in values:
+        for j in values:
+            common = len(np.intersect1d(sets[i], sets[j]))
+            if i < j and near_dup.linked(len(sets[i]), len(sets[j]), common):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return {i: (len(sets[i]), root(i)) for i in values}
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    values, copies = {}, [[word() for _ in range(60)] for _ in range(3)]
+    for i in range(160):
+        text = list(rng.choice(copies))
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3, 5])):
+            text[rng.randrange(60)] = word()
+        values[i] = " ".join(text)
+    values |= {1000 + i: t for i, t in enumerate([None, "", " ", "a", "A", "a b c d e", "a\tB c D\x0be"])}
+    docs = spark.createDataFrame(list(values.items()), "doc_id long, text string")
+    want = brute_components(values)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dup.near_duplicates(docs).collect()}
+    assert got == {i: (n, c, c == i) for i, (n, c) in want.items()}
+    assert near_dup.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_odd_sketch_estimates():
+    rng = np.random.default_rng(5)
+    for share in (0.75, 0.9):
+        errors = []
+        for _ in range(60):
+            common = rng.integers(0, 1 << 63, int(1000 * share), np.uint64)
+            rest = (1000 - len(common)) // 2
+            one, two = (near_dup.samples(np.concatenate([common, rng.integers(0, 1 << 63, rest, np.uint64)])) for _ in range(2))
+            errors.append(near_dup.estimate(near_dup.odd_sketch(one), near_dup.odd_sketch(two)) - share)
+        assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.06
+    assert Counter(near_dup.bands(one).tolist()).most_common(1)[0][1] == 1

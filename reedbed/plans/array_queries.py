@@ -10,7 +10,7 @@ from reedbed.plans import sql as q
 from reedbed.plans.registry import query
 from reedbed.session import materialize
 
-_WAVES = "waves AS (SELECT vec_id AS id, list_filter(embedding, lambda x: x > 0) AS y FROM embeddings)"
+_WAVES = "waves AS (SELECT vec_id AS id, list_concat(embedding, embedding[1:vec_id % 32]) AS y FROM embeddings)"
 _ZEROS = "list_transform(range({n}), lambda i: CAST(0 AS FLOAT))"
 
 

@@ -5,6 +5,9 @@ Every frame grows with its tables; nothing is sampled or cut.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,12 +43,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def recordings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw recordings in the CSV layout: orders with the brands of their returned items as species."""
+    """Raw recordings in the CSV layout: orders with the brands of their items as species; those of low priority are unlabelled."""
     orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     part, customer, nation = (table(spark, sf_dir, t) for t in ("part", "customer", "nation"))
     species = (
-        lineitem.filter("l_returnflag = 'R'")
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(F.col("l_orderkey").alias("sp_id"))
         .agg(F.sort_array(F.collect_set("p_brand")).alias("names"))
     )
@@ -57,7 +59,7 @@ def recordings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         orders.join(customer, F.col("c_custkey") == F.col("o_custkey"))
         .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
-        .join(species, F.col("sp_id") == key, "left")
+        .join(species, (F.col("sp_id") == key) & (F.col("o_orderpriority") != "5-LOW"), "left")
         .select(
             key.alias("id"),
             F.when(key % 29 == 0, None)
@@ -128,13 +130,15 @@ def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _probs(embedding: str):
-    scores = F.transform(F.slice(embedding, 1, N_CLASSES), lambda x: F.exp(x.cast("double") * 8))
+    # Class c has components c, c + 10, ... of the 64; each is used once.
+    held = lambda c, k: F.coalesce(F.get(embedding, c + N_CLASSES * k).cast("double"), F.lit(0.0))
+    scores = F.transform(F.sequence(F.lit(0), F.lit(N_CLASSES - 1)), lambda c: F.exp(reduce(add, (held(c, k) for k in range(7))) * 8))
     total = F.aggregate(scores, F.lit(0.0), lambda a, b: a + b)
     return F.transform(scores, lambda x: x / total)
 
 
 def chunk_scorer(df: DataFrame) -> DataFrame:
-    """Class probabilities from the first components of the embedding."""
+    """Class probabilities from all components of the embedding."""
     return df.withColumn("probs", _probs("embedding"))
 
 
@@ -200,6 +204,6 @@ def test_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def waveforms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signals of unequal length: the positive components of each embedding."""
-    positive = F.filter("embedding", lambda x: x > 0)
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), positive.alias("y"))
+    """Signals of unequal length: each embedding, followed by its own beginning."""
+    signal = F.concat("embedding", F.slice("embedding", F.lit(1), (F.col("vec_id") % 32).cast("int")))
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), signal.alias("y"))

@@ -33,7 +33,7 @@ RAW = """
 sp AS (
   SELECT l.l_orderkey AS id, list_sort(list(DISTINCT p.p_brand)) AS names
   FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
-  WHERE l.l_returnflag = 'R' GROUP BY 1),
+  GROUP BY 1),
 raw AS (
   SELECT o.o_orderkey AS id,
     CASE WHEN o.o_orderkey % 29 = 0 THEN NULL WHEN o.o_orderkey % 31 = 0 THEN '  '
@@ -50,7 +50,7 @@ raw AS (
     sp.names AS names,
     list_transform(sp.names, lambda x: CAST(substr(x, 7) AS BIGINT)) AS ids
   FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
-  LEFT JOIN sp ON sp.id = o.o_orderkey)"""
+  LEFT JOIN sp ON sp.id = o.o_orderkey AND o.o_orderpriority <> '5-LOW')"""
 
 PUBLISHED = "validated_status = 'published'"
 HAS_AUDIO = "(call_audio IS NOT NULL AND trim(call_audio) <> '')"
@@ -131,9 +131,11 @@ report AS (
     CAST(len(ids) AS INTEGER) AS species_count, len(ids) > 1 AS is_multi_species, state, capture_time
   FROM kept)"""
 
-CHUNKS = """
+_SCORE = " + ".join(f"coalesce(CAST(embedding[c + {10 * k + 1}] AS DOUBLE), 0.0)" for k in range(7))
+
+CHUNKS = f"""
 scored AS (
-  SELECT vec_id, label, embedding, list_transform(embedding[1:10], lambda x: exp(CAST(x AS DOUBLE) * 8)) AS e FROM embeddings),
+  SELECT vec_id, label, embedding, list_transform(range(0, 10), lambda c: exp(({_SCORE}) * 8)) AS e FROM embeddings),
 chunks AS (
   SELECT (vec_id // 50) * 10 + label AS recording_id, CAST(vec_id % 50 AS INTEGER) AS chunk_index,
     label AS y_true, embedding, vec_id, list_transform(e, lambda x: x / list_sum(e)) AS probs FROM scored),

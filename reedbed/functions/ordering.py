@@ -64,9 +64,8 @@ def take_by_hash(
 
     One narrow pass builds the slice histogram; slices past the n-th row are
     then dropped before anything is shuffled, and only the kept slices are ranked.
-    ``small_groups`` says that the number of groups is bounded by configuration
-    (class labels, or no groups at all), so the histogram, at most 4096 rows per
-    group, may be broadcast.
+    ``small_groups`` says that there are no groups, so the histogram has at most 4096
+    rows and may be broadcast.
     """
     quota = F.lit(n) if isinstance(n, int) else n
     wanted = _slices(df, groups, key).withColumn("_quota", quota.cast("bigint")).filter("_before < _quota")

@@ -147,8 +147,7 @@ def one_vs_rest(df: DataFrame) -> DataFrame:
 def drop_unseen_classes(df: DataFrame, long_rows: DataFrame) -> DataFrame:
     """Rows of ``long_rows`` whose ``class_label`` occurs as a true class in ``df``."""
     seen = df.select(F.col("y_true").alias("class_label")).distinct()
-    # One row per class of the mapping, however large the data is.
-    return long_rows.join(F.broadcast(seen), "class_label", "left_semi")
+    return long_rows.join(seen, "class_label", "left_semi")
 
 
 def _score_points(df: DataFrame) -> DataFrame:

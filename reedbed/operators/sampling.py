@@ -18,7 +18,6 @@ from reedbed.session import materialize
 
 LABEL = "class_label_single"
 DRAWS_PER_TASK_ROW = 100_000
-MANY_LABELS = 10_000
 
 
 def _target_pool(df: DataFrame) -> DataFrame:
@@ -44,7 +43,7 @@ def sample_target_downsample(df: DataFrame, cap: int | None, seed: int = 42) ->
     if not cap:
         return _target_pool(df)
     # One group per class label, a number fixed by the class mapping.
-    return _take(_target_pool(df), [LABEL], cap, seed, small_groups=True)
+    return _take(_target_pool(df), [LABEL], cap, seed, small_groups=False)
 
 
 def sample_target_upsample(df: DataFrame, cap: int | None, seed: int = 42) -> DataFrame:
@@ -147,7 +146,7 @@ def sample_hold_out(
         return unused
     if LABEL not in unused.columns:
         raise ValueError(f"missing column {LABEL} for a cap per class")
-    return _take(unused.filter(F.col(LABEL).isNotNull()), [LABEL], cap, seed, small_groups=True)
+    return _take(unused.filter(F.col(LABEL).isNotNull()), [LABEL], cap, seed, small_groups=False)
 
 
 def _with_quota(ids: DataFrame, wanted: Column, stratify: bool) -> DataFrame:
@@ -179,11 +178,9 @@ def _with_quota(ids: DataFrame, wanted: Column, stratify: bool) -> DataFrame:
         F.when(split, F.concat(F.lit("c"), F.coalesce(F.col("label").cast("string"), F.lit("")))).otherwise("all").alias("_stratum"),
         F.when(split, quota).otherwise(F.col("_wanted")).alias("_quota"),
     )
-    # A class may hold most ids, so a join by label should not shuffle them. With more labels
-    # than a class list ever has it does, and adaptive execution splits a hot label.
-    few = ids.select("label").distinct().limit(MANY_LABELS + 1).count() <= MANY_LABELS
+    # No hint: adaptive execution broadcasts the quotas while they are small and splits a hot label beyond.
     by_label = F.col("label").eqNullSafe(F.col("_label"))
-    return ids.join(F.broadcast(quotas) if few else quotas, by_label).drop("_label")
+    return ids.join(quotas, by_label).drop("_label")
 
 
 def _assign(ids: DataFrame, wanted: Column, stratify: bool, seed: int) -> DataFrame:

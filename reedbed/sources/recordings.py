@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +38,9 @@ def read_recordings(spark: SparkSession, path: str, multi_line: bool = True) ->
     """
     header = spark.read.option("header", True).csv(path).columns if not multi_line else _header(spark, path)
     known = {f.name: f.dataType for f in RAW_SCHEMA}
-    schema = T.StructType([T.StructField(c, known.get(c, T.StringType())) for c in header])
-    return (
+    flags = [c for c in header if isinstance(known.get(c), T.BooleanType)]
+    schema = T.StructType([T.StructField(c, T.StringType() if c in flags else known.get(c, T.StringType())) for c in header])
+    rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("multiLine", multi_line)
@@ -47,6 +48,18 @@ def read_recordings(spark: SparkSession, path: str, multi_line: bool = True) ->
         .option("enforceSchema", False)
         .csv(path)
     )
+    return rows.withColumns({c: parse_flag(c) for c in flags})
+
+
+def parse_flag(name: str) -> Column:
+    """A flag written as true/false or as a number, in any case; empty is null, anything else an error."""
+    text = F.lower(F.trim(F.col(name)))
+    return (
+        F.when(text.isNull() | text.isin("", "nan", "none", "null"), F.lit(None).cast("boolean"))
+        .when(text.isin("true", "1", "1.0", "t", "yes"), True)
+        .when(text.isin("false", "0", "0.0", "f", "no"), False)
+        .otherwise(F.raise_error(F.concat(F.lit(f"{name}: not a flag: "), text)).cast("boolean"))
+    )
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
@@ -65,12 +78,18 @@ def parse_list_columns(df: DataFrame, cols: dict[str, str] = LIST_COLUMNS) -> Da
     """List text such as ``['A', 'B']`` to arrays; anything that is not a list gives null.
 
     Escapes and quotes follow JSON with single quotes allowed, so a name with an
-    apostrophe is written in double quotes. The empty list stays an empty list.
+    apostrophe is written in double quotes. The empty list stays an empty list. As in
+    Python, ``None`` and ``nan`` are missing entries, a comma may end the list, and
+    whole numbers may be written as ``1.0``.
     """
 
     def parsed(name: str, kind: str):
         text = F.trim(F.col(name))
         is_list = text.startswith("[") & text.endswith("]")
+        text = F.regexp_replace(text, r"(?<=[\[,])\s*(?:None|nan)\s*(?=[,\]])", "null")
+        text = F.regexp_replace(text, r",\s*\]$", "]")
+        if kind == "array<bigint>":
+            return F.when(is_list, F.from_json(text, "array<double>").cast(kind))
         return F.when(is_list, F.from_json(text, kind))
 
     return df.withColumns({c: parsed(c, kind) for c, kind in cols.items()})

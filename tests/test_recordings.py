@@ -203,3 +203,16 @@ def test_cleaned_and_report_layouts(spark):
     assert list(got.asDict()) == clean.CLEANED_COLUMNS
     report = derive.dashboard_frame(df, ("a",)).first()
     assert (report["first_species_name"], report["sorted_species_names"], report["first_species_id"]) == ("b", ["a", "b"], 2)
+
+
+def test_flags_as_numbers(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("id,is_duplicate,quality_call\n1,1,0\n2,0.0,True\n3,,false\n4,1.0,\n")
+    from reedbed.sources.recordings import read_recordings
+
+    got = read_recordings(spark, str(tmp_path / "r.csv"), multi_line=False)
+    assert rows(got, "id", "is_duplicate", "quality_call") == [(1, True, False), (2, False, True), (3, None, False), (4, True, None)]
+
+
+def test_python_lists(spark):
+    df = spark.createDataFrame([("['A', None]", "[1.0, nan]"), ("['B',]", "[2,]"), ("['None']", "[3]")], "validated_frog_names string, validated_frog_ids string")
+    assert rows(recordings.parse_list_columns(df), "validated_frog_names", "validated_frog_ids") == [(["A", None], [1, None]), (["B"], [2]), (["None"], [3])]

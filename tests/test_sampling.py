@@ -168,11 +168,14 @@ def test_remainders_go_to_the_largest_then_the_smaller_class(spark):
     assert Counter(r["label"] for r in tested.collect()) == {0: 2, 1: 1, 2: 1}
 
 
-def test_split_by_many_labels_joins_without_broadcast(spark, monkeypatch):
+def test_split_joins_alike_without_broadcast(spark):
     df = chunk_rows(spark, [0] * 20 + [1] * 20, per_id=1)
     want = rows(sampling.split_ids(df, "id", "label", "chunk_index", 0.2, 0.2), "id", "split")
-    monkeypatch.setattr(sampling, "MANY_LABELS", 1)
-    assert rows(sampling.split_ids(df, "id", "label", "chunk_index", 0.2, 0.2), "id", "split") == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(sampling.split_ids(df, "id", "label", "chunk_index", 0.2, 0.2), "id", "split") == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_ranks_and_quotas_match_a_sort(spark):

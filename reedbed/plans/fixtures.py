@@ -43,13 +43,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def recordings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw recordings in the CSV layout: orders with the brands of their items as species; those of low priority are unlabelled."""
+    """Raw recordings in the CSV layout: orders with the brands of their items as species (every second has all,
+    the others one of them); orders of a price divisible by four are unlabelled."""
     orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     part, customer, nation = (table(spark, sf_dir, t) for t in ("part", "customer", "nation"))
     species = (
         lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(F.col("l_orderkey").alias("sp_id"))
-        .agg(F.sort_array(F.collect_set("p_brand")).alias("names"))
+        .agg(F.sort_array(F.collect_set("p_brand")).alias("every"))
+        .withColumn("one", F.array(F.get("every", (F.col("sp_id") % F.size("every")).cast("int"))))
+        .select("sp_id", F.when(F.col("sp_id") % 2 == 0, F.col("every")).otherwise(F.col("one")).alias("names"))
     )
     key = F.col("o_orderkey")
     names = F.concat(F.lit("['"), F.array_join("names", "', '"), F.lit("']"))
@@ -59,7 +62,7 @@ def recordings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         orders.join(customer, F.col("c_custkey") == F.col("o_custkey"))
         .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
-        .join(species, (F.col("sp_id") == key) & (F.col("o_orderpriority") != "5-LOW"), "left")
+        .join(species, (F.col("sp_id") == key) & (F.floor("o_totalprice") % 4 != 0), "left")
         .select(
             key.alias("id"),
             F.when(key % 29 == 0, None)

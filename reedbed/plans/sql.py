@@ -31,9 +31,10 @@ def label_of(name: str) -> str:
 
 RAW = """
 sp AS (
-  SELECT l.l_orderkey AS id, list_sort(list(DISTINCT p.p_brand)) AS names
+  SELECT id, CASE WHEN id % 2 = 0 THEN every ELSE [every[id % len(every) + 1]] END AS names FROM (
+  SELECT l.l_orderkey AS id, list_sort(list(DISTINCT p.p_brand)) AS every
   FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
-  GROUP BY 1),
+  GROUP BY 1)),
 raw AS (
   SELECT o.o_orderkey AS id,
     CASE WHEN o.o_orderkey % 29 = 0 THEN NULL WHEN o.o_orderkey % 31 = 0 THEN '  '
@@ -50,7 +51,7 @@ raw AS (
     sp.names AS names,
     list_transform(sp.names, lambda x: CAST(substr(x, 7) AS BIGINT)) AS ids
   FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
-  LEFT JOIN sp ON sp.id = o.o_orderkey AND o.o_orderpriority <> '5-LOW')"""
+  LEFT JOIN sp ON sp.id = o.o_orderkey AND CAST(floor(o.o_totalprice) AS BIGINT) % 4 <> 0)"""
 
 PUBLISHED = "validated_status = 'published'"
 HAS_AUDIO = "(call_audio IS NOT NULL AND trim(call_audio) <> '')"

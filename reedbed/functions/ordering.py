@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_DIGITS = 3  # 16**3 = 4096 slices per group
-MAX_PIECES = 256
 
 
 def hash_key(id_col: str | Column, seed: int) -> Column:
@@ -81,12 +80,12 @@ def take_by_hash(
 
 
 def value_cuts(df: DataFrame, col: str) -> list[float]:
-    """Values that split ``col`` evenly: four ranges per shuffle partition, at most 256.
+    """Values that split ``col`` evenly: four ranges per shuffle partition.
 
     Fetched once and then used as constants: the cuts only balance the work,
     any cuts give the same result, but all branches must use the same ones.
     """
-    pieces = min(4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_PIECES)
+    pieces = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if pieces < 2:
         return []
     points = [i / pieces for i in range(1, pieces)]

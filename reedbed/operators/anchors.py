@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from reedbed.functions.columns import only
 
-# Up to this many species a frequency lookup is held in the plan; beyond it rows are joined.
-SMALL_VOCABULARY = 1000
-
 
 def species_frequency(df: DataFrame, names: str = "species_names") -> DataFrame:
     """Occurrences per species, repeats counted."""
@@ -23,10 +20,18 @@ def species_frequency(df: DataFrame, names: str = "species_names") -> DataFrame:
     return exploded.groupBy("species").agg(F.count(F.lit(1)).alias("count"))
 
 
-def small_frequency(frequency: DataFrame) -> dict[str, int] | None:
-    """The frequencies as a dict, or None when there are more than ``SMALL_VOCABULARY`` species."""
-    rows = frequency.limit(SMALL_VOCABULARY + 1).collect()
-    return None if len(rows) > SMALL_VOCABULARY else {r["species"]: r["count"] for r in rows}
+def name_lists(df: DataFrame) -> DataFrame:
+    """Each different list of species, ``names``, with the number of its rows.
+
+    What depends on the list alone is found once per list and joined back by it, so rows need no key.
+    """
+    return df.groupBy(F.col("species_names").alias("names")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def list_frequency(lists: DataFrame) -> DataFrame:
+    """Occurrences per species over the rows behind ``name_lists``, repeats counted."""
+    spread = lists.select("rows", F.explode("names").alias("species")).filter(F.col("species").isNotNull())
+    return spread.groupBy("species").agg(F.sum("rows").alias("count"))
 
 
 def anchor_first(df: DataFrame, targets: Sequence[str] = ()) -> DataFrame:
@@ -37,35 +42,28 @@ def anchor_first_target(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     return df.withColumn("anchor_species", F.try_element_at(only(F.col("species_names"), targets), F.lit(1)))
 
 
-def _most_frequent(df: DataFrame, candidates: Column) -> DataFrame:
-    """Most frequent candidate; ties go to the first in the list."""
-    frequency = species_frequency(df)
-    known = small_frequency(frequency)
-    if known is not None:
-        pairs = [part for s, n in known.items() for part in (F.lit(s), F.lit(n).cast("bigint"))]
-        lookup = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,bigint>")
-        scored = F.transform(
-            candidates, lambda name, i: F.struct(F.try_element_at(lookup, name).alias("n"), (-i).alias("p"), name.alias("s"))
-        )
-        return df.withColumn("anchor_species", F.array_max(scored)["s"])
-    # Large vocabulary: look every name up by a join. Hot species are split by the skew join.
-    spread = df.select("id", F.posexplode(candidates).alias("p", "species"))
+def _most_frequent(df: DataFrame, candidates: Callable[[Column], Column]) -> DataFrame:
+    """Most frequent candidate; ties go to the first in the list. One way for any number of species, ids play no part."""
+    lists = name_lists(df)
+    spread = lists.select("names", F.posexplode(candidates(F.col("names"))).alias("p", "species"))
     best = (
-        spread.join(frequency, "species")
-        .groupBy("id")
+        spread.join(list_frequency(lists), "species")
+        .groupBy("names")
         .agg(F.max_by("species", F.struct("count", -F.col("p"))).alias("anchor_species"))
+        .withColumnRenamed("names", "_names")
     )
-    return df.join(best, "id", "left")
+    plain = df.drop("anchor_species")
+    return plain.join(best, F.col("species_names") == F.col("_names"), "left").drop("_names")
 
 
 def anchor_most_frequent(df: DataFrame, targets: Sequence[str] = ()) -> DataFrame:
     """Most frequent species over all rows of ``df``."""
-    return _most_frequent(df, F.col("species_names"))
+    return _most_frequent(df, lambda names: names)
 
 
 def anchor_most_frequent_target(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     """The same among target species."""
-    return _most_frequent(df, only(F.col("species_names"), targets))
+    return _most_frequent(df, lambda names: only(names, targets))
 
 
 ANCHORS: dict[str, Callable[[DataFrame, Sequence[str]], DataFrame]] = {

@@ -13,20 +13,40 @@ from reedbed.operators.anchors import ANCHORS
 from reedbed.operators.clean import clean_recordings, project_cleaned
 from reedbed.sources.recordings import parse_list_columns, require_columns
 
-# Accepted besides ISO text.
-TIME_FORMATS = ("M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "d MMM yyyy H:mm:ss", "d MMM yyyy H:mm", "M/d/yyyy", "d MMM yyyy")
+# Dates and times of day accepted besides ISO text; month first where both readings are possible.
+DATE_FORMATS = ("M/d/yyyy", "d/M/yyyy", "yyyy/M/d", "yyyyMMdd", "MMM d yyyy", "d MMM yyyy")
+CLOCK_FORMATS = ("[ H:mm[:ss]]", " h:mm[:ss] a")
+TIME_FORMATS = tuple(date + clock for date in DATE_FORMATS for clock in CLOCK_FORMATS)
 
 
 def parse_capture_time(df: DataFrame, col: str = "capture_time", formats: Sequence[str] = TIME_FORMATS) -> DataFrame:
-    """Text to wall-clock time; a zone suffix is dropped, bad text gives null. A time stays as it is."""
+    """Text to wall-clock time; a zone suffix is dropped, bad text gives null. A time stays as it is.
+
+    A leading weekday, commas, long month names and a year behind the time are put right before the formats are tried.
+    ``unparsed_times`` counts what is lost.
+    """
     if dict(df.dtypes)[col] == "timestamp_ntz":
         return df
     text = F.trim(F.col(col).cast("string"))
+    plain = F.trim(F.regexp_replace(F.regexp_replace(text, r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*[,.]?\s+", ""), r"[,\s]+", " "))
+    plain = F.regexp_replace(plain, r"^(\d{4})-(\d{1,2})-(\d{1,2})", "$1/$2/$3")
+    plain = F.regexp_replace(plain, r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?", "$1")
+    plain = F.regexp_replace(plain, r"^(\p{L}+ \d{1,2}) (\d{1,2}:\d{2}(?::\d{2})?) (\d{4})$", "$1 $3 $2")
+    plain = F.regexp_replace(plain, r"(?i)(\d) ?([ap])\.?m\.?$", "$1 $2m")
+    plain = F.concat(F.initcap(F.regexp_replace(plain, r" [aApP]m$", "")), F.upper(F.regexp_extract(plain, r"( [aApP]m)$", 1)))
     parsed = [text.try_cast("timestamp_ntz")]
-    parsed += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    # A bare number casts as a year; eight digits are a date.
+    parsed = [F.when(~text.rlike(r"^\d+$"), parsed[0]), *[F.try_to_timestamp(plain, F.lit(f)).cast("timestamp_ntz") for f in formats], parsed[0]]
     return df.withColumn(col, F.coalesce(*parsed))
 
 
+def unparsed_times(df: DataFrame, col: str = "capture_time") -> DataFrame:
+    """One row: ``unparsed``, the number of texts that are not blank and give no time."""
+    given = df.select(F.col(col).alias("_text"), F.col(col).alias("_time"))
+    text = F.trim(F.col("_text").cast("string"))
+    return parse_capture_time(given, "_time").agg(F.count_if((text != "") & F.col("_time").isNull()).alias("unparsed"))
+
+
 def sort_species(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.sort_array(c) for c in ("validated_frog_names", "validated_frog_ids")})
 

@@ -95,7 +95,7 @@ def classification_report(df: DataFrame, mapping: ClassMapping | None = None, di
     """Per class rows, then accuracy, macro avg and weighted avg; values rounded half to even.
 
     As in a printed report turned into a table, the accuracy row repeats its value in all
-    columns. ``position`` orders the rows.
+    columns. ``is_summary`` tells the rows of averages; it and ``position`` order the rows.
     """
     scores = _scores(_class_counts(df))
     label = F.col("class_label").cast("string")
@@ -104,7 +104,8 @@ def classification_report(df: DataFrame, mapping: ClassMapping | None = None, di
     n = F.sum("support")
     values = ["precision", "recall", "f1"]
     per_class = scores.select(
-        F.col("class_label").cast("int").alias("position"), label.alias("label"), *values, F.col("support").cast("double")
+        F.lit(False).alias("is_summary"), F.col("class_label").cast("int").alias("position"), label.alias("label"), *values,
+        F.col("support").cast("double"),
     )
     total = n.cast("double")
     sums = scores.agg(
@@ -117,24 +118,24 @@ def classification_report(df: DataFrame, mapping: ClassMapping | None = None, di
 
     def row(position: int, name: str, cells: list[Column]) -> Column:
         named = [cell.alias(c) for c, cell in zip((*values, "support"), cells)]
-        return F.struct(F.lit(position).alias("position"), F.lit(name).alias("label"), *named)
+        return F.struct(F.lit(True).alias("is_summary"), F.lit(position).alias("position"), F.lit(name).alias("label"), *named)
 
     rows = F.array(
-        row(1_000_000, "accuracy", [acc] * 4),
+        row(0, "accuracy", [acc] * 4),
         *[
-            row(1_000_001 + i, f"{kind} avg", [*[F.col(f"{kind}_{v}") for v in values], F.col("n")])
+            row(1 + i, f"{kind} avg", [*[F.col(f"{kind}_{v}") for v in values], F.col("n")])
             for i, kind in enumerate(("macro", "weighted"))
         ],
     )
     summary = sums.select(F.inline(rows))
     both = per_class.unionByName(summary)
-    return both.select("position", "label", *[half_even(F.col(c), digits).alias(c) for c in (*values, "support")]).orderBy("position")
+    rounded = [half_even(F.col(c), digits).alias(c) for c in (*values, "support")]
+    return both.select("is_summary", "position", "label", *rounded).orderBy("is_summary", "position")
 
 
 def classes_by_f1(report: DataFrame) -> DataFrame:
     """Class rows of a report by f1 descending, ties by label."""
-    summary = ["accuracy", "macro avg", "weighted avg"]
-    return report.filter(~F.col("label").isin(summary)).orderBy(F.col("f1").desc(), "label")
+    return report.filter(~F.col("is_summary")).orderBy(F.col("f1").desc(), "label")
 
 
 def one_vs_rest(df: DataFrame) -> DataFrame:

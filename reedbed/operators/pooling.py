@@ -76,7 +76,7 @@ def pool_topk(df: DataFrame, n_classes: int, k: int = 3) -> DataFrame:
     """Mean of the ``k`` most confident chunks (ties: lower chunk index); all if there are fewer."""
     counts = df.groupBy("recording_id").agg(*_common(df))
     best = Window.partitionBy("recording_id").orderBy(F.array_max("probs").desc(), F.col("chunk_index"))
-    # The rank limit is applied inside each task before the shuffle.
+    # The rank limit is applied inside each task before the shuffle; one pass for all would hold a recording's chunks in one task.
     top = df.withColumn("_rn", F.row_number().over(best)).filter(F.col("_rn") <= k)
     probs = top.groupBy("recording_id").agg(_mean_probs(n_classes).alias("probs"))
     return _finish(probs.join(counts, "recording_id"), argmax(F.col("probs")))

@@ -330,14 +330,15 @@ def describe_by_species(df: DataFrame, col: str, by: str = "species_name") -> Da
     running totals, so the values of a hot species are never held by one task.
     """
     known = df.filter(F.col(by).isNotNull() & F.col(col).isNotNull()).select(by, F.col(col).cast("double").alias("_x"))
-    moments = known.groupBy(by).agg(
-        F.count("_x").alias("count"),
-        F.avg("_x").alias("mean"),
-        F.stddev_samp("_x").alias("std"),
-        F.min("_x").alias("min"),
-        F.max("_x").alias("max"),
-    )
     counts = materialize(known.groupBy(by, "_x").agg(_rows().alias("_n")), "value-counts")
+    # All moments come from the value counts; squares are taken around the mean, as large values would cancel.
+    n, x = F.col("_n"), F.col("_x")
+    sums = counts.groupBy(by).agg(
+        F.sum(n).alias("count"), (F.sum(n * x) / F.sum(n)).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max")
+    )
+    apart = counts.join(sums.select(by, "mean"), by).groupBy(by).agg(F.sum(n * (x - F.col("mean")) ** 2).alias("_squares"))
+    std = F.when(F.col("count") > 1, F.sqrt(F.col("_squares") / (F.col("count") - 1)))
+    moments = sums.join(apart, by).withColumn("std", std)
     ranked = running_totals(counts, [by], "_x", ["_n"], value_cuts(counts, "_x"), descending=False)
 
     def at_rank(rank: Column) -> Column:

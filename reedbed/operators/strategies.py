@@ -7,8 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reedbed.functions.columns import has_any
-from reedbed.operators.anchors import small_frequency, species_frequency
+from reedbed.operators.anchors import list_frequency, name_lists
 
 
 def single_species_only(df: DataFrame) -> DataFrame:
@@ -25,14 +24,11 @@ def other_species_only(df: DataFrame) -> DataFrame:
 
 def keep_by_frequency(df: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
     """Rows with any species whose number of occurrences in ``df`` passes ``wanted``."""
-    chosen = species_frequency(df).filter(wanted(F.col("count")))
-    known = small_frequency(chosen)
-    if known is not None:
-        return df.filter(has_any(F.col("species_names"), sorted(known)))
-    # Too many species for one list: match names by a join, then rows by id.
-    names = df.select("id", F.explode(F.array_distinct("species_names")).alias("species"))
-    ids = names.join(chosen, "species", "left_semi").select("id").distinct()
-    return df.join(ids, "id", "left_semi")
+    lists = name_lists(df)
+    chosen = list_frequency(lists).filter(wanted(F.col("count")))
+    names = lists.select("names", F.explode(F.array_distinct("names")).alias("species"))
+    matched = names.join(chosen, "species", "left_semi").select(F.col("names").alias("_names")).distinct()
+    return df.join(matched, F.col("species_names") == F.col("_names"), "left_semi")
 
 
 def rare_species_only(df: DataFrame, threshold: int = 100) -> DataFrame:

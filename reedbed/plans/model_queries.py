@@ -131,17 +131,18 @@ _metric_query(
     metrics.global_metrics,
 )
 _REPORT = f"""{_PRESENT}, rep AS (
-  SELECT c AS position, ({q.M})[c + 1] AS label, p AS precision, r AS recall, f AS f1, CAST(support AS DOUBLE) AS support FROM pc
-  UNION ALL SELECT 1000000, 'accuracy', a, a, a, a FROM (SELECT CAST(sum(tp) AS DOUBLE) / sum(support) AS a FROM pc)
-  UNION ALL SELECT 1000001, 'macro avg', avg(p), avg(r), avg(f), CAST(sum(support) AS DOUBLE) FROM pc
-  UNION ALL SELECT 1000002, 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support),
+  SELECT false AS is_summary, CAST(c AS INTEGER) AS position, ({q.M})[c + 1] AS label, p AS precision, r AS recall, f AS f1,
+    CAST(support AS DOUBLE) AS support FROM pc
+  UNION ALL SELECT true, 0, 'accuracy', a, a, a, a FROM (SELECT CAST(sum(tp) AS DOUBLE) / sum(support) AS a FROM pc)
+  UNION ALL SELECT true, 1, 'macro avg', avg(p), avg(r), avg(f), CAST(sum(support) AS DOUBLE) FROM pc
+  UNION ALL SELECT true, 2, 'weighted avg', sum(p * support) / sum(support), sum(r * support) / sum(support),
     sum(f * support) / sum(support), CAST(sum(support) AS DOUBLE) FROM pc)
-SELECT position, label, round_even(precision, 3) AS precision, round_even(recall, 3) AS recall, round_even(f1, 3) AS f1,
+SELECT is_summary, position, label, round_even(precision, 3) AS precision, round_even(recall, 3) AS recall, round_even(f1, 3) AS f1,
   round_even(support, 3) AS support FROM rep"""
 _metric_query("classification_report", _REPORT, lambda df: metrics.classification_report(df, fx.MAPPING))
 _metric_query(
     "classes_by_f1",
-    f"{_REPORT} WHERE position < 1000000",
+    f"{_REPORT} WHERE NOT is_summary",
     lambda df: metrics.classes_by_f1(metrics.classification_report(df, fx.MAPPING)),
 )
 

@@ -119,14 +119,17 @@ def _(spark, sf_dir):
 @query(
     "incremental_features",
     f"""WITH {q.FEATURES} SELECT id, chunk_index, class_label, species_name,
-    CASE WHEN is_held THEN 'hit' ELSE 'to_do' END AS status FROM features""",
+    CASE WHEN is_held THEN 'hit' ELSE 'to_do' END AS status,
+    (SELECT count(*) FROM features) AS n_wanted, (SELECT count(*) FROM features WHERE is_held) AS n_hits,
+    (SELECT count(*) FROM features WHERE NOT is_held) AS n_to_do FROM features""",
 )
 def _(spark, sf_dir):
     rows = fx.features(spark, sf_dir)
     held = rows.filter("is_held").select("id", "chunk_index", "features")
-    hits, to_do, _ = embeddings.incremental_features(rows.drop("features", "vec_id"), held)
+    hits, to_do, counts = embeddings.incremental_features(rows.drop("features", "vec_id"), held)
     both = hits.drop("features").withColumn("status", F.lit("hit")).unionByName(to_do.withColumn("status", F.lit("to_do")))
-    return both.select("id", "chunk_index", "class_label", "species_name", "status")
+    counted = both.crossJoin(counts.toDF("n_wanted", "n_hits", "n_to_do"))  # one row
+    return counted.select("id", "chunk_index", "class_label", "species_name", "status", "n_wanted", "n_hits", "n_to_do")
 
 
 @query("scan_audio_inventory", "SELECT s_suppkey AS id FROM supplier WHERE s_acctbal >= 0 AND s_nationkey > 3")

@@ -89,16 +89,12 @@ def incremental_features(wanted: DataFrame, store: DataFrame) -> tuple[DataFrame
     columns of the wanted row; ``hit_counts`` has one row ``(wanted, hits, to_do)``.
     """
     keys = ["id", "chunk_index"]
-    held = store.select(*keys, "features")
-    joined = wanted.join(held, keys)
-    to_do = wanted.join(held.select(*keys), keys, "left_anti")
-    flagged = wanted.select(*keys).join(held.select(*keys).withColumn("_held", F.lit(True)), keys, "left")
-    counts = flagged.agg(
-        F.count(F.lit(1)).alias("wanted"),
-        F.count_if(F.col("_held")).alias("hits"),
-        F.count_if(F.col("_held").isNull()).alias("to_do"),
-    )
-    return joined, to_do, counts
+    # A key stored twice counts once: its features are those of the greatest vector, whatever the order of the rows.
+    held = store.groupBy(*keys).agg(F.max("features").alias("features")).withColumn("_held", F.lit(True))
+    flagged = materialize(wanted.join(held, keys, "left"), "incremental")
+    is_hit = F.col("_held").isNotNull()
+    counts = flagged.agg(F.count(F.lit(1)).alias("wanted"), F.count_if(is_hit).alias("hits"), F.count_if(~is_hit).alias("to_do"))
+    return flagged.filter(is_hit).drop("_held"), flagged.filter(~is_hit).drop("_held", "features"), counts
 
 
 def merge_feature_sources(stored: DataFrame, fresh: DataFrame) -> DataFrame:

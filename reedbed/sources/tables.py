@@ -17,13 +17,17 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, table: str, mode: str = "append", partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.format("parquet").mode(mode)
+    """Paths hold Parquet; a table of the catalog keeps its own format and layout."""
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if _is_path(table):
-        writer.save(table)
+        writer.format("parquet").save(table)
+    elif df.sparkSession.catalog.tableExists(table):
+        detail = df.sparkSession.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'").first()
+        writer.format(detail["data_type"] if detail else "parquet").saveAsTable(table)
     else:
-        writer.saveAsTable(table)
+        writer.format("parquet").saveAsTable(table)
 
 
 def read_or_empty(spark: SparkSession, table: str, schema: str) -> DataFrame:

@@ -112,6 +112,18 @@ def test_times_keep_the_wall_clock(spark):
     assert parts[4]["year"] is None
 
 
+def test_times_in_free_form(spark):
+    at, day = dt.datetime(2025, 3, 17, 21, 12), dt.datetime(2025, 3, 17)
+    cases = {
+        "3/17/2025 9:12 PM": at, "2025-03-17 9:12 PM": at, "17/03/2025 21:12": at, "Mar 17, 2025": day, "17 March 2025": day,
+        "2025/03/17 21:12": at, "20250317": day, "Mon Mar 17 21:12:00 2025": at, "March 17, 2025 9:12 p.m.": at, "17 mar 2025 9:12pm": at,
+        "3/4/2025": dt.datetime(2025, 3, 4), "31/31/2025": None, "not a time": None, "": None, None: None,
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "id int, capture_time string")
+    assert [r[1] for r in derive.parse_capture_time(df).orderBy("id").collect()] == list(cases.values())
+    assert derive.unparsed_times(df).first()["unparsed"] == 2
+
+
 def test_counts_come_from_ids_and_targets_from_names(spark):
     lists = [["a", "a", "x"], ["x"], ["a"], ["a", "b"], ["a"]]
     df = named(spark, lists, [[1, 2], [9], [], [1, 2], [1]])
@@ -149,10 +161,8 @@ def test_mapping_labels_are_positions():
     assert len(ClassMapping().species) == 16
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_anchors_and_frequency_ties(spark, monkeypatch, limit):
-    """Equal frequencies go to the first of the sorted list, by lookup and by join alike."""
-    monkeypatch.setattr(anchors, "SMALL_VOCABULARY", limit)
+def test_anchors_and_frequency_ties(spark):
+    """Equal frequencies go to the first of the sorted list."""
     df = named(spark, [["b", "x"], ["a", "b"], ["a", "x"], ["x"], ["y", "z"]])
     got = {n: [r[0] for r in fn(df, ("a", "b")).orderBy("id").select("anchor_species").collect()] for n, fn in anchors.ANCHORS.items()}
     assert got["first"] == ["b", "a", "a", "x", "y"]
@@ -167,14 +177,22 @@ def test_python_anchor_decides_for_several_species_only(spark):
     assert [tuple(r) for r in df.select("species_name_single", "class_label_single").collect()] == [("a", 1), ("c", 3)]
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
-def test_rare_species_keep_a_row_with_any_of_them(spark, monkeypatch, limit):
-    monkeypatch.setattr(anchors, "SMALL_VOCABULARY", limit)
+def test_rare_species_keep_a_row_with_any_of_them(spark):
     df = named(spark, [["a"], ["a", "b"], ["a"], ["c", "c"]])
     assert rows(strategies.rare_species_only(df, 2), "id") == [(1,)]
     assert rows(strategies.rare_species_only(df, 3), "id") == [(1,), (3,)]
 
 
+def test_anchors_and_frequency_filters_with_repeated_and_null_ids(spark):
+    data = [(1, ["A", "B"]), (1, ["C", "C"]), (None, ["A"]), (None, None), (2, []), (3, ["D", None])]
+    df = spark.createDataFrame(data, "id bigint, species_names array<string>")
+    got = {(r[0], tuple(r[1] or ())): r[2] for r in anchors.anchor_most_frequent(df).select("id", "species_names", "anchor_species").collect()}
+    assert got == {(1, ("A", "B")): "A", (1, ("C", "C")): "C", (None, ("A",)): "A", (None, ()): None, (2, ()): None, (3, ("D", None)): "D"}
+    kept = strategies.keep_by_frequency(df, lambda n: n >= 2).select("id", "species_names").collect()
+    assert sorted((r[0] or 0, r[1]) for r in kept) == [(0, ["A"]), (1, ["A", "B"]), (1, ["C", "C"])]
+    assert anchors.anchor_most_frequent(df.limit(0)).count() == 0 and anchors.anchor_most_frequent(df).columns == ["id", "species_names", "anchor_species"]
+
+
 def test_top3_breaks_ties_by_label(spark):
     data = [(i, True, 2, True, label) for i, label in enumerate([5, 5, 1, 2, 3, 4, None])]
     df = spark.createDataFrame(

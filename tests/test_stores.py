@@ -10,7 +10,7 @@ from reedbed.config import EmbeddingSettings
 from reedbed.operators import joins, monitor
 from reedbed.sources import artifacts, embeddings
 from reedbed.session import scratch_dir
-from reedbed.sources.tables import read_table
+from reedbed.sources.tables import read_table, write_table
 from reedbed.streaming import jobs
 
 SETTINGS = EmbeddingSettings()
@@ -60,6 +60,18 @@ def test_incremental_features_count_hits(spark):
     assert rows(hits, "id", "chunk_index", "features", "species_name") == [(1, 0, [1.0, 0.0], "s1")]
     assert rows(to_do, "id", "chunk_index") == [(1, 1), (2, 0)]
     assert tuple(counts.first()) == (3, 1, 2)
+    twice = feature_rows(spark, (1, 0), (3, 0)).unionByName(feature_rows(spark, (1, 0)))
+    again, _, counts = embeddings.incremental_features(wanted, twice)
+    assert again.count() == 1 and tuple(counts.first()) == (3, 1, 2)
+
+
+def test_catalog_tables_keep_their_format(spark, tmp_path):
+    spark.sql(f"CREATE TABLE orc_rows (id BIGINT) USING orc LOCATION '{tmp_path / 'orc'}'")
+    try:
+        write_table(spark.range(3), "orc_rows")
+        assert spark.table("orc_rows").count() == 3
+    finally:
+        spark.sql("DROP TABLE orc_rows")
 
 
 def test_retention_is_by_exact_id(spark):

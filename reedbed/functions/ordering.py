@@ -93,14 +93,17 @@ def value_cuts(df: DataFrame, col: str) -> list[float]:
     return sorted(set(found or []))
 
 
-def _piece(col: Column, cuts: list[float], start: int = 0) -> Column:
-    """Number of cuts at or below ``col``, as a balanced decision tree."""
+def _piece(col: Column, cuts: list[float]) -> Column:
+    """Number of cuts at or below ``col``: a binary search, so the expression stays short for any number of cuts."""
     if not cuts:
-        return F.lit(start)
-    mid = len(cuts) // 2
-    return F.when(col < F.lit(cuts[mid]), _piece(col, cuts[:mid], start)).otherwise(
-        _piece(col, cuts[mid + 1 :], start + mid + 1)
-    )
+        return F.lit(0)
+    known, steps = F.array(*map(F.lit, cuts)), [1 << k for k in reversed(range(len(cuts).bit_length()))]
+
+    def step(at: Column, width: Column) -> Column:
+        below = (at + width <= len(cuts)) & (F.get(known, at + width - 1) <= col)
+        return F.when(below, at + width).otherwise(at)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
 
 
 def running_totals(

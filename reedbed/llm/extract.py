@@ -38,9 +38,16 @@ AROUND = set(
     "subscribe toolbar widget widgets".split()
 )
 WITHIN = set("article main content layout wrapper page container story".split())
+#: Elements that a class or id never makes surroundings; words behind the last one that counts, and before names that tell a state.
+NEVER_AROUND = set("# html body main h1 h2 h3 h4 h5 h6".split())
+PARTS = set("area bar block body bottom box button buttons col form icons inner item items left link links list right row section slot top unit wrap".split())
+STATES = set("has hide is no show with without".split())
+#: Elements of running text carry ids as targets of links; only these ids make them surroundings.
+TEXT_TAGS = set("section p ul ol li dl dt dd blockquote pre figure table tr td".split())
+TEXT_IDS = set("breadcrumb breadcrumbs comment comments disqus masthead navbar related replies respond sidebar".split())
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: A block of at least so many pages of a host, and of at least this share of them, is template.
 LEAST_PAGES, TEMPLATE_SHARE = 3, 0.5
 
@@ -56,9 +63,11 @@ class Node:
 
 @lru_cache(4096)
 def _label(tag: str, attributes: str) -> str:
-    words = " ".join(m.group(2) or m.group(3) or m.group(4) or "" for m in ATTRIBUTE.finditer(attributes)) if attributes else ""
-    words = re.sub(r"[^a-z \-_]", "", words.lower().replace(".", " "))
-    return ".".join([tag, *sorted(set(words.split()))])
+    names = set()
+    for m in ATTRIBUTE.finditer(attributes):
+        words = re.sub(r"[^a-z \-_]", "", " ".join((m.group(2) or m.group(3) or m.group(4) or "").lower().replace(".", " ").split()))
+        names.update("#" * (m.group(1).lower() == "id") + w for w in words.split())
+    return ".".join([tag, *sorted(names)])
 
 
 def parse(source: str) -> Node:
@@ -237,24 +246,70 @@ def align(shape: str, reference: str) -> list[int]:
     return partner
 
 
+def _names_around(name: str, among: set[str]) -> bool:
+    """Whether a name, or its last word before words for parts, is one of ``among``."""
+    words = [w for w in re.split("[-_]", name) if w]
+    if len(words) > 1 and words[0] in STATES or not WITHIN.isdisjoint(words):
+        return False
+    while len(words) > 1 and words[-1] in PARTS and words[-1] not in among:
+        words.pop()
+    return bool(words) and words[-1] in among
+
+
+@lru_cache(4096)
 def _surrounding(label: str, inside: bool) -> bool:
     """Whether an element is known to surround an article; ``inside``: it stands in an article or main element."""
     tag, *names = label.split(".")
     if tag in AROUND_TAGS or tag == "header" and not inside:
         return True
-    words = {w for name in names for w in re.split("[-_]", name)}
-    return bool(words & AROUND) and not words & WITHIN
-
-
-def _flags(shape: str) -> tuple[list[bool], list[bool]]:
-    """For each node: whether it or one above it surrounds an article; whether it is or is in an article element."""
+    if tag in NEVER_AROUND or any(w in WITHIN for name in names for w in re.split("[-_#]", name)):
+        return False
+    for name in names:
+        if name[0] != "#":
+            if _names_around(name, AROUND):
+                return True
+        elif tag in TEXT_TAGS and name.strip("#-_") in TEXT_IDS or tag not in TEXT_TAGS and _names_around(name[1:], AROUND):
+            return True
+    return False
+
+
+def _flags(shape: str, amounts: dict[int, tuple[int, int]]) -> tuple[list[bool], list[bool], list[bool]]:
+    """For each node: whether it surrounds an article; whether it or one above it does; whether it is or is in an article element.
+
+    A form, or what only its name makes surroundings, is none if it holds what no other part of the page can be: the
+    only article elements, or most of the text while a main heading or any text worth mention stands nowhere else.
+    """
     labels, parents, _ = read_shape(shape)
-    around, inside = [], []
-    for label, parent in zip(labels, parents):
+    tags = [label.split(".", 1)[0] for label in labels]
+    named, inside = [], []
+    for label, tag, parent in zip(labels, tags, parents):
         within = parent >= 0 and inside[parent]
-        around.append(parent >= 0 and around[parent] or _surrounding(label, within))
-        inside.append(within or label.split(".")[0] in ("article", "main"))
-    return around, inside
+        named.append(_surrounding(label, within))
+        inside.append(within or tag in ("article", "main"))
+    fixed = [n and (t == "header" or t in AROUND_TAGS and t != "form") for n, t in zip(named, tags)]
+    shut = list(fixed)
+    for i, parent in enumerate(parents):
+        shut[i] = shut[i] or parent >= 0 and shut[parent]
+    chars = [0 if shut[i] or 2 * links > held else held for i in range(len(labels)) for held, links in (amounts.get(i, (0, 0)),)]
+    whole, articles, titles = list(chars), [t in ("article", "main") and not s for t, s in zip(tags, shut)], [t == "h1" and not s for t, s in zip(tags, shut)]
+    for i in range(len(labels) - 1, 0, -1):
+        whole[parents[i]] += whole[i]
+        articles[parents[i]] |= articles[i]
+        titles[parents[i]] |= titles[i]
+    while True:
+        around = []
+        for i, parent in enumerate(parents):
+            around.append(named[i] or parent >= 0 and around[parent])
+        may = [i for i, parent in enumerate(parents) if named[i] and not fixed[i] and not shut[i] and whole[i] and not (parent >= 0 and around[parent])]
+        if not may or any(t in ("article", "main") and not a for t, a in zip(tags, around)):
+            return named, around, inside
+        best = max(may, key=lambda i: (articles[i], whole[i]))
+        if not articles[best]:
+            free = sum(c for c, a, t in zip(chars, around, tags) if not a and t != "h1")
+            titled = any(t == "h1" and not a for t, a in zip(tags, around))
+            if 2 * whole[best] <= whole[0] or (free > 0 if titled else not titles[best] and 10 * free >= whole[best]):
+                return named, around, inside
+        named[best] = False
 
 
 def content_nodes(shape: str, amounts: dict[int, tuple[int, int]]) -> list[bool]:
@@ -264,7 +319,7 @@ def content_nodes(shape: str, amounts: dict[int, tuple[int, int]]) -> list[bool]
     elements are taken if they hold a third of the text; else the smallest element with four fifths of it.
     """
     labels, parents, kids = read_shape(shape)
-    around, inside = _flags(shape)
+    _, around, inside = _flags(shape, amounts)
     mass = [0] * len(labels)
     open_ = [not around[i] and 2 * amounts.get(i, (0, 0))[1] <= amounts.get(i, (0, 0))[0] for i in range(len(labels))]
     for i in range(len(labels) - 1, -1, -1):
@@ -301,11 +356,11 @@ def read_page(source: str, reference: str | None, wanted: list[int], template: s
     page = Page(source)
     blocks, chosen = page.numbered(), None
     if reference:
-        partner, (around, _), (_, parents, _) = align(page.shape, reference), _flags(page.shape), read_shape(page.shape)
+        partner, (named, _, _), (_, parents, _) = align(page.shape, reference), _flags(page.shape, _amounts(blocks)), read_shape(page.shape)
         good, take = set(wanted), []
         for i, other in enumerate(partner):
-            take.append(other in good if other >= 0 else parents[i] >= 0 and take[parents[i]])
-        chosen = [b for b in blocks if take[b[0]] and not around[b[0]]]
+            take.append(other in good if other >= 0 else parents[i] >= 0 and take[parents[i]] and not named[i])
+        chosen = [b for b in blocks if take[b[0]]]
     if not chosen:
         take = content_nodes(page.shape, _amounts(blocks))
         chosen = [b for b in blocks if take[b[0]]]

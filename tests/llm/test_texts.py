@@ -249,6 +249,26 @@ def test_pages(spark):
     assert got[4] == f"{text(4)}\nEnd." and got[5] == got[6] == "" and got[7] == "cut of" and got[8] == "plain < text"
 
 
+WHOLE = {
+    "body class": "<html class='has-cookie-banner'><body class='single has-sidebar comments-open'>{}</body></html>",
+    "page-wide form": "<html><body><form id=aspnetForm><nav><a href=/>Home</a></nav><div>{}</div><div class=comments><p>Nice.</p></div></form></body></html>",
+    "form around an article": "<body><form><article>{}</article></form></body>",
+    "named wrappers": "<body><div class=social><div id=sidebar-left>{}</div></div><footer>us</footer></body>",
+}
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_page_is_not_lost_by_the_name_of_its_frame(name):
+    body = "<h1>One</h1><p>A long enough story about one thing</p><h2 id='related-work'>Work</h2><p>more of it</p><section id='social-impact'><h3 id='search'>Search</h3><p>and the end</p></section>"
+    assert extract.read_page(WHOLE[name].format(body), None, [], set()).split("\n") == ["One", "A long enough story about one thing", "Work", "more of it", "Search", "and the end"]
+
+
+def test_surroundings_stay_out():
+    around = "<div class='comment-list'><article class=comment><p>{}</p></article></div><div class=newsletter-form><p>Sign up</p></div>".format("a long comment " * 40)
+    assert extract.read_page(f"<body><div class=ad>Buy</div><article><h1>One</h1></article>{around}</body>", None, [], set()) == "One"
+    assert extract.read_page(f"<body class=no-sidebar><h1>One</h1><p>short story</p>{around}</body>".replace("article", "div"), None, [], set()) == "One\nshort story"
+
+
 def test_tree_matching_is_largest():
     shape = lambda s: extract.Page(s).shape
     a, b = shape("<body><nav></nav><div><p></p></div><footer></footer></body>"), shape("<body><div><p></p></div><aside></aside><footer></footer></body>")

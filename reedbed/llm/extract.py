@@ -23,8 +23,14 @@ from reedbed.llm.common import column, materialize
 
 #: Fixed values of HTML: elements without an end, with raw text, and those that flow within a block.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style template noscript iframe object svg math textarea select title head canvas audio video".split())
-INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = set("script style template noscript iframe object svg textarea select title head canvas audio video annotation annotation-xml".split())
+#: Without an end tag, the first of those go to the end of the page, and all others are empty; the second hold no elements of their kind.
+TO_END, OPEN = set("script style".split()), set("head title".split())
+MATH = set(
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd "
+    "mtext mtr munder munderover semantics".split()
+)
+INLINE = MATH | set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: A start tag of the first kind ends an open element of the second.
 ENDS_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 ENDS_OWN = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -48,6 +54,11 @@ TEXT_IDS = set("breadcrumb breadcrumbs comment comments disqus masthead navbar r
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+SELF_CLOSED, UNQUOTED_SLASH = re.compile(r"/\s*\Z"), re.compile(r"""=\s*[^\s"'>][^\s"'>]*/\s*\Z|=\s*/\s*\Z""")
+RAW_TOKEN = re.compile(
+    rf"""<!--.*?(?:-->|\Z)|<(script|style)(?![\w-]).*?(?:</\1(?![\w-])|\Z)|<(/?)({"|".join(sorted(RAW - TO_END - OPEN, reverse=True))})(?![\w-])((?:[^"'>]|"[^"]*"|'[^']*')*)(?:>|\Z)""",
+    re.S | re.I,
+)
 #: A block of at least so many pages of a host, and of at least this share of them, is template.
 LEAST_PAGES, TEMPLATE_SHARE = 3, 0.5
 
@@ -70,10 +81,23 @@ def _label(tag: str, attributes: str) -> str:
     return ".".join([tag, *sorted(names)])
 
 
+def _raw_ends(source: str) -> dict[int, int]:
+    """Where each element that is not read ends, by its start; those without an end tag of their own are left out."""
+    ends, open_ = {}, {}
+    for m in RAW_TOKEN.finditer(source):
+        tag = (m.group(3) or "").lower()
+        if m.group(2):
+            if open_.get(tag):
+                ends[open_[tag].pop()] = m.end()
+        elif tag and not (SELF_CLOSED.search(m.group(4)) and not UNQUOTED_SLASH.search(m.group(4))):
+            open_.setdefault(tag, []).append(m.start())
+    return ends
+
+
 def parse(source: str) -> Node:
     """The tree of a page. Texts are children too: (text, whether within a link)."""
     root = here = Node("#", "#", None)
-    at, links, size = 0, 0, len(source)
+    at, links, size, ends = 0, 0, len(source), None
     while at < size:
         start, m = source.find("<", at), None
         while start >= 0 and not (m := TOKEN.match(source, start)):
@@ -97,11 +121,17 @@ def parse(source: str) -> Node:
                 here, links = node.parent, 0
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(source, at)
-            at = end.end() if end else size if tag not in ("head", "title") else at
+            if SELF_CLOSED.search(m.group(3)) and not UNQUOTED_SLASH.search(m.group(3)):
+                continue
+            if tag in TO_END or tag in OPEN:
+                end = re.compile(rf"</{re.escape(tag)}(?![\w-])[^>]*(?:>|\Z)", re.I).search(source, at)
+                at = end.end() if end else size if tag in TO_END else at
+            else:
+                ends = _raw_ends(source) if ends is None else ends
+                at = ends.get(start, at)
             continue
         if tag in INLINE:
-            if tag == "br":
+            if tag in ("br", "mtr", "mtd", "mspace"):
                 here.children.append((" ", False))
             links += tag == "a"
             continue

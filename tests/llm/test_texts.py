@@ -263,6 +263,19 @@ def test_page_is_not_lost_by_the_name_of_its_frame(name):
     assert extract.read_page(WHOLE[name].format(body), None, [], set()).split("\n") == ["One", "A long enough story about one thing", "Work", "more of it", "Search", "and the end"]
 
 
+RAW_PARTS = {
+    "<svg width=1/>": "", "<svg viewBox='0 0 1 1' />": "", "<svg><g><svg><text>x</text></svg></g><title>x</title></svg>": "", "<video src=/a/>": "", "<audio controls>": "", "<canvas>": "",
+    "<object data=/a/><p>x</p></object>": "", "<textarea>": "", "<iframe src=http://x/></iframe>": "", "<script>'</p><svg>'</script>": "", "<video>x</video>": "",
+    "<math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math>": "E=mc2", "<math><semantics><mi>x</mi><annotation>\\x</annotation></semantics></math>": "x", "<math alttext=x />": "",
+}
+
+
+@pytest.mark.parametrize("part", RAW_PARTS)
+def test_nothing_behind_an_unread_element_is_lost(part):
+    text = " ".join(f"one {RAW_PARTS[part]} two".split())
+    assert extract.read_page(f"<article><p>one {part} two</p><p>three</p><video src=b></video><p>four</p></article>", None, [], set()) == f"{text}\nthree\nfour"
+
+
 def test_surroundings_stay_out():
     around = "<div class='comment-list'><article class=comment><p>{}</p></article></div><div class=newsletter-form><p>Sign up</p></div>".format("a long comment " * 40)
     assert extract.read_page(f"<body><div class=ad>Buy</div><article><h1>One</h1></article>{around}</body>", None, [], set()) == "One"

@@ -1,22 +1,23 @@
 """Secrets in texts, also below layers of encoding.
 
 Each text is a worklist of layers. A layer is scanned, its percent, Unicode and HTML escapes are
-undone, its base64 and hex runs are decoded and unpacked where they hold a text or a compressed one,
-and what comes out goes on the list, until nothing new comes out. Every character of a layer
+undone, its base64 and hex runs are decoded and unpacked where they hold anything readable, and
+what comes out goes on the list, until nothing new comes out. Every character of a layer
 knows the span of the text it came from, so all findings are spans of the text itself.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
 import html
+import itertools
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,11 +36,28 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|amp|quot|apos|equals|colon);)+")
 UNICODE_ONE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\(?:u|U|x)([0-9A-Fa-f]+)|(&[^;]+;)")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-HEX_BYTES = re.compile(r"(?:[0-9A-Fa-f]{2}){12,}")
-#: Characters that no readable text holds.
-UNREADABLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\x9f]")
-#: A compressed layer is unpacked up to so many bytes: it guards workers against archives made to burst them.
-MOST_UNPACKED = 64 << 20
+HEX_BYTES = re.compile(r"[0-9A-Fa-f]{24,}")
+#: The end of a line, real or escaped, and runs that are wrapped to lines; the first and the last may be short.
+BREAK = re.compile(r"[ \t>]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t>]*")
+
+
+def _lines(char: str, end: str) -> re.Pattern:
+    gap, least = BREAK.pattern, 16
+    return re.compile(rf"(?<!{char})(?:{char}{{4,}}+(?:{gap}{char}{{{least},}}+)++(?:{gap}{char}++)?+|{char}{{{least},}}+{gap}{char}++){end}")
+
+
+BASE64_LINES, HEX_LINES = _lines("[A-Za-z0-9+/_-]", "={0,2}"), _lines("[0-9A-Fa-f]", "")
+#: All that is looked for, and every encoding of it, holds so many ASCII characters in a row; without them bytes are no text.
+STRETCHES = [
+    (re.compile(rb"[\t\n\r\x20-\x7e]{12,}"), 0, 1),
+    (re.compile(rb"(?:[\t\n\r\x20-\x7e]\0){12,}"), 0, 2),
+    (re.compile(rb"(?:\0[\t\n\r\x20-\x7e]){12,}"), 1, 2),
+]
+#: Where a compressed blob may begin.
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\0")
+#: Blobs are unpacked and scanned in blocks of about so many bytes, cut behind what no encoded run holds. Each repeats so much of the one before.
+BLOCK, OVERLAP = 4 << 20, 4096
+CUT = re.compile(rb"\0\0|[^A-Za-z0-9+/_=%\\&#;\s>{}\0-]")
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -49,56 +67,100 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     return found + [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
 
 
-def _unpack(data: bytes) -> bytes | None:
-    """What a compressed blob holds; None if it is no complete blob of a known format."""
+def _unpacker(data: bytes):
+    """What undoes the compression of data that begins like this; None if it is of no known format."""
     if data[:2] == b"\x1f\x8b":
-        make = lambda: zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-        make = zlib.decompressobj
-    elif data[:3] == b"BZh":
-        make = bz2.BZ2Decompressor
-    elif data[:6] == b"\xfd7zXZ\0":
-        make = lzma.LZMADecompressor
-    else:
-        return None
-    try:
-        unpacker = make()
-        out = unpacker.decompress(data, MOST_UNPACKED)
-        return out if unpacker.eof else None
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        return None
-
-
-def _readable(data: bytes) -> str | None:
-    """The text that bytes hold, through any compressed layers."""
-    seen = set()
-    while (inner := _unpack(data)) is not None and (digest := hashlib.sha256(data).digest()) not in seen:
-        seen.add(digest)
-        data = inner
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and not UNREADABLE.search(text) else None
-
-
-def _from_base64(run: str) -> bytes | None:
+        return zlib.decompressobj(31)
+    if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
+        return zlib.decompressobj()
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\0" else None
+
+
+def _members(blocks: Iterator[bytes], done: list[int]) -> Iterator[bytes]:
+    """What one compressed blob after the other holds, block by block, as far as it can be read. ``done`` gets the length of the whole ones."""
+    unpacker, rest, fed, more = None, b"", 0, True
+    while more or rest:
+        block = next(blocks, None) if more else None
+        more = block is not None
+        rest, fed = rest + (block or b""), fed + len(block or b"")
+        if unpacker is None:
+            rest = rest.lstrip(b"\0")  # archives are padded with them
+            if more and len(rest) < 6:
+                continue
+            unpacker = _unpacker(rest)
+            if unpacker is None:
+                return
+        try:
+            while not unpacker.eof:
+                out = unpacker.decompress(rest, BLOCK)
+                rest = getattr(unpacker, "unconsumed_tail", b"")
+                if out:
+                    yield out
+                elif not rest:
+                    break
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            return
+        if unpacker.eof:
+            rest, unpacker = unpacker.unused_data, None
+            done[0] = fed - len(rest)
+
+
+def _contents(make: Callable[[], Iterator[bytes]], above: tuple[bytes, ...] = ()) -> Iterator[bytes]:
+    """The blocks that ``make`` reads and those of all compressed layers below; an archive that holds itself ends."""
+    first = next(make(), b"")[:4096]
+    yield from _pieces(make())
+    if _unpacker(first) is not None and first not in above:
+        yield from _contents(lambda: _members(make(), [0]), (*above, first))
+
+
+def _pieces(blocks: Iterator[bytes]) -> Iterator[bytes]:
+    """Blocks anew, cut only where no encoded run can pass; each begins with the end of the one before."""
+    held, given = b"", 0  # so much of what is held was given already
+    for block in blocks:
+        begin = max(given, len(held) - 1)
+        held += block
+        if len(held) - given < BLOCK:
+            continue
+        near = max(begin, len(held) - 4096)
+        cut = max((m.end() for m in CUT.finditer(held, near)), default=0) or max((m.end() for m in CUT.finditer(held, begin)), default=0)
+        if cut > given:
+            yield held[:cut]
+            keep = max(0, cut - OVERLAP)
+            held, given = held[keep:], cut - keep
+    if len(held) > given:
+        yield held
+
+
+def _texts(data: bytes) -> Iterator[tuple[str, list[tuple[int, int]], int]]:
+    """What can be read in a piece of data as ASCII, also in UTF-16: the stretches joined by NULs, the begin and
+    length of each in characters, and the bytes of a character."""
+    for pattern, first, size in STRETCHES:
+        found = list(pattern.finditer(data))
+        if found:
+            yield "\0".join(m.group()[first::size].decode("ascii") for m in found), [(m.start(), (m.end() - m.start()) // size) for m in found], size
+
+
+def _from_base64(run: str) -> bytes:
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
+    body = body[:-1] if len(body) % 4 == 1 else body
+    return binascii.a2b_base64(body + "=" * (-len(body) % 4))
 
 
 class _Layer:
-    """A text with, for each character, the span of the document it stands for (None: itself)."""
+    """A text with, for each character, the span of the document it stands for (None: itself), or one span for all."""
+
+    def __init__(self, text: str, starts: list[int] | None = None, ends: list[int] | None = None, whole: tuple[int, int] | None = None):
+        self.text, self.starts, self.ends, self.whole = text, starts, ends, whole
 
-    def __init__(self, text: str, starts: list[int] | None = None, ends: list[int] | None = None):
-        self.text, self.starts, self.ends = text, starts, ends
+    def place(self) -> bytes:
+        """What tells a layer from one of the same text that stands elsewhere: its findings have other spans."""
+        return repr(self.whole).encode() if self.starts is None else repr((self.starts[:1], self.ends[-1:])).encode()
 
     def span(self, start: int, end: int) -> tuple[int, int]:
+        if self.whole:
+            return self.whole
         return (start, end) if self.starts is None else (min(self.starts[start:end]), max(self.ends[start:end]))
 
     def inline(self, pattern: re.Pattern, decode) -> _Layer | None:
@@ -107,6 +169,8 @@ class _Layer:
 
         def plain(low: int, high: int) -> None:
             out.append(self.text[low:high])
+            if self.whole:
+                return
             starts.extend(range(low, high) if self.starts is None else self.starts[low:high])
             ends.extend(range(low + 1, high + 1) if self.starts is None else self.ends[low:high])
 
@@ -117,6 +181,8 @@ class _Layer:
             plain(at, m.start())
             for char, low, high in pieces:
                 out.append(char)
+                if self.whole:
+                    continue
                 span = self.span(m.start() + low, m.start() + high)
                 starts.extend([span[0]] * len(char))
                 ends.extend([span[1]] * len(char))
@@ -124,22 +190,35 @@ class _Layer:
         if not at:
             return None
         plain(at, len(self.text))
-        return _Layer("".join(out), starts, ends)
-
-    def blob(self, start: int, end: int, text: str, aligned: bool) -> _Layer:
-        """A layer made of one decoded run. Uncompressed base64 maps by groups of characters, all else to the run."""
-        if aligned:
-            starts, ends, at = [], [], 0
-            for char in text:
-                width = len(char.encode())
-                low, high = start + at * 4 // 3, min(end, start + -(-(at + width) * 4 // 3))
-                span = self.span(low, high)
-                starts.append(span[0])
-                ends.append(span[1])
-                at += width
-            return _Layer(text, starts, ends)
-        low, high = self.span(start, end)
-        return _Layer(text, [low] * len(text), [high] * len(text))
+        return _Layer("".join(out), whole=self.whole) if self.whole else _Layer("".join(out), starts, ends)
+
+    def blobs(self, data: bytes, places: Sequence[int], end: int, aligned: bool) -> Iterator[_Layer]:
+        """The layers that a decoded run may hold. ``places`` has the place of each of its characters. Uncompressed
+        base64 (``aligned``) maps by groups of characters, all else to the run."""
+        for text, stretches, size in _texts(data):
+            if self.whole or not aligned:
+                yield _Layer(text, whole=self.span(places[0], end))
+                continue
+            starts, ends, last = [], [], len(places) - 1
+            for begin, count in stretches:
+                for at in range(begin, begin + count * size, size):
+                    span = self.span(places[at * 4 // 3], places[min(last, -(-(at + size) * 4 // 3) - 1)] + 1)
+                    starts.append(span[0])
+                    ends.append(span[1])
+                starts.append(starts[-1])  # the NUL between
+                ends.append(ends[-1])
+            yield _Layer(text, starts[:-1], ends[:-1])
+        behind = 0
+        for m in PACKED.finditer(data):
+            at, done = m.start(), [0]
+            if at < behind:
+                continue
+            make = lambda: _members(itertools.chain([data[at : at + 4096]], (data[i : i + BLOCK] for i in range(at + 4096, len(data), BLOCK))), done)  # noqa: B023, E731
+            span = self.span(places[at * 4 // 3 if aligned else 2 * at], end)
+            for piece in _contents(make, (data[at : at + 4096],)):
+                for text, _, _ in _texts(piece):
+                    yield _Layer(text, whole=span)
+            behind = at + done[0]
 
 
 def _percent(run: str) -> list[tuple[str, int, int]] | None:
@@ -171,39 +250,42 @@ def _unicode(run: str) -> list[tuple[str, int, int]] | None:
     return out
 
 
+def _runs(text: str, one: re.Pattern, wrapped: re.Pattern) -> Iterator[tuple[str, Sequence[int], int]]:
+    """Runs of an encoding, each also joined over the ends of its lines: characters, their places, the end."""
+    for m in one.finditer(text):
+        yield m.group(), range(m.start(), m.end()), m.end()
+
+
+def _below(layer: _Layer) -> Iterator[_Layer]:
+    """The layers that come out of one, one at a time: what a blob unpacks to is not held together."""
+    made = []
+    if "%" in layer.text:
+        made.append(layer.inline(PERCENT, _percent))
+    if "\\" in layer.text or "&" in layer.text:
+        made.append(layer.inline(UNICODE, _unicode))
+    yield from (new for new in made if new is not None)
+    for run, places, end in _runs(layer.text, BASE64, BASE64_LINES):
+        for skip in range(1):
+            yield from layer.blobs(_from_base64(run[skip:]), places[skip:], end, True)
+    for run, places, _ in _runs(layer.text, HEX_BYTES, HEX_LINES):
+        for skip in range(1):
+            size = (len(run) - skip) // 2 * 2
+            yield from layer.blobs(bytes.fromhex(run[skip : skip + size]), places[skip:], places[skip + size - 1] + 1, False)
+
+
 def layers(text: str) -> Iterator[_Layer]:
     """The text and all layers below it, each different one once."""
-    todo, seen = [_Layer(text)], {hashlib.sha256(text.encode()).digest()}
+    todo, seen = [iter([_Layer(text)])], set()
     while todo:
-        layer = todo.pop()
-        yield layer
-        made = []
-        if "%" in layer.text:
-            made.append(layer.inline(PERCENT, _percent))
-        if "\\" in layer.text or "&" in layer.text:
-            made.append(layer.inline(UNICODE, _unicode))
-        for m in BASE64.finditer(layer.text):
-            data = _from_base64(m.group())
-            inner = data and _readable(data)
-            if inner:
-                try:
-                    aligned = data == inner.encode()
-                    made.append(layer.blob(m.start(), m.end(), inner, aligned))
-                except UnicodeEncodeError:
-                    continue
-        for m in HEX_BYTES.finditer(layer.text):
-            inner = _readable(bytes.fromhex(m.group()))
-            if inner:
-                made.append(layer.blob(m.start(), m.end(), inner, False))
-        for new in made:
-            if new is None:
-                continue
-            # A layer that stands elsewhere in the text is another one: its findings have other spans.
-            where = b"" if new.starts is None else repr((new.starts[:1], new.ends[-1:])).encode()
-            digest = hashlib.sha256(new.text.encode() + b"\0" + where).digest()
-            if digest not in seen:
-                seen.add(digest)
-                todo.append(new)
+        layer = next(todo[-1], None)
+        if layer is None:
+            todo.pop()
+            continue
+        digest = hashlib.sha256(layer.text.encode() + b"\0" + layer.place()).digest()
+        if digest not in seen:
+            seen.add(digest)
+            yield layer
+            todo.append(_below(layer))
 
 
 def find_secrets(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:

@@ -1,10 +1,13 @@
 """Operators on single texts, against brute force, round trips and hand cases."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import urllib.parse
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -92,6 +95,24 @@ def test_secret_below_layers(name):
     assert "0123" not in secret_scan.redact(text, spans)
 
 
+B64 = lambda data: base64.b64encode(data).decode()
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zlib.compress])
+def test_secret_in_appended_archives(pack):
+    for blob in (pack(b"first member") + pack(SECRET.encode()), pack(pack(b"one") + pack(SECRET.encode()))):
+        run = B64(blob)
+        assert ("assign", 2, 2 + len(run)) in secret_scan.find_secrets(f"x {run} y")[1]
+
+
+def test_secret_in_large_archive():
+    large = b"a line of a log.\n" * (65 << 16) + SECRET.encode()
+    run = B64(gzip.compress(large))
+    assert ("assign", 2, 2 + len(run)) in secret_scan.find_secrets(f"x {run} y")[1]
+    parts = list(secret_scan._pieces(large[i : i + 100_000] for i in range(0, len(large), 100_000)))
+    assert len(parts) > 2 and max(map(len, parts)) < 2 * secret_scan.BLOCK
+
+
 def test_base_spans():
     found = lambda t: secret_scan.find_secrets(t)[0]
     assert found("Password: hunter2") == [("assign", 0, 17)]

@@ -254,6 +254,14 @@ def _runs(text: str, one: re.Pattern, wrapped: re.Pattern) -> Iterator[tuple[str
     """Runs of an encoding, each also joined over the ends of its lines: characters, their places, the end."""
     for m in one.finditer(text):
         yield m.group(), range(m.start(), m.end()), m.end()
+    if "\n" in text or "\r" in text or "\\n" in text:
+        for m in wrapped.finditer(text):
+            lines, at = [], m.start()
+            for gap in BREAK.finditer(text, m.start(), m.end()):
+                lines.append(range(at, gap.start()))
+                at = gap.end()
+            lines.append(range(at, m.end()))
+            yield "".join(text[x.start : x.stop] for x in lines), array("l", itertools.chain.from_iterable(lines)), m.end()
 
 
 def _below(layer: _Layer) -> Iterator[_Layer]:
@@ -264,11 +272,12 @@ def _below(layer: _Layer) -> Iterator[_Layer]:
     if "\\" in layer.text or "&" in layer.text:
         made.append(layer.inline(UNICODE, _unicode))
     yield from (new for new in made if new is not None)
+    # A run may begin behind characters that are glued to it, so it is read from each place in a group.
     for run, places, end in _runs(layer.text, BASE64, BASE64_LINES):
-        for skip in range(1):
+        for skip in range(4):
             yield from layer.blobs(_from_base64(run[skip:]), places[skip:], end, True)
     for run, places, _ in _runs(layer.text, HEX_BYTES, HEX_LINES):
-        for skip in range(1):
+        for skip in range(2):
             size = (len(run) - skip) // 2 * 2
             yield from layer.blobs(bytes.fromhex(run[skip : skip + size]), places[skip:], places[skip + size - 1] + 1, False)
 

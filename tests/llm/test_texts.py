@@ -96,6 +96,23 @@ def test_secret_below_layers(name):
 
 
 B64 = lambda data: base64.b64encode(data).decode()
+LONG = "".join(f"line {i} of a log, {hashlib.sha1(str(i).encode()).digest()!r}; " for i in range(40))
+GROUPS = lambda data, width, gap: gap.join(B64(data)[i : i + width] for i in range(0, len(B64(data)), width))
+MORE_LAYERS = {
+    "over a line end": GROUPS(("x" * 50 + SECRET).encode(), 76, "\n"), "64 columns": GROUPS(gzip.compress((LONG + SECRET).encode()), 64, "\r\n"),
+    "escaped line ends": GROUPS(gzip.compress((LONG + SECRET).encode()), 76, "\\n"), "indented": GROUPS(gzip.compress((LONG + SECRET).encode()), 76, "\n    "),
+    "behind a path": "https://h/cb/" + B64(SECRET.encode()), "behind -": "id-" + B64(SECRET.encode()), "behind _": "data_" + B64(SECRET.encode()), "packed behind _": "data_" + B64(gzip.compress(SECRET.encode())),
+    "utf-16": B64(SECRET.encode("utf-16-le")), "utf-16-be": B64(SECRET.encode("utf-16-be")), "utf-16 packed": B64(gzip.compress(SECRET.encode("utf-16"))),
+    "stray": B64(b"a\0b\x1b\xff " + SECRET.encode()), "x^": B64(gzip.compress(b"x^2 " + SECRET.encode())), "hex lines": "\n".join(("ab cd" + SECRET).encode().hex()[i : i + 32] for i in range(0, 62, 32)),
+}
+
+
+@pytest.mark.parametrize("name", MORE_LAYERS)
+def test_secret_in_wrapped_glued_and_wide_runs(name):
+    text = f"xé {MORE_LAYERS[name]} tail"
+    spans = [s for s in secret_scan.find_secrets(text)[1] if s[0] == "assign"]
+    assert spans and all(3 <= start < end <= len(text) - 5 for _, start, end in spans)
+    assert not any(s[0] == "assign" for s in secret_scan.find_secrets(secret_scan.redact(text, spans))[1])
 
 
 @pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zlib.compress])

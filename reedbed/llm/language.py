@@ -2,13 +2,12 @@
 
 For each language the suffix automaton of some labelled text knows every string that occurs in it. A
 text is cut greedily into the longest phrases that occur there; the language that needs the fewest
-phrases per character is the most like it. The automata are turned into one transition table, and many
-texts walk through it side by side.
+phrases per character is the most like it. The automata are turned into transition tables, and many
+texts walk through them side by side.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,16 +17,18 @@ from pyspark.sql import functions as F
 
 from reedbed.llm.common import LETTER, char_classes, code_points, column, keyed_text, text_batches
 
-#: Bounds of the labelled sample: rows per language, characters per language, different letters.
-SAMPLE_ROWS, SAMPLE_CHARS, LETTERS = 200, 40_000, 60
+#: Bounds of the labelled sample: rows per language, characters per language.
+SAMPLE_ROWS, SAMPLE_CHARS = 200, 40_000
+#: Up to so many entries a table of transitions has one for each state and code; above, only for those that occur.
+FULL_TABLE = 1 << 24
 #: Texts are parsed in stretches of so many characters; a phrase ends with its stretch.
 STRETCH = 1024
 #: Codes of what is no letter (all such runs look alike) and of letters that are not in the sample.
 GAP, RARE = 0, 1
 
 
-def suffix_automaton(codes: list[int], alphabet: int) -> np.ndarray:
-    """Transitions [state, code] of the strings that occur in ``codes``; -1: none."""
+def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Transitions by code, for each state, of the strings that occur in ``codes``."""
     links, lengths, moves, last = [-1], [0], [{}], 0
     for code in codes:
         new = len(moves)
@@ -51,16 +52,12 @@ def suffix_automaton(codes: list[int], alphabet: int) -> np.ndarray:
                 links[there] = there = copy
             links[new] = there
         last = new
-    table = np.full((len(moves), alphabet), -1, np.int32)
-    for state, row in enumerate(moves):
-        for code, to in row.items():
-            table[state, code] = to
-    return table
+    return moves
 
 
 def code_table(letters: str) -> np.ndarray:
     """Code of each code point: upper and lower case alike, all but letters as one gap."""
-    table = np.where(char_classes() == LETTER, RARE, GAP).astype(np.uint8)
+    table = np.where(char_classes() == LETTER, RARE, GAP).astype(np.int32)
     for code, letter in enumerate(letters, 2):
         for char in {letter, letter.upper(), letter.lower()}:
             if len(char) == 1:
@@ -74,32 +71,55 @@ def codes_of(text: str, table: np.ndarray) -> np.ndarray:
     return codes[np.concatenate(([True], (codes[1:] != GAP) | (codes[:-1] != GAP)))] if len(codes) else codes
 
 
-class Languages:
-    """The learned languages, in alphabetical order, and their joint transition table.
+class Language:
+    """One learned language: its automaton as a table of moves by state and code, its own letters only.
 
-    An entry holds twice the index where the next state's row begins, plus 1 where a phrase ended before
-    this character. A code that occurs nowhere in a language is a phrase of its own.
+    A move is twice where the next state's row begins, plus 1 where a phrase ended before this character. A
+    code that occurs nowhere in the language is a phrase of its own. ``own`` has its code for each code of all languages.
     """
 
+    def __init__(self, codes: np.ndarray, alphabet: int):
+        letters = np.unique(codes[codes > RARE])
+        self.own = np.full(alphabet, RARE, np.int32)
+        self.own[GAP], self.own[letters] = GAP, np.arange(2, len(letters) + 2)
+        moves, width = suffix_automaton(self.own[codes].tolist()), len(letters) + 2
+        unknown = len(moves)  # the state behind a code that occurs nowhere
+        states = np.repeat(np.arange(len(moves)), [len(row) for row in moves])
+        at = states.astype(np.int64) * width + np.array([code for row in moves for code in row], np.int64)
+        to = np.array([state for row in moves for state in row.values()], np.int64)
+        again = np.full(width, unknown, np.int64)
+        again[at[states == 0]] = to[states == 0]
+        self.keys: np.ndarray | None = None
+        if (unknown + 1) * width <= FULL_TABLE:
+            table = np.tile(again * width * 2 + 1, (unknown + 1, 1))
+            table[0] -= 1
+            table.reshape(-1)[at] = to * width * 2
+            self.moves = table.ravel().astype(np.int32)
+        else:
+            # The row of the first state is whole: it says where a text goes on that fits nowhere.
+            order = np.argsort(at[states > 0], kind="stable")
+            self.keys, self.moves, self.again = at[states > 0][order], to[states > 0][order] * width * 2, again * width * 2
+
+    def start(self, lanes: int) -> np.ndarray:
+        return np.zeros(lanes, np.int32 if self.keys is None else np.int64)
+
+    def move(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        own = self.own[codes]
+        at = state + own
+        if self.keys is None:
+            return self.moves[at]
+        place = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        return np.where(self.keys[place] == at, self.moves[place], self.again[own] + (state > 0))
+
+
+class Languages:
+    """The learned languages, in alphabetical order. Every letter of the sample has its own code."""
+
     def __init__(self, samples: dict[str, list[str]]):
         self.names = sorted(samples)
-        seen = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha())
-        self.letters = "".join(sorted(c for c, _ in seen.most_common(LETTERS)))
-        self.alphabet, tables, self.roots, base = len(self.letters) + 2, [], [], 0
+        self.letters = "".join(sorted({c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha()}))
         codes = code_table(self.letters)
-        for name in self.names:
-            learned = np.concatenate([np.append(codes_of(t, codes), GAP) for t in samples[name]])
-            table = suffix_automaton(learned.tolist(), self.alphabet)
-            unknown = len(table)  # the state behind a code that occurs nowhere
-            table = np.vstack([table, np.full(self.alphabet, -1, np.int32)])
-            again = np.where(table[0] >= 0, table[0], unknown)
-            rows = np.where(table >= 0, table, again[None, :]) * self.alphabet + base
-            ends = table < 0
-            ends[0] = False
-            tables.append(rows * 2 + ends)
-            self.roots.append(base)
-            base += table.size
-        self.table = np.concatenate([t.ravel() for t in tables]).astype(np.int32) if tables else np.zeros(0, np.int32)
+        self.learned = [Language(np.concatenate([np.append(codes_of(t, codes), GAP) for t in samples[name]]), len(self.letters) + 2) for name in self.names]
         self._codes: np.ndarray | None = None
 
     def __getstate__(self):
@@ -123,15 +143,14 @@ class Languages:
         order = np.argsort(-size, kind="stable")
         owner, begin, size = owner[order], begin[order], size[order]
         every = np.concatenate(coded).astype(np.int32)
-        state = np.repeat(np.array(self.roots, np.int32)[:, None], len(owner), 1)
-        ended = np.zeros(state.shape, np.int32)
-        running = np.searchsorted(-size, -np.arange(1, int(size[0]) + 1), side="right")
-        for step, lanes in enumerate(running.tolist()):
-            moved = self.table[state[:, :lanes] + every[begin[:lanes] + step]]
-            ended[:, :lanes] += moved & 1
-            state[:, :lanes] = moved >> 1
-        for k in range(len(self.names)):
-            counts[k] = np.bincount(owner, ended[k] + 1, len(texts))
+        running = np.searchsorted(-size, -np.arange(1, int(size[0]) + 1), side="right").tolist()
+        for k, learned in enumerate(self.learned):
+            state, ended = learned.start(len(owner)), np.zeros(len(owner), np.int32)
+            for step, lanes in enumerate(running):
+                moved = learned.move(state[:lanes], every[begin[:lanes] + step])
+                ended[:lanes] += moved & 1
+                state[:lanes] = moved >> 1
+            counts[k] = np.bincount(owner, ended + 1, len(texts))
         return (counts / np.maximum(lengths, 1)).T, lettered
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:

@@ -169,6 +169,28 @@ def test_cross_parsing_equals_greedy_search():
             assert rate == pytest.approx(phrases / len(codes))
 
 
+@pytest.mark.parametrize("full", [language.FULL_TABLE, 0])
+def test_letters_of_all_languages_are_told_apart(monkeypatch, full):
+    monkeypatch.setattr(language, "FULL_TABLE", full)
+    rng = random.Random(6)
+    signs = {f"latin{i}": "etaoinsrhldcumfp"[i:] for i in range(3)} | {"zh": [chr(0x4E00 + i) for i in range(700)], "ja": [chr(0x5200 + i) for i in range(700)], "ko": [chr(0xAC00 + i) for i in range(700)], "el": "αβγδεζηθικλμνξοπρστυφχψω", "ru": "абвгдежзийклмнопрстуфхцчшщыьэюя"}
+    words = {name: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 4))) for _ in range(600)] for name, letters in signs.items()}
+    text = lambda name, n: "".join(rng.choice(words[name]) for _ in range(n))
+    learned = language.Languages({name: [text(name, 1500)] for name in signs})
+    assert len(learned.letters) > 1500
+    asked = [name for name in ("zh", "ja", "ko", "el", "ru") for _ in range(5)]
+    assert [name for name, _ in learned.predict([text(name, 60) for name in asked])] == asked
+
+
+def test_sparse_moves_are_those_of_the_full_table(monkeypatch):
+    rng = random.Random(7)
+    samples = {k: ["".join(rng.choice(a) for _ in range(500)), "b"] for k, a in (("x", "aab c"), ("y", "bcd "))}
+    asked = ["".join(rng.choice("abcd zq1") for _ in range(rng.randint(1, 2500))) for _ in range(40)]
+    full = language.Languages(samples).phrases(asked)[0]
+    monkeypatch.setattr(language, "FULL_TABLE", 0)
+    assert (language.Languages(samples).phrases(asked)[0] == full).all()
+
+
 def test_language_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = language.identify(docs, language.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id").where(language.held_out(F.col("doc_id")))

@@ -28,8 +28,9 @@ WORDS, PERCENT = 5, 75
 #: MinHash samples in bands: a pair at 75 % meets in no bucket with probability (1 - 0.75 ** 4) ** 32 = 5e-6.
 BANDS, BAND_ROWS = 32, 4
 SAMPLES = BANDS * BAND_ROWS
-#: Bits of an odd sketch, as 64-bit words; and by how much an estimate may fall short: 4.7 of its deviations (0.042), which loses no more than the bands do.
-SKETCH_WORDS, MARGIN = 8, 0.2
+#: Bits of an odd sketch, as 64-bit words; and by how much an estimate may fall short. At most 100 bits may then differ, which a pair at 75 %
+#: exceeds with probability 2.2e-7 (computed exactly), less than the bands lose (5.2e-6).
+SKETCH_WORDS, MARGIN = 8, 0.25
 SKETCH_BITS = 64 * SKETCH_WORDS
 #: Members of a bucket that one task compares with as many others at a time.
 BLOCK = 512
@@ -278,7 +279,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     row for each row; repeated rows are of one class, and a null key is never the smallest. Other columns are not carried.
 
     A link is lost only if a pair meets in no bucket (5e-6 at the threshold, less above) or its sketches
-    mislead by nearly five deviations, and then only if no other way joins the two.
+    mislead (2e-7 there), and then only if no other way joins the two.
     """
     source = keyed_text(docs, key, text)
     every = materialize(_sketched(source), "sketches")

@@ -5,6 +5,7 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import math
 import random
 import urllib.parse
 import zlib
@@ -395,3 +396,14 @@ def test_odd_sketch_estimates():
             errors.append(near_dup.estimate(near_dup.odd_sketch(one), near_dup.odd_sketch(two)) - share)
         assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.06
     assert Counter(near_dup.bands(one).tolist()).most_common(1)[0][1] == 1
+
+
+def test_sketches_lose_less_than_bands_at_the_threshold():
+    share, samples, bits = near_dup.PERCENT / 100, near_dup.SAMPLES, near_dup.SKETCH_BITS
+    limit, odd, lost = near_dup.most_bits(share - near_dup.MARGIN), np.eye(1, bits + 1)[0], 0.0
+    free = (bits - np.arange(bits + 1)) / bits
+    for differing in range(samples + 1):
+        lost += math.comb(samples, differing) * (1 - share) ** differing * share ** (samples - differing) * odd[limit + 1 :].sum()
+        for _ in range(2):  # each sample that differs turns two bits over
+            odd = np.append(0, (odd * free)[:-1]) + np.append((odd * (1 - free))[1:], 0)
+    assert lost < (1 - share**near_dup.BAND_ROWS) ** near_dup.BANDS < 6e-6

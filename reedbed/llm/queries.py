@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reedbed.llm import bpe, chat, decontaminate, extract, language, merkle, near_dup, secret_scan, shards, token_counts
+from reedbed.llm import bpe, chat, decontaminate, extract, hard_negatives, importance, language, line_dedup, merkle, near_dup, secret_scan, shards, token_counts
 from reedbed.llm.common import scratch_dir, tokenizer_path
 from reedbed.session import show_package
 
@@ -101,8 +101,97 @@ def op10_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 50th vector is an anchor; every 7th has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same, list_dot_product(a.q, o.q)::BIGINT AS score
+  FROM v a JOIN v o ON a.vec_id <> o.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 50 * positive_score AND 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = line_dedup.line_bitmaps(table(spark, sf_dir, "documents"))
+    return marked.select("doc_id", "n_lines", "n_dropped", F.sha2(line_dedup.kept_text(F.col("text"), F.col("keep")), 256).alias("kept_sha256"))
+
+
+OP12_SQL = """
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM split),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+firsts AS (SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+marked AS (SELECT k.*, coalesce(k.doc_id <> f.first, false) AS gone FROM keyed k LEFT JOIN firsts f ON k.key = f.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: The CRC goes over the bits of each different word, the lowest of a byte first.
+OP13_SQL = """
+WITH words AS (
+  SELECT doc_id, true AS source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+  UNION ALL
+  SELECT NULL, false, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+counts AS (SELECT doc_id, source, word, count(*) AS n FROM words GROUP BY ALL),
+bytes AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM counts)),
+bits AS (
+  SELECT word, list_concat([4294967295::BIGINT], list_transform(range(4 * len(h)), lambda i:
+    ((strpos('0123456789ABCDEF', h[2 * (i // 8) + 2 - (i % 8) // 4]) - 1) >> (i % 4)::INTEGER) & 1)) AS b FROM bytes),
+buckets AS (
+  SELECT word, xor(list_reduce(b, lambda c, x: xor(c >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295) % 10000 AS bucket FROM bits),
+sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (source), 0) AS s, coalesce(sum(n) FILTER (NOT source), 0) AS t
+  FROM counts JOIN buckets USING (word) GROUP BY bucket),
+totals AS (SELECT sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t FROM sums),
+gains AS (
+  SELECT bucket, floor(1000 * ln((g.t + 1)::DOUBLE * (a.s + 10000) / ((g.s + 1)::DOUBLE * (a.t + 10000))))::BIGINT AS gain
+  FROM sums g, totals a),
+weights AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM counts JOIN buckets USING (word) JOIN gains USING (bucket) WHERE source GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM documents LEFT JOIN weights USING (doc_id)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n * 10 // 100 THEN place END AS rank FROM placed
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_preference_pairs, op2_benchmark_leaks, op3_byte_bpe, op4_training_order, op5_token_counts, op6_near_duplicates, op7_secrets, op8_language, op9_main_text, op10_merkle)
+    for f in (op1_preference_pairs, op2_benchmark_leaks, op3_byte_bpe, op4_training_order, op5_token_counts, op6_near_duplicates, op7_secrets, op8_language, op9_main_text, op10_merkle, op11_hard_negatives, op12_line_dedup, op13_importance)
 }
-ORACLES: dict[str, str] = {"op1_preference_pairs": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_preference_pairs": OP1_SQL, "op11_hard_negatives": OP11_SQL, "op12_line_dedup": OP12_SQL, "op13_importance": OP13_SQL}

@@ -7,7 +7,8 @@ confirmed on the full sets, and linked classes form components.
 
 No bucket is expanded into pairs. First each member meets one pivot of the bucket only, then the member
 with the most in common with all others. What is in one component needs no more links; only members of
-one bucket that are still in different components are compared, in blocks, sketch by sketch.
+one bucket that are still in different components meet, in blocks: sketch by sketch, each pair in the first bucket
+that holds both, and at once on the full sets. Two blocks send the links that join components, no others.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from reedbed.llm.common import keyed_text, materialize, text_batches
 from reedbed.llm.components import components
@@ -32,8 +34,12 @@ SAMPLES = BANDS * BAND_ROWS
 #: exceeds with probability 2.2e-7 (computed exactly), less than the bands lose (5.2e-6).
 SKETCH_WORDS, MARGIN = 8, 0.25
 SKETCH_BITS = 64 * SKETCH_WORDS
-#: Members of a bucket that one task compares with as many others at a time.
-BLOCK = 512
+#: Members of a bucket that one task compares with as many others at a time, and about how many shingles they have.
+BLOCK, BLOCK_SHINGLES = 512, 500_000
+#: Shingles whose members are counted in one product of matrices.
+COLUMNS = 4096
+#: Buckets of more than one part in so many, for each shuffle partition, of all rows are joined without a shuffle.
+PARTS = 4
 
 _rng = np.random.default_rng(20240229)
 _FACTORS, _SHIFTS = _rng.integers(0, 1 << 64, SAMPLES, np.uint64) | np.uint64(1), _rng.integers(0, 1 << 64, SAMPLES, np.uint64)
@@ -113,27 +119,30 @@ def estimate(one: np.ndarray, two: np.ndarray) -> float:
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """(key, text) to (key, size, node, buckets, sketch); ``node`` is the digest of the set, null for an empty one."""
+    """(key, text) to (key, size, node, buckets, sketch, set); ``node`` is the digest of the set, null for an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = pa.list_(pa.int64())
         for keys, texts in text_batches(batches):
-            size, node, buckets, sketch = [], [], [], []
+            size, node, buckets, sketch, packed = [], [], [], [], []
             for text in texts:
                 found = shingles(text)
                 size.append(len(found))
                 if not len(found):
-                    for out in (node, buckets, sketch):
+                    for out in (node, buckets, sketch, packed):
                         out.append(None)
                     continue
                 least = samples(found)
                 node.append(_node(found))
                 buckets.append(bands(least))
                 sketch.append(odd_sketch(least))
-            yield pa.RecordBatch.from_arrays([keys, pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(buckets, longs), pa.array(sketch, longs)], ["key", "size", "node", "buckets", "sketch"])
+                packed.append(found.tobytes())
+            columns = [pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(buckets, longs), pa.array(sketch, longs), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays([keys, *columns], ["key", "size", "node", "buckets", "sketch", "set"])
 
-    kind = docs.schema["key"].dataType.simpleString()
-    return docs.mapInArrow(run, f"key {kind}, size long, node long, buckets array<long>, sketch array<long>")
+    many = ArrayType(LongType())
+    fields = [("size", LongType()), ("node", LongType()), ("buckets", many), ("sketch", many), ("set", BinaryType())]
+    return docs.mapInArrow(run, StructType([docs.schema["key"], *(StructField(*f) for f in fields)]))
 
 
 def _node(shingle_set: np.ndarray) -> int:
@@ -147,21 +156,24 @@ def _alike(one: str, two: str, percent: int) -> Column:
     return (100 * small >= percent * large) & (bits <= most_bits(percent / 100 - MARGIN))
 
 
-def _sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(node, set): the full sets of these nodes, packed."""
-    rows = nodes.join(classes, "node").select("node", "key").join(docs, "key").select("node", "text")
+def _sets(nodes: DataFrame, every: DataFrame) -> DataFrame:
+    """(node, set): the full sets of these nodes, packed. Rows of equal sets are dropped before the shuffle."""
+    return materialize(every.select("node", "set").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            numbers, out = [], []
-            for node, text in zip(batch.column("node").to_pylist(), batch.column("text")):
-                found = shingles(text.as_py())
-                if len(found) and _node(found) == node:  # else another row of a repeated key
-                    numbers.append(node)
-                    out.append(found.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(out, pa.binary())], ["node", "set"])
 
-    return materialize(rows.mapInArrow(run, "node long, set binary"), "sets")
+def _members(nodes: DataFrame) -> DataFrame:
+    """(bucket, node, n, pivot) of buckets of several members; the pivot is the least, the same one in most buckets of a group.
+
+    Buckets of a large share of all rows are fewer than their share says, so they are joined by a broadcast, and
+    their rows do not meet in one task.
+    """
+    spark = nodes.sparkSession
+    buckets = nodes.select("node", F.explode("buckets").alias("bucket"))
+    pivots = materialize(buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1"), "pivots")
+    least = nodes.count() * BANDS // (PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))) + 1
+    large = F.broadcast(pivots.where(F.col("n") > least))
+    small = buckets.join(large.select("bucket"), "bucket", "left_anti").join(pivots.where(F.col("n") <= least), "bucket")
+    return materialize(buckets.join(large, "bucket").unionByName(small).select("bucket", "node", "n", "pivot"), "members")
 
 
 def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -203,14 +215,14 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _left_over(members: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(bucket, node, size, sketch, live) of members that may still get a link.
+    """(bucket, node, size, sketch, buckets, live) of members that may still get a link.
 
     ``live`` counts the shingles that another of them has. What two sets have in common is at most
     that of either, so a member with too many shingles of its own has no link at all.
     """
     placed = _rooted(members, roots)
     lone = _lone(sets, placed.select("node").distinct())
-    live = nodes.join(lone, "node", "left").select("node", "size", "sketch", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("live"))
+    live = nodes.join(lone, "node", "left").select("node", "size", "sketch", "buckets", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("live"))
     return materialize(placed.drop("root").join(live.where(100 * F.col("live") >= percent * F.col("size")), "node"), "live")
 
 
@@ -223,52 +235,122 @@ def _to_common(placed: DataFrame) -> DataFrame:
     return materialize(placed.join(pivots, "bucket").select("bucket", "node", F.col("top.node").alias("pivot")), "pivots")
 
 
-def _across(placed: DataFrame, percent: int) -> DataFrame:
-    """Pairs within a bucket and in different components that may be linked by all that is known of them.
+def common_counts(one: list[np.ndarray], two: list[np.ndarray], wanted: np.ndarray) -> np.ndarray:
+    """How many elements each wanted pair of sets has in common; other pairs count as 0.
 
-    That is what they share with any other, their sketches, and how ``far`` each is from the bucket's pivot:
-    one less the similarity is a metric, so linked sets are about as far from any third.
+    Many pairs are counted by products of 0-1 matrices over the elements that both sides have, some at a time.
+    """
+    found = np.zeros(wanted.shape, np.int64)
+    if wanted.sum() <= 64:
+        for i, j in zip(*np.nonzero(wanted)):
+            found[i, j] = len(np.intersect1d(one[i], two[j], assume_unique=True))
+        return found
+    left, right = np.flatnonzero(wanted.any(axis=1)), np.flatnonzero(wanted.any(axis=0))
+    sides = []
+    for rows, sets in ((left, one), (right, two)):
+        line = np.repeat(np.arange(len(rows)), [len(sets[r]) for r in rows])
+        sides.append((line, np.concatenate([sets[r] for r in rows])))
+    both = np.intersect1d(sides[0][1], sides[1][1])
+    spots = []
+    for line, elements in sides:
+        at = np.searchsorted(both, elements)
+        shared = (at < len(both)) & (both[np.minimum(at, len(both) - 1)] == elements) if len(both) else np.zeros(len(elements), bool)
+        order = np.argsort(at[shared], kind="stable")
+        spots.append((line[shared][order], at[shared][order]))
+    total = np.zeros((len(left), len(right)))
+    for first in range(0, len(both), COLUMNS):
+        flat = []
+        for rows, (line, at) in zip((left, right), spots):
+            cut = slice(*np.searchsorted(at, [first, first + COLUMNS]))
+            flat.append(np.zeros((len(rows), min(COLUMNS, len(both) - first)), np.float32))
+            flat[-1][line[cut], at[cut] - first] = 1
+        total += flat[0] @ flat[1].T
+    found[np.ix_(left, right)] = np.where(wanted[np.ix_(left, right)], total.round().astype(np.int64), 0)
+    return found
+
+
+def _joining(pairs: Iterator[tuple[int, int]], roots_one: np.ndarray, roots_two: np.ndarray) -> list[tuple[int, int]]:
+    """Those of the pairs that join two components, given the components so far."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in parent:
+            up = parent[x]
+            if up in parent:
+                parent[x] = parent[up]
+            x = up
+        return x
+
+    kept = []
+    for i, j in pairs:
+        a, b = top(int(roots_one[i])), top(int(roots_two[j]))
+        if a != b:
+            parent[a] = b
+            kept.append((i, j))
+    return kept
+
+
+def _across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of full sets between members of one bucket in different components.
+
+    Sets are compared if what they share with any other, their sketches, and how ``far`` each is from the bucket's
+    pivot allow a link: one less the similarity is a metric, so linked sets are about as far from any third.
 
     A component with many members in a bucket has blocks of its own, which do not meet each other; the
-    others share blocks. So a bucket with one large component costs its members times the few left over.
+    others share blocks. So a bucket with one large component costs its members times the few left over. Of two
+    blocks only links that join components come back, fewer than the blocks have members.
     """
-    counts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    counts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("held"))
     counts = counts.withColumn("own", F.when(F.col("n") >= BLOCK // 2, F.col("root")))
-    totals = counts.groupBy("bucket", "own").agg(F.ceil(F.sum("n") / BLOCK).alias("slices"))
+    totals = counts.groupBy("bucket", "own").agg(F.ceil(F.greatest(F.sum("n") / BLOCK, F.sum("held") / BLOCK_SHINGLES)).alias("slices"))
     numbered = placed.join(counts.select("bucket", "root", "own"), ["bucket", "root"])
     blocks = numbered.join(totals.withColumnRenamed("own", "own_").withColumnRenamed("bucket", "bucket_"), (F.col("bucket") == F.col("bucket_")) & F.col("own").eqNullSafe(F.col("own_")))
-    blocks = blocks.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")))
-    packed = blocks.groupBy("bucket", "own", "slice").agg(F.collect_list(F.struct("node", "root", "size", "live", "far", "sketch")).alias("held"))
+    blocks = blocks.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices"))).join(sets, "node")
+    packed = blocks.groupBy("bucket", "own", "slice").agg(F.collect_list(F.struct("node", "root", "size", "live", "far", "sketch", "buckets", "set")).alias("held"))
     packed = materialize(packed.withColumn("block", F.xxhash64("own", "slice")), "blocks")
     one, two = packed.alias("one"), packed.alias("two")
     apart = (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.block") <= F.col("two.block")) & ~(F.coalesce(F.col("one.own") == F.col("two.own"), F.lit(False)))
-    met = one.join(two, apart).select(F.col("one.held").alias("one"), F.col("two.held").alias("two"))
+    met = one.join(two, apart).select("one.bucket", (F.col("one.block") == F.col("two.block")).alias("self"), F.col("one.held").alias("one"), F.col("two.held").alias("two"))
     limit = most_bits(percent / 100 - MARGIN)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for left, right in zip(batch.column("one"), batch.column("two")):
-                na, ra, sa, la, fa, ka = _columns(left)
-                nb, rb, sb, lb, fb, kb = _columns(right)
-                out_a, out_b = [], []
-                for i in range(len(na)):
-                    common = np.minimum(la[i], lb)
-                    good = (ra[i] != rb) & (100 * common >= percent * (sa[i] + sb - common))
-                    good &= np.abs(fa[i] - fb) <= 1 - percent / 100 + 1e-9
-                    good &= np.bitwise_count((ka[i] ^ kb).view(np.uint64)).sum(axis=1) <= limit
-                    for j in np.flatnonzero(good):
-                        out_a.append(min(na[i], nb[j]))
-                        out_b.append(max(na[i], nb[j]))
-                yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
-
-    return met.mapInArrow(compare, "a long, b long").distinct()
-
-
-def _columns(block: pa.ListScalar) -> list[np.ndarray]:
-    """Numbers of a block's members, and their sketches as rows."""
-    held = block.values
-    plain = [held.field(i).to_numpy(zero_copy_only=False) for i in range(5)]
-    return [*plain, held.field(5).flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH_WORDS)]
+            for bucket, itself, left, right in zip(*(batch.column(c) for c in ("bucket", "self", "one", "two"))):
+                links = _block_links(_Block(left), _Block(right), bucket.as_py(), itself.as_py(), percent, limit)
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], ["a", "b"])
+
+    return materialize(met.mapInArrow(compare, "a long, b long").distinct(), "late")
+
+
+class _Block:
+    """Members of a bucket: numbers, sketches, buckets and sets as rows."""
+
+    def __init__(self, block: pa.ListScalar) -> None:
+        held = block.values
+        self.node, self.root, self.size, self.live, self.far = (held.field(i).to_numpy(zero_copy_only=False) for i in range(5))
+        self.sketch, self.buckets = (held.field(i).flatten().to_numpy(zero_copy_only=False).reshape(len(held), -1) for i in (5, 6))
+        self.sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in held.field(7)]
+
+
+def _block_links(one: _Block, two: _Block, bucket: int, itself: bool, percent: int, limit: int) -> list[tuple[int, int]]:
+    """The links (a, b) between two blocks of a bucket that join components."""
+    wanted = one.root[:, None] != two.root[None, :]
+    if itself:
+        wanted = np.triu(wanted, 1)
+    wanted &= np.abs(one.far[:, None] - two.far[None, :]) <= 1 - percent / 100 + 1e-9
+    common = np.minimum(one.live[:, None], two.live[None, :])
+    wanted &= 100 * common >= percent * (one.size[:, None] + two.size[None, :] - common)
+    for i in np.flatnonzero(wanted.any(axis=1)):
+        here = np.flatnonzero(wanted[i])
+        good = np.bitwise_count((one.sketch[i] ^ two.sketch[here]).view(np.uint64)).sum(axis=1) <= limit
+        # The first bucket that holds both is the one that compares them.
+        good &= one.buckets[i][(one.buckets[i] == two.buckets[here]).argmax(axis=1)] == bucket
+        wanted[i, here] = good
+    common = common_counts(one.sets, two.sets, wanted)
+    union = one.size[:, None] + two.size[None, :] - common
+    good = (common > 0) & (100 * common >= percent * union)
+    joining = _joining(zip(*np.nonzero(good)), one.root, two.root)
+    return [(int(min(one.node[i], two.node[j])), int(max(one.node[i], two.node[j]))) for i, j in joining]
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -276,27 +358,23 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 
     Two documents are linked if ``100 * common >= percent * union`` of their distinct shingles. A null or
     empty text, or one without words, has none and is linked with nothing: its component is its own key. One
-    row for each row; repeated rows are of one class, and a null key is never the smallest. Other columns are not carried.
+    row for each row; repeated rows are of one class and all kept where their key is the smallest. A null key links
+    like any other and is never the smallest: it is not kept, and ``component_id`` is null if no member has a key. Other
+    columns are not carried.
 
     A link is lost only if a pair meets in no bucket (5e-6 at the threshold, less above) or its sketches
     mislead (2e-7 there), and then only if no other way joins the two.
     """
-    source = keyed_text(docs, key, text)
-    every = materialize(_sketched(source), "sketches")
-    classes = materialize(every.where("node IS NOT NULL").groupBy("node").agg(F.min("key").alias("key")), "classes")
-    nodes = every.join(classes, ["node", "key"])
-    buckets = nodes.select("node", F.explode("buckets").alias("bucket"))
-    # The pivot is the least of a mixed number, the same one in most buckets of a group.
-    pivots = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.xxhash64("node")).alias("least")).where("n > 1")
-    members = materialize(buckets.join(pivots, "bucket").select("bucket", "node", "n", "least"), "members")
-    pivot_nodes = members.where(F.xxhash64("node") == F.col("least")).groupBy("bucket").agg(F.min("node").alias("pivot"))
-    tried = members.join(pivot_nodes, "bucket").where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    tried = materialize(tried, "tried")
+    every = materialize(_sketched(keyed_text(docs, key, text)), "sketches")
+    placed = every.where("node IS NOT NULL")
+    nodes = placed.groupBy("node").agg(F.min("key").alias("key"), F.first(F.struct("size", "buckets", "sketch")).alias("x")).select("node", "key", "x.*")
+    nodes = materialize(nodes, "nodes")
+    members = _members(nodes)
+    tried = materialize(members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "tried")
     details = nodes.select("node", "size", "sketch")
     a, b = details.alias("one"), details.alias("two")
     likely = tried.join(a, F.col("a") == F.col("one.node")).join(b, F.col("b") == F.col("two.node")).where(_alike("one", "two", percent)).select("a", "b")
-    sets = _sets(members.select("node").distinct(), source, classes)
-    sets = _sets(members.select("node").distinct(), source, classes)
+    sets = _sets(members.select("node").distinct(), placed)
     links = _measured(materialize(likely, "likely"), sets, percent).where("linked").select("a", "b")
     roots = components(links)
     left = _left_over(members.where("n > 2").select("bucket", "node"), roots, nodes, sets, percent)
@@ -306,12 +384,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     links = materialize(links.unionByName(measured.where("linked").select("a", "b")), "linked")
     roots = components(links)
     distances = pivoted.select("bucket", "node", *ends).join(measured, ["a", "b"], "left").select("bucket", "node", F.coalesce("far", F.lit(0.0)).alias("far"))
-    more = _across(_rooted(left.join(distances, ["bucket", "node"]), roots), percent).join(tried.unionByName(measured.select("a", "b")), ["a", "b"], "left_anti")
-    late = _measured(materialize(more, "more"), sets, percent).where("linked").select("a", "b")
+    late = _across(_rooted(left.join(distances, ["bucket", "node"]), roots), sets, percent)
     if not late.isEmpty():
         roots = components(links.unionByName(late))
-    joined = classes.join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
+    joined = nodes.select("node", "key").join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("root"))
     least = joined.groupBy("root").agg(F.min("key").alias("component_id"))
     labels = joined.join(least, "root").select("node", "component_id")
-    placed = every.join(labels, "node", "left").select("key", F.col("size").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
-    return placed.select(F.col("key").alias(key), "n_shingles", "component_id", F.coalesce(F.col("key") == F.col("component_id"), F.lit(False)).alias("kept"))
+    labelled = every.join(labels, "node", "left").select("key", F.col("size").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+    return labelled.select(F.col("key").alias(key), "n_shingles", "component_id", F.coalesce(F.col("key") == F.col("component_id"), F.lit(False)).alias("kept"))

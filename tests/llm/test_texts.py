@@ -385,6 +385,41 @@ def test_near_duplicates_equal_brute_force(spark):
     assert near_dup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_near_duplicates_with_repeated_rows_null_keys_and_other_columns(spark):
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    changed = [*base[:30], "other", *base[31:]]
+    two = [" ".join(base), " ".join(changed)]
+    data = [(5 + i, two[i], 1, "x", 2) for i in range(2) for _ in range(3000)]
+    data += [(3, " ".join([*changed[:58], "end"]), 1, "x", 2), (None, " ".join(base[:59]), 1, "x", 2), (None, "alone by far", 1, "x", 2), (None, None, 1, "x", 2), (9, "", 1, "x", 2)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, node int, `set` string, size int")
+    got = Counter(tuple(r) for r in near_dup.near_duplicates(docs).collect())
+    assert got == {(5, 56, 3, False): 3000, (6, 56, 3, False): 3000, (3, 55, 3, True): 1, (None, 55, 3, False): 1, (None, 1, None, False): 1, (None, 0, None, False): 1, (9, 0, 9, True): 1}
+
+
+def test_near_duplicates_of_a_group_that_pivots_do_not_join(spark, monkeypatch):
+    # Chains: each text shares enough with the next one only, so no member is linked to all.
+    monkeypatch.setattr(near_dup, "BLOCK", 16)
+    rng = random.Random(4)
+    stock = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    values = {i: " ".join(stock[i * 3 : i * 3 + 100]) for i in range(100)}
+    values |= {200 + i: " ".join(stock[:70] + [f"v{rng.randrange(10**6)}" for _ in range(30)]) for i in range(150)}
+    docs = spark.createDataFrame(list(values.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(docs).collect()}
+    assert got == brute_components(values)
+
+
+def test_common_counts_and_joining_links():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in rng.integers(1, 200, 40)]
+    for chance in (0.01, 0.9):
+        wanted = rng.random((15, 25)) < chance
+        found = near_dup.common_counts(sets[:15], sets[15:], wanted)
+        assert found.tolist() == [[len(np.intersect1d(sets[i], sets[15 + j])) * int(wanted[i, j]) for j in range(25)] for i in range(15)]
+    roots = np.arange(6)
+    assert near_dup._joining([(0, 1), (1, 2), (0, 2), (3, 4), (4, 0), (3, 1)], roots, roots) == [(0, 1), (1, 2), (3, 4), (4, 0)]
+
+
 def test_odd_sketch_estimates():
     rng = np.random.default_rng(5)
     for share in (0.75, 0.9):

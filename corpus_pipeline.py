@@ -19,27 +19,44 @@ from reedbed.session import show_package
 ORACLE_SQL = None
 
 
+def _marked(docs: DataFrame) -> DataFrame:
+    """With the digest of the text, by which decisions come back: keys may be null or repeated, and all decisions but the
+    choice among copies depend on the text alone."""
+    return docs.withColumn("_mark", F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents without those named by ``doc_id`` in ``gone``, which is written first so that its size is known."""
-    return docs.join(materialize(gone.select("doc_id").distinct(), "gone"), "doc_id", "left_anti").select(docs.columns)
+    """The marked documents without the texts whose digests ``gone`` holds, which is written first so that its size is known."""
+    return docs.join(materialize(gone.select("_mark").distinct(), "gone"), "_mark", "left_anti").drop("_mark")
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have a language; texts without a letter, null ones among them, go."""
     show_package(spark)
-    languages = language.learn(table(spark, sf_dir, "documents"))
-    return _without(docs, language.identify(docs, languages).where("lang_pred = 'und'"))
+    languages, docs = language.learn(table(spark, sf_dir, "documents")), _marked(docs)
+    return _without(docs, language.identify(docs, languages, key="_mark").where("lang_pred = 'und'"))
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one of the smallest id."""
+    """One document of each group of near-duplicates: the one of the smallest id, any one of its repeated rows.
+
+    Documents without an id come last. Texts without words are in no group and stay.
+    """
     show_package(spark)
-    return _without(docs, near_dup.near_duplicates(docs).where("NOT kept"))
+    docs = _marked(docs)
+    # The order of keys is that of ids, nulls last, then of texts.
+    keyed = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_mark").alias("key"), "text")
+    kept = near_dup.near_duplicates(keyed, key="key").where("kept").groupBy("key").agg(F.count("*").alias("_rows"), F.max("n_shingles").alias("_size"))
+    kept = materialize(kept.select(F.col("key.doc_id").alias("_id"), F.col("key._mark").alias("_text"), "_rows", "_size"), "kept")
+    stay = docs.join(kept, (F.col("_mark") == F.col("_text")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    many = (F.col("_rows") > 1) & (F.col("_size") > 0)
+    return stay.where(~many).unionByName(stay.where(many).dropDuplicates(["_id", "_text"])).select(docs.columns).drop("_mark")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return _without(docs, decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")))
+    docs = _marked(docs)
+    return _without(docs, decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), key="_mark"))
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

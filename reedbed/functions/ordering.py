@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_DIGITS = 3  # 16**3 = 4096 slices per group
+from reedbed.session import materialize
+
+SLICE_DIGITS = 3  # 16**3 = 4096 slices per group, and more digits for more rows
+SLICE_ROWS = 20_000  # rows of a slice that one task sorts
 
 
 def hash_key(id_col: str | Column, seed: int) -> Column:
@@ -30,22 +33,32 @@ def _before(groups: list[str], order: Column, value: Column) -> Column:
     return F.coalesce(F.sum(value).over(w), F.lit(0).cast("bigint"))
 
 
-def _slices(df: DataFrame, groups: list[str], key: str) -> DataFrame:
+def _slices(df: DataFrame, groups: list[str], key: str, digits: int) -> DataFrame:
     """Histogram (groups, slice) -> rows in the slice and in all slices before it."""
     hist = (
-        df.groupBy(*groups, F.substring(key, 1, SLICE_DIGITS).alias("_slice"))
+        df.groupBy(*groups, F.substring(key, 1, digits).alias("_slice"))
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
     return hist.withColumn("_before", _before(groups, F.col("_slice"), F.col("_rows")))
 
 
-def rank_by_hash(df: DataFrame, groups: list[str], key: str, out: str = "rank") -> DataFrame:
+def slice_digits(rows: int) -> int:
+    """Leading digits that keep the slices of a group of so many rows within ``SLICE_ROWS`` rows on average."""
+    digits = SLICE_DIGITS
+    while rows > SLICE_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
+def rank_by_hash(df: DataFrame, groups: list[str], key: str, out: str = "rank", rows: int = 0) -> DataFrame:
     """Add the 1-based rank by ``key`` inside each group (non-null group columns).
 
-    A group is spread over its slices; no task sorts more than one slice.
+    A group is spread over its slices; no task sorts more than one slice. ``rows`` is the size of the
+    input where it is known: larger inputs have finer slices.
     """
-    sliced = df.withColumn("_slice", F.substring(key, 1, SLICE_DIGITS))
-    offsets = _slices(df, groups, key).drop("_rows")
+    digits = slice_digits(rows)
+    sliced = df.withColumn("_slice", F.substring(key, 1, digits))
+    offsets = _slices(df, groups, key, digits).drop("_rows")
     local = Window.partitionBy(*groups, "_slice").orderBy(key)
     # Numbered before the join: its order by group and slice then serves the join as well.
     return (
@@ -56,27 +69,50 @@ def rank_by_hash(df: DataFrame, groups: list[str], key: str, out: str = "rank")
     )
 
 
-def take_by_hash(
-    df: DataFrame, groups: list[str], key: str, n: int | Column, small_groups: bool = False
-) -> DataFrame:
-    """The first ``n`` rows by ``key`` of each group.
+def cut_keys(narrow: DataFrame, groups: list[str], key: str, n: int | Column) -> DataFrame:
+    """(groups, ``cut``): the n-th key of each group in order, or its last; groups of which nothing is wanted are left out.
 
-    One narrow pass builds the slice histogram; slices past the n-th row are
-    then dropped before anything is shuffled, and only the kept slices are ranked.
-    ``small_groups`` says that there are no groups, so the histogram has at most 4096
-    rows and may be broadcast.
+    ``narrow`` has the groups and the key, best as a written table. A histogram of leading digits tells which slice of a
+    group holds its n-th key; only that slice is counted again by further digits, until it is small enough to
+    be sorted. So the work after the first pass does not grow with the group, and nothing but counts is shuffled.
     """
-    quota = F.lit(n) if isinstance(n, int) else n
-    wanted = _slices(df, groups, key).withColumn("_quota", quota.cast("bigint")).filter("_before < _quota")
-    wanted = wanted.drop("_rows")
-    sliced = df.withColumn("_slice", F.substring(key, 1, SLICE_DIGITS))
-    local = Window.partitionBy(*groups, "_slice").orderBy(key)
-    return (
-        sliced.join(F.broadcast(wanted) if small_groups else wanted, groups + ["_slice"])
-        .withColumn("_rank", F.col("_before") + F.row_number().over(local))
-        .filter("_rank <= _quota")
-        .drop("_slice", "_before", "_quota", "_rank")
-    )
+    quota = (F.lit(n) if isinstance(n, int) else n).cast("bigint")
+    # A group column may be null or an array: the groups go by one text each, and none by the empty one.
+    name = F.to_json(F.struct(*groups)) if groups else F.lit("")
+    held = narrow.select(*groups, name.alias("_group"), F.col(key).alias("_key"), quota.alias("_quota"))
+    digits, found, current = SLICE_DIGITS, None, held
+    while True:
+        counted = current.groupBy("_group", F.substring("_key", 1, digits).alias("_slice")).agg(F.count(F.lit(1)).alias("_rows"), F.max("_quota").alias("_quota"))
+        before = _before(["_group"], F.col("_slice"), F.col("_rows"))
+        if found is None:
+            whole = F.sum("_rows").over(Window.partitionBy("_group"))
+            placed = counted.withColumns({"_before": before, "_all": whole}).withColumn("_want", F.least("_quota", "_all"))
+        else:
+            placed = counted.withColumn("_before", before).join(found.select("_group", "_want"), "_group")
+        cut = placed.filter((F.col("_before") < F.col("_want")) & (F.col("_want") <= F.col("_before") + F.col("_rows")))
+        found = materialize(cut.select("_group", F.col("_slice").alias("_cut_slice"), (F.col("_want") - F.col("_before")).alias("_want"), "_rows"), "cuts")
+        current = held.join(found.select("_group", "_cut_slice"), "_group").filter(F.col("_key").startswith(F.col("_cut_slice"))).drop("_cut_slice")
+        most = found.agg(F.max("_rows")).first()[0] or 0
+        if most <= SLICE_ROWS or digits >= 30:
+            break
+        digits += SLICE_DIGITS
+    order = Window.partitionBy("_group").orderBy("_key")
+    last = current.withColumn("_rank", F.row_number().over(order)).join(found.select("_group", "_want"), "_group").filter("_rank = _want")
+    return materialize(last.select(*groups, F.col("_key").alias("cut")), "cut-keys")
+
+
+def take_by_hash(df: DataFrame, groups: list[str], key: str, n: int | Column) -> DataFrame:
+    """The first ``n`` rows by ``key`` of each group; ``n`` may depend on the group. Rows are filtered, not shuffled."""
+    return up_to_cut(df, cut_keys(df, groups, key, n), groups, F.col(key))
+
+
+def up_to_cut(df: DataFrame, cuts: DataFrame, groups: list[str], key: Column) -> DataFrame:
+    """The rows whose key is not behind their group's cut: a filter on the scan, with one small row for each group."""
+    if not groups:
+        return df.filter(key <= cuts.select("cut").scalar())
+    same = [F.col(g).eqNullSafe(F.col(f"_cut_{g}")) for g in groups]
+    named = cuts.select(*[F.col(g).alias(f"_cut_{g}") for g in groups], F.col("cut").alias("_cut"))
+    return df.join(named, same).filter(key <= F.col("_cut")).drop("_cut", *[f"_cut_{g}" for g in groups])
 
 
 def value_cuts(df: DataFrame, col: str) -> list[float]:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reedbed.functions.columns import only
+from reedbed.session import materialize
 
 
 def species_frequency(df: DataFrame, names: str = "species_names") -> DataFrame:
@@ -21,11 +22,23 @@ def species_frequency(df: DataFrame, names: str = "species_names") -> DataFrame:
 
 
 def name_lists(df: DataFrame) -> DataFrame:
-    """Each different list of species, ``names``, with the number of its rows.
+    """The dictionary of species lists: each different list, ``names``, with its ``list_id`` and the number of its rows.
 
-    What depends on the list alone is found once per list and joined back by it, so rows need no key.
+    It is written once. What depends on the list alone is found on it and joined back by the id, so rows need no
+    key and the source is planned once more only.
     """
-    return df.groupBy(F.col("species_names").alias("names")).agg(F.count(F.lit(1)).alias("rows"))
+    lists = df.groupBy(F.col("species_names").alias("names")).agg(F.count(F.lit(1)).alias("rows"))
+    return materialize(lists.withColumn("list_id", list_id("names")), "species-lists")
+
+
+def list_id(names: str) -> Column:
+    """A digest of the list; as two lists may share one, joins by it compare the lists, too."""
+    return F.xxhash64(F.array_join(names, "\x1f", "\x1e"))
+
+
+def same_list(lists: DataFrame) -> Column:
+    """Whether a row has the list of a row of ``lists`` (``_list_id``, ``_names``)."""
+    return (list_id("species_names") == lists["_list_id"]) & (F.col("species_names") == lists["_names"])
 
 
 def list_frequency(lists: DataFrame) -> DataFrame:
@@ -45,15 +58,14 @@ def anchor_first_target(df: DataFrame, targets: Sequence[str]) -> DataFrame:
 def _most_frequent(df: DataFrame, candidates: Callable[[Column], Column]) -> DataFrame:
     """Most frequent candidate; ties go to the first in the list. One way for any number of species, ids play no part."""
     lists = name_lists(df)
-    spread = lists.select("names", F.posexplode(candidates(F.col("names"))).alias("p", "species"))
+    spread = lists.select("list_id", "names", F.posexplode(candidates(F.col("names"))).alias("p", "species"))
     best = (
         spread.join(list_frequency(lists), "species")
-        .groupBy("names")
+        .groupBy(F.col("list_id").alias("_list_id"), F.col("names").alias("_names"))
         .agg(F.max_by("species", F.struct("count", -F.col("p"))).alias("anchor_species"))
-        .withColumnRenamed("names", "_names")
     )
-    plain = df.drop("anchor_species")
-    return plain.join(best, F.col("species_names") == F.col("_names"), "left").drop("_names")
+    best = materialize(best, "list-anchors")
+    return df.drop("anchor_species").join(best, same_list(best), "left").drop("_list_id", "_names")
 
 
 def anchor_most_frequent(df: DataFrame, targets: Sequence[str] = ()) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reedbed.config import SamplingStrategy
-from reedbed.functions.ordering import hash_key, hash_number, rank_by_hash, take_by_hash
+from reedbed.functions.ordering import cut_keys, hash_key, hash_number, rank_by_hash, up_to_cut
 from reedbed.operators.strategies import apply_strategy, keep_by_frequency
 from reedbed.session import materialize
 
@@ -28,9 +28,16 @@ def _other_pool(df: DataFrame) -> DataFrame:
     return df.filter(F.col("species_type") == "Other")
 
 
-def _take(df: DataFrame, groups: list[str], n: int | Column, seed: int, small_groups: bool) -> DataFrame:
-    keyed = df.withColumn("_key", hash_key("id", seed))
-    return take_by_hash(keyed, groups, "_key", n, small_groups).select(*df.columns)
+def _narrow(pool: DataFrame, seed: int, *columns: str) -> DataFrame:
+    """Ids, the named columns and the order key, written once: all that is picked is picked from it."""
+    written = materialize(pool.select("id", *columns), "sampling-pool")
+    return written.withColumn("_key", hash_key("id", seed))  # cheaper to compute again than to store
+
+
+def _take(df: DataFrame, groups: list[str], n: int, seed: int) -> DataFrame:
+    """The first ``n`` rows of each group: the cut keys come from a narrow pass, and the rows are filtered by them."""
+    cuts = cut_keys(_narrow(df, seed, *groups), groups, "_key", n)
+    return up_to_cut(df, cuts, groups, hash_key("id", seed))
 
 
 def sample_target_none(df: DataFrame) -> DataFrame:
@@ -42,33 +49,37 @@ def sample_target_downsample(df: DataFrame, cap: int | None, seed: int = 42) ->
     """At most ``cap`` rows per label; without a cap, all."""
     if not cap:
         return _target_pool(df)
-    # One group per class label, a number fixed by the class mapping.
-    return _take(_target_pool(df), [LABEL], cap, seed, small_groups=False)
+    return _take(_target_pool(df), [LABEL], cap, seed)
 
 
-def sample_target_upsample(df: DataFrame, cap: int | None, seed: int = 42) -> DataFrame:
-    """``max(n, cap)`` draws with replacement per label, with the number of the draw.
+def _upsampled_ids(narrow: DataFrame, cap: int | None, seed: int) -> DataFrame:
+    """(id, draw): ``max(n, cap)`` draws with replacement per label.
 
-    Draws are made in blocks spread over the cluster and meet the rows by
+    Draws are made in blocks spread over the cluster and meet the ids by
     ``(label, rank)``, which is unique: a large class is never one task.
     """
-    pool = _target_pool(df)
-    sizes = pool.groupBy(LABEL).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = narrow.groupBy(LABEL).agg(F.count(F.lit(1)).alias("_n"))
     wanted = F.greatest(F.col("_n"), F.lit(cap or 0).cast("bigint"))
     blocks = (
         sizes.withColumn("_wanted", wanted)
         .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_wanted - 1) div {DRAWS_PER_TASK_ROW}"))))
         # A fixed number of partitions: the few block rows look too small to adaptive
         # execution, which would merge them, and with them all draws, into one task.
-        .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), LABEL, "_block")
+        .repartition(int(narrow.sparkSession.conf.get("spark.sql.shuffle.partitions")), LABEL, "_block")
     )
     first = F.col("_block") * DRAWS_PER_TASK_ROW
     last = F.least(first + DRAWS_PER_TASK_ROW, F.col("_wanted")) - 1
     draws = blocks.select(LABEL, "_n", F.explode(F.sequence(first, last)).alias("draw"))
     text = F.concat_ws(":", F.lit(str(seed)), F.col(LABEL).cast("string"), F.col("draw").cast("string"))
     draws = draws.select(LABEL, "draw", (hash_number(text) % F.col("_n") + 1).alias("_rank"))
-    ranked = rank_by_hash(pool.withColumn("_key", hash_key("id", seed)), [LABEL], "_key", "_rank")
-    return ranked.join(draws, [LABEL, "_rank"]).select(*df.columns, "draw")
+    ranked = rank_by_hash(narrow.select("id", LABEL, "_key"), [LABEL], "_key", "_rank", narrow.count())
+    return ranked.join(draws, [LABEL, "_rank"]).select("id", "draw")
+
+
+def sample_target_upsample(df: DataFrame, cap: int | None, seed: int = 42) -> DataFrame:
+    """``max(n, cap)`` draws with replacement per label, with the number of the draw. Whole rows meet the drawn ids once."""
+    pool = _target_pool(df)
+    return pool.join(_upsampled_ids(_narrow(pool, seed, LABEL), cap, seed), "id").select(*df.columns, "draw")
 
 
 def exclude_rare_other(df: DataFrame, min_count: int) -> DataFrame:
@@ -78,7 +89,22 @@ def exclude_rare_other(df: DataFrame, min_count: int) -> DataFrame:
 
 def sample_other_random(df: DataFrame, size: int, seed: int = 42) -> DataFrame:
     """``size`` rows of the Other pool."""
-    return _take(_other_pool(df), [], size, seed, small_groups=True)
+    return _take(_other_pool(df), [], size, seed)
+
+
+def _first_ids(narrow: DataFrame, groups: list[str], n: int | Column) -> DataFrame:
+    return up_to_cut(narrow, cut_keys(narrow, groups, "_key", n), groups, F.col("_key")).select("id")
+
+
+def _stratified_ids(narrow: DataFrame, size: int) -> DataFrame:
+    """The ids of an even share per species list, topped up to ``size`` from those not taken."""
+    groups = narrow.agg(F.count_distinct("species_names")).first()[0]
+    even = materialize(_first_ids(narrow.filter(F.col("species_names").isNotNull()), ["species_names"], max(1, size // max(groups, 1))), "other-share")
+    rest = size - even.count()
+    if rest <= 0:
+        return even
+    unused = materialize(narrow.join(even, "id", "left_anti").select("id", "_key"), "other-unused")
+    return even.union(_first_ids(unused, [], rest))
 
 
 def sample_other_stratified(df: DataFrame, size: int, seed: int = 42) -> DataFrame:
@@ -90,15 +116,7 @@ def sample_other_stratified(df: DataFrame, size: int, seed: int = 42) -> DataFra
     if size <= 0:
         return df.limit(0)
     pool = _other_pool(df)
-    key = hash_key("id", seed)  # cheaper to compute again than to store
-    narrow = materialize(pool.select("id", "species_names"), "other-pool").withColumn("_key", key)
-    groups = narrow.agg(F.count_distinct("species_names").alias("n")).scalar()
-    share = F.when(groups > 0, F.greatest(F.lit(1).cast("bigint"), F.floor(F.lit(size) / groups)))
-    even = materialize(take_by_hash(narrow, ["species_names"], "_key", share).select("id"), "other-share")
-    rest = F.lit(size) - even.agg(F.count(F.lit(1))).scalar()
-    unused = narrow.join(even, "id", "left_anti")
-    top_up = take_by_hash(unused, [], "_key", rest, small_groups=True).select("id")
-    return pool.join(even.union(top_up), "id", "left_semi")
+    return pool.join(_stratified_ids(_narrow(pool, seed, "species_names"), size), "id", "left_semi")
 
 
 def sample_other(
@@ -122,17 +140,41 @@ def sample_target(df: DataFrame, strategy: str, cap: int | None, seed: int = 42)
     raise ValueError(f"unknown target sampling {strategy!r}")
 
 
+def _target_ids(narrow: DataFrame, strategy: str, cap: int | None, seed: int) -> DataFrame:
+    """(id, draw) of the named target sampling; only upsampled ids have a draw."""
+    if strategy == "upsample":
+        return _upsampled_ids(narrow, cap, seed)
+    if strategy not in ("downsample", "none"):
+        raise ValueError(f"unknown target sampling {strategy!r}")
+    ids = _first_ids(narrow, [LABEL], cap) if strategy == "downsample" and cap else narrow.select("id")
+    return ids.withColumn("draw", F.lit(None).cast("bigint"))
+
+
+def _other_ids(narrow: DataFrame, strategy: str, size: int, exclude_below: int | None) -> DataFrame:
+    if strategy not in ("random", "stratify"):
+        raise ValueError(f"unknown Other sampling {strategy!r}; known: ['random', 'stratify']")
+    pool = materialize(exclude_rare_other(narrow, exclude_below), "other-frequent") if exclude_below else narrow
+    if size <= 0:
+        return pool.limit(0).select("id")
+    return _first_ids(pool, [], size) if strategy == "random" else _stratified_ids(pool, size)
+
+
 def sample_modelling_dataset(df: DataFrame, strategy: SamplingStrategy = SamplingStrategy()) -> DataFrame:
-    """Filter, sample targets, add the Other sample if wanted, shuffle."""
-    pool = apply_strategy(df, strategy.species_data_to_use)
+    """Filter, sample targets, add the Other sample if wanted, shuffle.
+
+    All ids are picked from one narrow table of the pool; the pool's whole rows meet the picked ids once.
+    """
     cap, seed = strategy.max_samples_per_class, strategy.seed
-    drawn = sample_target(pool, strategy.target_sampling, cap, seed)
+    if strategy.include_other and cap is None:
+        raise ValueError("max_samples_per_class is needed to size the Other sample")
+    pool = apply_strategy(df, strategy.species_data_to_use)
+    narrow = _narrow(pool, seed, LABEL, "species_type", "species_names")
+    picked = _target_ids(_target_pool(narrow), strategy.target_sampling, cap, seed)
     if strategy.include_other:
-        if cap is None:
-            raise ValueError("max_samples_per_class is needed to size the Other sample")
         size = round(cap * strategy.other_boost)  # half to even
-        other = sample_other(pool, strategy.other_sampling, size, strategy.exclude_other_below_count, seed)
-        drawn = drawn.unionByName(other, allowMissingColumns=True)
+        other = _other_ids(_other_pool(narrow), strategy.other_sampling, size, strategy.exclude_other_below_count)
+        picked = picked.unionByName(other.withColumn("draw", F.lit(None).cast("bigint")))
+    drawn = pool.join(picked.withColumnRenamed("id", "_picked"), F.col("id") == F.col("_picked"))
     return shuffle_rows(drawn, seed).select(*df.columns)
 
 
@@ -146,7 +188,7 @@ def sample_hold_out(
         return unused
     if LABEL not in unused.columns:
         raise ValueError(f"missing column {LABEL} for a cap per class")
-    return _take(unused.filter(F.col(LABEL).isNotNull()), [LABEL], cap, seed, small_groups=False)
+    return _take(unused.filter(F.col(LABEL).isNotNull()), [LABEL], cap, seed)
 
 
 def _with_quota(ids: DataFrame, wanted: Column, stratify: bool) -> DataFrame:

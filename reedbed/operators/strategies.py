@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reedbed.operators.anchors import list_frequency, name_lists
+from reedbed.operators.anchors import list_frequency, name_lists, same_list
+from reedbed.session import materialize
 
 
 def single_species_only(df: DataFrame) -> DataFrame:
@@ -26,9 +27,10 @@ def keep_by_frequency(df: DataFrame, wanted: Callable[[Column], Column]) -> Data
     """Rows with any species whose number of occurrences in ``df`` passes ``wanted``."""
     lists = name_lists(df)
     chosen = list_frequency(lists).filter(wanted(F.col("count")))
-    names = lists.select("names", F.explode(F.array_distinct("names")).alias("species"))
-    matched = names.join(chosen, "species", "left_semi").select(F.col("names").alias("_names")).distinct()
-    return df.join(matched, F.col("species_names") == F.col("_names"), "left_semi")
+    names = lists.select("list_id", "names", F.explode(F.array_distinct("names")).alias("species"))
+    matched = names.join(chosen, "species", "left_semi").select(F.col("list_id").alias("_list_id"), F.col("names").alias("_names"))
+    matched = materialize(matched.distinct(), "matched-lists")
+    return df.join(matched, same_list(matched), "left_semi")
 
 
 def rare_species_only(df: DataFrame, threshold: int = 100) -> DataFrame:

@@ -102,14 +102,16 @@ def _(spark, sf_dir):
 
 @query(
     "read_eval_artifacts",
-    f"""WITH {q.ERRORS} SELECT id, pred_class, ({q.M})[pred_class + 1] AS predicted_species FROM errs WHERE actual_class < 5""",
+    f"""WITH {q.ERRORS}, {q.SPLITS} SELECT id, pred_class, ({q.M})[pred_class + 1] AS predicted_species
+    FROM errs WHERE id IN (SELECT id FROM split_ids WHERE split = 'test')""",
 )
 def _(spark, sf_dir):
     path, rows = scratch_dir(spark, "evaluation"), fx.errors(spark, sf_dir)
     mapping = spark.createDataFrame(list(enumerate(fx.MAPPING.species)), "class_label int, species_name string")
     rows.write.parquet(f"{path}/predictions")
     mapping.write.parquet(f"{path}/class_mapping")
-    rows.filter("actual_class < 5").select("id").write.parquet(f"{path}/test_ids")
+    tested = fx.split_ids(spark, sf_dir).filter("split = 'test'").select("id")
+    tested.write.parquet(f"{path}/test_ids")
     found = artifacts.read_eval_artifacts(spark, path)
     names = found["class_mapping"].select(F.col("class_label").alias("pred_class"), F.col("species_name").alias("predicted_species"))
     tested = found["predictions"].join(found["test_ids"], "id", "left_semi")
@@ -128,8 +130,9 @@ def _(spark, sf_dir):
     held = rows.filter("is_held").select("id", "chunk_index", "features")
     hits, to_do, counts = embeddings.incremental_features(rows.drop("features", "vec_id"), held)
     both = hits.drop("features").withColumn("status", F.lit("hit")).unionByName(to_do.withColumn("status", F.lit("to_do")))
-    counted = both.crossJoin(counts.toDF("n_wanted", "n_hits", "n_to_do"))  # one row
-    return counted.select("id", "chunk_index", "class_label", "species_name", "status", "n_wanted", "n_hits", "n_to_do")
+    n_wanted, n_hits, n_to_do = counts.first()
+    numbers = [F.lit(n).cast("bigint").alias(name) for n, name in ((n_wanted, "n_wanted"), (n_hits, "n_hits"), (n_to_do, "n_to_do"))]
+    return both.select("id", "chunk_index", "class_label", "species_name", "status", *numbers)
 
 
 @query("scan_audio_inventory", "SELECT s_suppkey AS id FROM supplier WHERE s_acctbal >= 0 AND s_nationkey > 3")

@@ -9,15 +9,23 @@ from pyspark.sql import functions as F
 
 from reedbed.config import EmbeddingSettings
 from reedbed.session import materialize
-from reedbed.sources.tables import read_or_empty, write_table
+from reedbed.sources.tables import layout_of, read_or_empty, write_table
 
 STORE_SCHEMA = (
     "audio_id string, chunk_index int, embedding array<float>, embedding_strategy string, "
     "species_name string, embedding_from string, window_sec float, overlap_window_sec float"
 )
 STORE_COLUMNS = [part.split()[0] for part in STORE_SCHEMA.split(", ")]
-# Few values each, so a fixed setting prunes whole folders; ids would make one folder per recording.
-PARTITIONS = ["embedding_from", "embedding_strategy"]
+# A recording's rows are all in one bucket, so a batch looks for what is stored in its own buckets only.
+BUCKETS = 64
+BUCKET = "id_bucket"
+# Few values each, so a fixed setting or bucket prunes whole folders; ids would make one folder per recording.
+PARTITIONS = ["embedding_from", "embedding_strategy", BUCKET]
+
+
+def bucket_of(id_col: str | Column) -> Column:
+    col = F.col(id_col) if isinstance(id_col, str) else id_col
+    return F.pmod(F.xxhash64(col.cast("string")), F.lit(BUCKETS)).cast("int")
 
 
 def setting_columns(settings: EmbeddingSettings) -> dict[str, Column]:
@@ -50,27 +58,88 @@ def embedding_coverage(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows whose recording has stored vectors at these settings, and the rows still to do.
 
-    Coverage is by recording, not by chunk. The stored ids are made distinct and written
-    once: a recording with very many stored chunks is one row there, both results share
-    the list, and its known size lets a short list be broadcast, so the wide rows of ``df``
-    are not shuffled for it.
+    Coverage is by recording, not by chunk. Only the buckets of the ids of ``df`` are read, and of the
+    ids stored there those of ``df`` are made distinct and written once: a recording with very many stored
+    chunks is one row there, both results share the list, and its known size lets a short list be
+    broadcast, so the wide rows of ``df`` are not shuffled for it.
     """
-    ids = at_settings(store, settings).select(F.col("audio_id").alias("_stored")).distinct()
-    stored = materialize(ids, "stored-ids")
+    wanted = materialize(df.select(F.col(id_col).cast("string").alias("audio_id")).distinct(), "wanted-ids")
+    near = in_buckets_of(at_settings(store, settings), wanted).select("audio_id")
+    stored = materialize(near.join(wanted, "audio_id", "left_semi").distinct().withColumnRenamed("audio_id", "_stored"), "stored-ids")
     match = F.col(id_col).cast("string") == F.col("_stored")
     return df.join(stored, match, "left_semi"), df.join(stored, match, "left_anti")
 
 
 def read_store(spark: SparkSession, table: str) -> DataFrame:
     """The stored table, or an empty frame of its layout before the first write."""
-    return read_or_empty(spark, table, STORE_SCHEMA).select(*STORE_COLUMNS)
+    return read_buckets(spark, table).select(*STORE_COLUMNS)
+
+
+def read_buckets(spark: SparkSession, table: str) -> DataFrame:
+    """The stored table with the bucket of each row; it is null in tables written without buckets."""
+    stored = read_or_empty(spark, table, STORE_SCHEMA)
+    return stored if BUCKET in stored.columns else stored.withColumn(BUCKET, F.lit(None).cast("int"))
+
+
+def in_buckets_of(store: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of the store that may belong to one of the ``audio_id`` of ``ids``: other buckets' folders are not listed or read.
+
+    The numbers of the buckets, ``BUCKETS`` at most, are fetched first. Rows without a bucket may belong to any id.
+    """
+    if BUCKET not in store.columns:
+        return store
+    numbers = [r[0] for r in ids.select(bucket_of("audio_id")).distinct().collect()]
+    return store.filter(F.col(BUCKET).isin(numbers) | F.col(BUCKET).isNull())
+
+
+def append_rows(rows: DataFrame, table: str) -> None:
+    """Append rows of the store's layout. Rows of a bucket go to one file, or to several if there are very many.
+
+    A table that was written without buckets stays so.
+    """
+    known = layout_of(rows.sparkSession, table)
+    if known is not None and BUCKET not in known:
+        write_table(rows, table, "append", [c for c in PARTITIONS if c != BUCKET])
+    else:
+        write_table(rows.withColumn(BUCKET, bucket_of("audio_id")).hint("rebalance", BUCKET), table, "append", PARTITIONS)
 
 
 def write_embeddings(features: DataFrame, table: str, settings: EmbeddingSettings) -> None:
     """Append the vectors of recordings that are not stored yet at these settings."""
-    spark = features.sparkSession
-    _, to_do = embedding_coverage(features, read_store(spark, table), settings)
-    write_table(to_store_rows(to_do, settings), table, "append", PARTITIONS)
+    _, to_do = embedding_coverage(features, read_buckets(features.sparkSession, table), settings)
+    append_rows(to_store_rows(to_do, settings), table)
+
+
+def append_new_chunks(
+    batch: DataFrame, table: str, settings: EmbeddingSettings, batch_id: int | None = None, stream: str = "append"
+) -> bool:
+    """Append the chunks of a micro-batch that the store lacks at these settings; whether it was looked at.
+
+    A batch with a ``batch_id`` is noted in a log beside the table once its rows are there, one entry a batch, and a
+    batch that is noted is not looked at again. A batch that failed before its note adds what is missing:
+    known ``(audio_id, chunk_index)`` are dropped, and so are repeats inside the batch. Only the buckets
+    of the batch's ids are read.
+    """
+    spark, log = batch.sparkSession, f"{table}_batches"
+    if batch_id is not None and is_noted(spark, log, stream, batch_id):
+        return False
+    # Written once: its ids are looked up before its rows are joined, and a stream's source is read a single time.
+    rows = materialize(to_store_rows(batch, settings).dropDuplicates(["audio_id", "chunk_index"]), "batch")
+    held = in_buckets_of(at_settings(read_buckets(spark, table), settings), rows.select("audio_id"))
+    fresh = rows.join(held.select("audio_id", "chunk_index"), ["audio_id", "chunk_index"], "left_anti")
+    append_rows(fresh.select(*rows.columns), table)
+    if batch_id is not None:
+        note = spark.range(1).select(F.lit(stream).alias("stream"), F.lit(batch_id).cast("long").alias("batch_id"), F.current_timestamp().alias("noted_at"))
+        write_table(note, log, "append", ["stream", "batch_id"])
+    return True
+
+
+def is_noted(spark: SparkSession, log: str, stream: str, batch_id: int) -> bool:
+    """Whether a batch is in the log: of a path, its own folder is looked for, whatever the length of the log."""
+    if "/" in log:
+        return not read_or_empty(spark, f"{log}/stream={stream}/batch_id={batch_id}", "noted_at timestamp").isEmpty()
+    entries = read_or_empty(spark, log, "noted_at timestamp, stream string, batch_id long")
+    return not entries.filter((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).isEmpty()
 
 
 def read_embeddings(ids: DataFrame, store: DataFrame, settings: EmbeddingSettings) -> DataFrame:
@@ -90,11 +159,13 @@ def incremental_features(wanted: DataFrame, store: DataFrame) -> tuple[DataFrame
     """
     keys = ["id", "chunk_index"]
     # A key stored twice counts once: its features are those of the greatest vector, whatever the order of the rows.
-    held = store.groupBy(*keys).agg(F.max("features").alias("features")).withColumn("_held", F.lit(True))
-    flagged = materialize(wanted.join(held, keys, "left"), "incremental")
+    held = store.groupBy(*keys).agg(F.max("features").alias("features"))
+    # Counts and misses need the keys alone; the vectors are read where the hits are.
+    known = store.select(*keys).distinct()
+    marked = wanted.select(*keys).join(known.withColumn("_held", F.lit(True)), keys, "left")
     is_hit = F.col("_held").isNotNull()
-    counts = flagged.agg(F.count(F.lit(1)).alias("wanted"), F.count_if(is_hit).alias("hits"), F.count_if(~is_hit).alias("to_do"))
-    return flagged.filter(is_hit).drop("_held"), flagged.filter(~is_hit).drop("_held", "features"), counts
+    counts = marked.agg(F.count(F.lit(1)).alias("wanted"), F.count_if(is_hit).alias("hits"), F.count_if(~is_hit).alias("to_do"))
+    return wanted.join(held, keys), wanted.join(known, keys, "left_anti"), counts
 
 
 def merge_feature_sources(stored: DataFrame, fresh: DataFrame) -> DataFrame:

@@ -30,6 +30,18 @@ def write_table(df: DataFrame, table: str, mode: str = "append", partition_by: S
         writer.format("parquet").saveAsTable(table)
 
 
+def layout_of(spark: SparkSession, table: str) -> list[str] | None:
+    """The columns of a stored table; None before the first write."""
+    if not _is_path(table):
+        return spark.table(table).columns if spark.catalog.tableExists(table) else None
+    try:
+        return spark.read.parquet(table).columns
+    except AnalysisException as exc:
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def read_or_empty(spark: SparkSession, table: str, schema: str) -> DataFrame:
     """The table in the given layout; no rows before the first write."""
     if not _is_path(table):

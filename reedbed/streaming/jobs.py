@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -10,8 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reedbed.config import EmbeddingSettings
 from reedbed.operators.monitor import rmse
-from reedbed.sources.embeddings import PARTITIONS, at_settings, read_store, to_store_rows
-from reedbed.sources.tables import write_table
+from reedbed.sources.embeddings import append_new_chunks
 
 
 def stream_daily_metric(stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
@@ -27,27 +27,18 @@ def stream_daily_metric(stream: DataFrame, watermark: str = "1 hour") -> DataFra
     return daily.select(day.alias("day"), "model_id", "rmse", "num_predictions")
 
 
-def append_new_chunks(batch: DataFrame, table: str, settings: EmbeddingSettings) -> None:
-    """Append the chunks of a micro-batch that the store lacks at these settings.
-
-    Replaying a batch adds nothing: known ``(audio_id, chunk_index)`` are dropped, and so are
-    repeats inside the batch.
-    """
-    rows = to_store_rows(batch, settings).dropDuplicates(["audio_id", "chunk_index"])
-    held = at_settings(read_store(batch.sparkSession, table), settings).select("audio_id", "chunk_index")
-    # Same keys as the repeats above, so the wide rows are shuffled once for both.
-    fresh = rows.join(held, ["audio_id", "chunk_index"], "left_anti")
-    write_table(fresh.select(*rows.columns), table, "append", PARTITIONS)
-
-
 def stream_append_embeddings(
     stream: DataFrame, table: str, settings: EmbeddingSettings, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Append streamed feature rows ``(id, chunk_index, features, species_name)`` to the store."""
+    """Append streamed feature rows ``(id, chunk_index, features, species_name)`` to the store.
+
+    A batch that is run again after a failure is known by its number, which is that of ``checkpoint``.
+    """
+    name = f"{zlib.crc32(checkpoint.encode()):08x}"
     writer = stream.writeStream.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.foreachBatch(lambda batch, _: append_new_chunks(batch, table, settings)).start()
+    return writer.foreachBatch(lambda batch, number: append_new_chunks(batch, table, settings, number, name)).start()
 
 
 def stream_score(

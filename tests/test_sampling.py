@@ -188,7 +188,7 @@ def test_ranks_and_quotas_match_a_sort(spark):
     quota = F.when(F.col("g") == 1, 7).otherwise(100)
     taken = {r["id"] for r in take_by_hash(ids, ["g"], "k", quota).collect()}
     assert taken == {i for i, r in want.items() if r <= (7 if i % 3 == 0 else 100)}
-    everything = take_by_hash(ids, [], "k", 10_000, small_groups=True)
+    everything = take_by_hash(ids, [], "k", 10_000)
     assert everything.count() == 500
 
 
@@ -222,7 +222,7 @@ def test_one_class_is_ranked_by_many_tasks(spark, fixed_partitions):
     """Every row is of one class; with four partitions no task may hold much more than a quarter."""
     df = spark.range(20_000).select("id", F.lit(1).alias("g"), hash_key("id", 1).alias("k"))
     assert largest_share(rank_by_hash(df, ["g"], "k")) < 0.4
-    assert largest_share(take_by_hash(df, ["g"], "k", 10_000, small_groups=True)) < 0.4
+    assert largest_share(take_by_hash(df, ["g"], "k", 10_000)) < 0.4
 
 
 def test_one_group_is_summed_by_many_tasks(spark, fixed_partitions):

@@ -54,6 +54,27 @@ def test_coverage_splits_rows(spark):
     assert rows(stored, "id", "chunk_index") == [(7, 0), (7, 99)] and rows(to_do, "id") == [(77,)]
 
 
+def test_a_batch_that_is_run_again_writes_nothing(spark, tmp_path):
+    table, count = str(tmp_path / "store"), lambda: len(embeddings.read_store(spark, table).inputFiles())
+    batch = feature_rows(spark, (1, 0), (1, 0), (2, 1))
+    assert embeddings.append_new_chunks(batch, table, SETTINGS, 7, "s")
+    assert embeddings.read_store(spark, table).count() == 2
+    files = count()
+    assert not embeddings.append_new_chunks(batch, table, SETTINGS, 7, "s") and count() == files
+    # Before its note a batch is looked at, and adds what is missing only; other streams have numbers of their own.
+    assert embeddings.append_new_chunks(feature_rows(spark, (1, 0), (3, 0)), table, SETTINGS, 7, "other")
+    assert embeddings.append_new_chunks(batch, table, SETTINGS, 8, "s")
+    assert sorted(r.audio_id for r in embeddings.read_store(spark, table).collect()) == ["1", "2", "3"]
+
+
+def test_stores_without_buckets_are_read_and_extended(spark, tmp_path):
+    table = str(tmp_path / "old")
+    embeddings.to_store_rows(feature_rows(spark, (1, 0)), SETTINGS).write.partitionBy("embedding_from", "embedding_strategy").parquet(table)
+    embeddings.write_embeddings(feature_rows(spark, (1, 0), (2, 0)), table, SETTINGS)
+    assert embeddings.append_new_chunks(feature_rows(spark, (1, 0), (2, 0), (2, 1)), table, SETTINGS)
+    assert sorted((r.audio_id, r.chunk_index) for r in embeddings.read_store(spark, table).collect()) == [("1", 0), ("2", 0), ("2", 1)]
+
+
 def test_incremental_features_count_hits(spark):
     wanted = feature_rows(spark, (1, 0), (1, 1), (2, 0)).drop("features")
     hits, to_do, counts = embeddings.incremental_features(wanted, feature_rows(spark, (1, 0), (3, 0)))

@@ -2,9 +2,9 @@
 
 Pages of a host are made by one program, so their DOM trees are alike. Each page is reduced to a tree of its
 block elements, in which like siblings in a row are one node. The most frequent tree of a host is
-its reference; all others are aligned to it by simple tree matching. Over all pages of the host,
-blocks that stand on half of them are its template, and each node of the reference is a slot with its
-amounts of text and link text. The slots with the article are the wrapper, by which each page is read.
+its reference; all others are aligned to it by simple tree matching. Each node of the reference is a slot with its
+amounts of text and link text over all pages of the host; a slot whose blocks all stand on half of the pages is
+constant, and template. The varying slots with the article are the wrapper, by which each page is read.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -30,6 +31,11 @@ MATH = set(
     "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd "
     "mtext mtr munder munderover semantics".split()
 )
+#: Elements that make a block; all others, unknown ones too, flow within one.
+BLOCK = set(
+    "address article aside blockquote body caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
+    "header hgroup hr html legend li main menu nav noframes ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
+)
 INLINE = MATH | set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 #: A start tag of the first kind ends an open element of the second.
 ENDS_P = set("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
@@ -59,8 +65,10 @@ RAW_TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)|<(script|style)(?![\w-]).*?(?:</\1(?![\w-])|\Z)|<(/?)({"|".join(sorted(RAW - TO_END - OPEN, reverse=True))})(?![\w-])((?:[^"'>]|"[^"]*"|'[^']*')*)(?:>|\Z)""",
     re.S | re.I,
 )
-#: A block of at least so many pages of a host, and of at least this share of them, is template.
-LEAST_PAGES, TEMPLATE_SHARE = 3, 0.5
+#: A block is common if at least so many pages of a host, and at least this share of them, have it: one page alone tells nothing.
+LEAST_PAGES, TEMPLATE_SHARE = 2, 0.5
+#: Groups of up to so many siblings that repeat are one group.
+PERIOD = 4
 
 
 class Node:
@@ -94,10 +102,16 @@ def _raw_ends(source: str) -> dict[int, int]:
     return ends
 
 
+def makes_node(tag: str, attributes: str) -> bool:
+    """Whether an element is a node of the tree: blocks are, and others that are known to surround an article."""
+    return tag in BLOCK or tag in AROUND_TAGS or tag not in INLINE and tag not in VOID and _surrounding(_label(tag, attributes), False)
+
+
 def parse(source: str) -> Node:
     """The tree of a page. Texts are children too: (text, whether within a link)."""
     root = here = Node("#", "#", None)
     at, links, size, ends = 0, 0, len(source), None
+    open_others: set[str] = set()
     while at < size:
         start, m = source.find("<", at), None
         while start >= 0 and not (m := TOKEN.match(source, start)):
@@ -114,11 +128,14 @@ def parse(source: str) -> Node:
             if tag in INLINE:
                 links = max(0, links - 1) if tag == "a" else links
                 continue
+            if not makes_node(tag, "") and tag not in open_others:
+                continue
             node = here
             while node is not root and node.tag != tag:
                 node = node.parent
             if node is not root:
                 here, links = node.parent, 0
+                open_others.discard(tag)
             continue
         if tag in RAW:
             if SELF_CLOSED.search(m.group(3)) and not UNQUOTED_SLASH.search(m.group(3)):
@@ -135,6 +152,10 @@ def parse(source: str) -> Node:
                 here.children.append((" ", False))
             links += tag == "a"
             continue
+        if not makes_node(tag, m.group(3)):
+            continue
+        if tag not in BLOCK and tag not in AROUND_TAGS:
+            open_others.add(tag)
         closes = {"p"} if tag in ENDS_P else ENDS_OWN.get(tag, ())
         node = here
         while closes and node is not root:
@@ -159,17 +180,27 @@ class Page:
         self.parents: list[int] = []
         self.blocks: list[tuple[int, str, int]] = []
         kids: list[list[int]] = []
+        trails: list[list[int]] = []  # the last children of each node, one number for those that are one node
 
         def number(label: str, parent: int) -> int:
-            """Like siblings in a row are one node."""
-            if parent >= 0 and kids[parent] and self.labels[kids[parent][-1]] == label:
-                return kids[parent][-1]
-            self.labels.append(label)
-            self.parents.append(parent)
-            kids.append([])
-            if parent >= 0:
-                kids[parent].append(len(kids) - 1)
-            return len(kids) - 1
+            """Like siblings in a row are one node, and so are those of like groups in a row."""
+            trail = trails[parent] if parent >= 0 else []
+            recent = [self.labels[t] for t in trail] + [label]
+            for p in range(1, PERIOD + 1):
+                if p == 1 and recent[-2:-1] == [label] or p > 1 and len(recent) >= 2 * p and recent[-p:] == recent[-2 * p : -p]:
+                    found = trail[-p]
+                    break
+            else:
+                found = len(self.labels)
+                self.labels.append(label)
+                self.parents.append(parent)
+                kids.append([])
+                trails.append([])
+                if parent >= 0:
+                    kids[parent].append(found)
+            trail.append(found)
+            del trail[: -2 * PERIOD]
+            return found
 
         def close(at: int, run: list) -> None:
             text = " ".join(html.unescape("".join(t for t, _ in run)).split())
@@ -242,40 +273,58 @@ def align(shape: str, reference: str) -> list[int]:
     """
     labels, _, kids = read_shape(shape)
     others, _, other_kids = read_shape(reference)
+    by_label = [_by_label(others, below) for below in other_kids]
     known: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def weigh(a: int, b: int) -> int:
-        if labels[a] != others[b]:
-            return 0
+    # From the leaves up, without recursion: a pair is weighed when all pairs of its children are.
+    todo = [(0, 0, False)] if labels[0] == others[0] else []
+    while todo:
+        a, b, ready = todo.pop()
         if (a, b) in known:
-            return known[a, b][0]
-        rows = [[0] * (len(other_kids[b]) + 1)]
-        for x in kids[a]:
-            row, above = [0], rows[-1]
-            for j, y in enumerate(other_kids[b]):
-                row.append(max(row[j], above[j + 1], above[j] + weigh(x, y)))
-            rows.append(row)
-        known[a, b] = rows[-1][-1] + 1, rows
-        return known[a, b][0]
+            continue
+        if not ready and kids[a] and other_kids[b]:
+            todo.append((a, b, True))
+            for x in kids[a]:
+                todo.extend((x, other_kids[b][j], False) for j in by_label[b].get(labels[x], ()) if kids[x] and other_kids[other_kids[b][j]])
+            continue
+        above, moves = np.zeros(len(other_kids[b]) + 1, np.int32), []
+        for x in kids[a] if other_kids[b] else ():
+            here = above[1:].copy()
+            where = by_label[b].get(labels[x])
+            if where is not None:
+                # A pair without children on one side is one pair of nodes.
+                weights = 1 if not kids[x] else np.array([known.get((x, other_kids[b][j]), (1,))[0] for j in where], np.int32)
+                here[where] = np.maximum(here[where], above[where] + weights)
+            row = np.append(np.int32(0), np.maximum.accumulate(here))
+            moves.append((np.packbits(row == above), np.packbits(row[1:] == row[:-1])))
+            above = row
+        known[a, b] = int(above[-1]) + 1, moves
 
     partner = [-1] * len(labels)
-    todo = [(0, 0)] if weigh(0, 0) else []
-    while todo:
-        a, b = todo.pop()
-        partner[a], rows = b, known[a, b][1]
-        i, j = len(kids[a]), len(other_kids[b])
+    pairs = [(0, 0)] if labels[0] == others[0] else []
+    while pairs:
+        a, b = pairs.pop()
+        partner[a], moves = b, known[a, b][1] if (a, b) in known else []
+        i, j = len(moves), len(other_kids[b])
         while i and j:
-            x, y = kids[a][i - 1], other_kids[b][j - 1]
-            if rows[i][j] == rows[i - 1][j]:
+            up, left = moves[i - 1]
+            if up[j >> 3] >> (7 - (j & 7)) & 1:
                 i -= 1
-            elif rows[i][j] == rows[i][j - 1]:
+            elif left[(j - 1) >> 3] >> (7 - ((j - 1) & 7)) & 1:
                 j -= 1
             else:
-                todo.append((x, y))
+                pairs.append((kids[a][i - 1], other_kids[b][j - 1]))
                 i, j = i - 1, j - 1
     return partner
 
 
+def _by_label(labels: list[str], nodes: list[int]) -> dict[str, np.ndarray]:
+    """The places of siblings by their label."""
+    places: dict[str, list[int]] = {}
+    for j, node in enumerate(nodes):
+        places.setdefault(labels[node], []).append(j)
+    return {label: np.array(p) for label, p in places.items()}
+
+
 def _names_around(name: str, among: set[str]) -> bool:
     """Whether a name, or its last word before words for parts, is one of ``among``."""
     words = [w for w in re.split("[-_]", name) if w]
@@ -290,6 +339,8 @@ def _names_around(name: str, among: set[str]) -> bool:
 def _surrounding(label: str, inside: bool) -> bool:
     """Whether an element is known to surround an article; ``inside``: it stands in an article or main element."""
     tag, *names = label.split(".")
+    if "-" in tag:
+        names.append(tag)  # an element of the page's own: its name tells what it is
     if tag in AROUND_TAGS or tag == "header" and not inside:
         return True
     if tag in NEVER_AROUND or any(w in WITHIN for name in names for w in re.split("[-_#]", name)):
@@ -345,13 +396,13 @@ def _flags(shape: str, amounts: dict[int, tuple[int, int]]) -> tuple[list[bool],
 def content_nodes(shape: str, amounts: dict[int, tuple[int, int]]) -> list[bool]:
     """Which nodes hold the article, from the characters and link characters of each.
 
-    Surroundings known by name are left out, and so are slots that are mostly links. Of the rest the article
-    elements are taken if they hold a third of the text; else the smallest element with four fifths of it.
+    Surroundings known by name are left out, and so are slots outside of article elements that are mostly links. Of the
+    rest the article elements are taken if they hold a third of the text; else the smallest element with four fifths of it.
     """
     labels, parents, kids = read_shape(shape)
     _, around, inside = _flags(shape, amounts)
     mass = [0] * len(labels)
-    open_ = [not around[i] and 2 * amounts.get(i, (0, 0))[1] <= amounts.get(i, (0, 0))[0] for i in range(len(labels))]
+    open_ = [not around[i] and (inside[i] or 2 * amounts.get(i, (0, 0))[1] <= amounts.get(i, (0, 0))[0]) for i in range(len(labels))]
     for i in range(len(labels) - 1, -1, -1):
         mass[i] += amounts.get(i, (0, 0))[0] if open_[i] else 0
         if parents[i] >= 0:
@@ -377,11 +428,23 @@ def _amounts(blocks: list[tuple[int, str, int]]) -> dict[int, tuple[int, int]]:
     return out
 
 
-def read_page(source: str, reference: str | None, wanted: list[int], template: set[int]) -> str:
-    """The main text of a page by the wrapper of its host: the reference, its content nodes and template blocks.
+def wrapper(reference: str, amounts: dict[int, tuple[int, int]], constant: set[int]) -> list[int]:
+    """The content nodes of a host's reference.
+
+    Constant slots are template and left out, but never those in an article or main element, nor if they hold most of the text.
+    """
+    take, (_, _, inside) = content_nodes(reference, amounts), _flags(reference, amounts)
+    wanted = [i for i, t in enumerate(take) if t]
+    varying = [i for i in wanted if inside[i] or i not in constant]
+    chars = lambda nodes: sum(amounts.get(i, (0, 0))[0] for i in nodes)
+    return varying if 2 * chars(varying) >= chars(wanted) else wanted
+
+
+def read_page(source: str, reference: str | None, wanted: list[int]) -> str:
+    """The main text of a page by the wrapper of its host: the reference and its content nodes.
 
     A node without a partner goes with the nearest one above it that has one. A page on which the
-    wrapper finds nothing is read by itself. Template blocks go unless they are most of the text.
+    wrapper finds nothing is read by itself.
     """
     page = Page(source)
     blocks, chosen = page.numbered(), None
@@ -394,10 +457,7 @@ def read_page(source: str, reference: str | None, wanted: list[int], template: s
     if not chosen:
         take = content_nodes(page.shape, _amounts(blocks))
         chosen = [b for b in blocks if take[b[0]]]
-    kept = [b for b in chosen if _digest(b[1]) not in template]
-    if 2 * sum(len(b[1]) for b in kept) < sum(len(b[1]) for b in chosen):
-        kept = chosen
-    return "\n".join(text for _, text, _ in kept)
+    return "\n".join(text for _, text, _ in chosen)
 
 
 def _digest(text: str) -> int:
@@ -409,9 +469,13 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
+SLOTS = "array<struct<node:int,chars:long,links:long>>"
+
+
 def _parsed(source: DataFrame) -> DataFrame:
-    """By page: host, shape, digests of its blocks, and (node, characters, link characters) of its slots."""
+    """By page: host, shape, (node, digest) of its blocks, and (node, characters, link characters) of its slots."""
     slot = pa.list_(pa.struct([("node", pa.int32()), ("chars", pa.int64()), ("links", pa.int64())]))
+    block = pa.list_(pa.struct([("node", pa.int32()), ("digest", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -420,46 +484,50 @@ def _parsed(source: DataFrame) -> DataFrame:
                 page = Page(text.as_py())
                 blocks = page.numbered()
                 shapes.append(page.shape)
-                digests.append(sorted({_digest(t) for _, t, _ in blocks}))
+                digests.append([{"node": n, "digest": d} for n, d in sorted({(n, _digest(t)) for n, t, _ in blocks})])
                 slots.append([{"node": n, "chars": c, "links": k} for n, (c, k) in _amounts(blocks).items()])
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(shapes, pa.string()), pa.array(digests, pa.list_(pa.int64())), pa.array(slots, slot)], ["host", "shape", "digests", "slots"])
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(shapes, pa.string()), pa.array(digests, block), pa.array(slots, slot)], ["host", "shape", "digests", "slots"])
 
-    return source.select("host", "html").mapInArrow(run, "host string, shape string, digests array<long>, slots array<struct<node:int,chars:long,links:long>>")
+    return source.select("host", "html").mapInArrow(run, f"host string, shape string, digests array<struct<node:int,digest:long>>, slots {SLOTS}")
 
 
 def wrappers(source: DataFrame) -> DataFrame:
-    """(host, html) to ``host``, ``reference``, ``wanted`` (its content nodes) and ``template`` (block digests)."""
+    """(host, html) to ``host``, ``reference`` and ``wanted`` (its content nodes)."""
     parsed = materialize(_parsed(source), "pages")
     shapes = parsed.groupBy("host", "shape").agg(F.count("*").alias("pages"))
     hosts = shapes.groupBy("host").agg(F.min_by("shape", F.struct(-F.col("pages"), F.col("shape"))).alias("reference"), F.sum("pages").alias("all"))
     hosts = materialize(hosts, "hosts")
-    counts = parsed.select("host", F.explode("digests").alias("digest")).groupBy("host", "digest").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
-    common = counts.join(hosts, "host").where(F.col("n") >= F.col("all") * TEMPLATE_SHARE).groupBy("host").agg(F.collect_list("digest").alias("template"))
+    each = parsed.select("host", F.explode(F.array_distinct(F.transform("digests", lambda d: d["digest"]))).alias("digest"))
+    counts = each.groupBy("host", "digest").agg(F.count("*").alias("n"))
+    common = counts.join(hosts, "host").where((F.col("n") >= LEAST_PAGES) & (F.col("n") >= F.col("all") * TEMPLATE_SHARE)).select("host", "digest", F.lit(True).alias("common"))
+    # Which slots of a shape hold other blocks than common ones.
+    held = parsed.select("host", "shape", F.explode("digests").alias("b")).groupBy("host", "shape", "b.node", "b.digest").agg(F.lit(1).alias("one"))
+    varying = held.join(materialize(common, "common"), ["host", "digest"], "left").groupBy("host", "shape", "node").agg(F.max(F.col("common").isNull()).alias("varies"))
     slots = parsed.select("host", "shape", F.explode("slots").alias("s")).groupBy("host", "shape", "s.node").agg(F.sum("s.chars").alias("chars"), F.sum("s.links").alias("links"))
-    slots = slots.groupBy("host", "shape").agg(F.collect_list(F.struct("node", "chars", "links")).alias("slots")).join(hosts, "host")
+    slots = slots.join(varying, ["host", "shape", "node"]).groupBy("host", "shape").agg(F.collect_list(F.struct("node", "chars", "links", "varies")).alias("slots")).join(hosts, "host")
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for host, shape, reference, held in zip(*(batch.column(c).to_pylist() for c in ("host", "shape", "reference", "slots"))):
                 partner = align(shape, reference)
-                rows += [(host, partner[s["node"]], s["chars"], s["links"]) for s in held if partner[s["node"]] >= 0]
-            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["host", "node", "chars", "links"])
+                rows += [(host, partner[s["node"]], s["chars"], s["links"], s["varies"]) for s in held if partner[s["node"]] >= 0]
+            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["host", "node", "chars", "links", "varies"])
 
-    met = slots.select("host", "shape", "reference", "slots").mapInArrow(aligned, "host string, node int, chars long, links long")
-    sums = met.groupBy("host", "node").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"))
-    gathered = hosts.join(sums.groupBy("host").agg(F.collect_list(F.struct("node", "chars", "links")).alias("slots")), "host", "left").join(common, "host", "left")
+    met = slots.select("host", "shape", "reference", "slots").mapInArrow(aligned, "host string, node int, chars long, links long, varies boolean")
+    sums = met.groupBy("host", "node").agg(F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.max("varies").alias("varies"))
+    gathered = hosts.join(sums.groupBy("host").agg(F.collect_list(F.struct("node", "chars", "links", "varies")).alias("slots")), "host", "left")
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = []
             for reference, held in zip(batch.column("reference").to_pylist(), batch.column("slots").to_pylist()):
-                take = content_nodes(reference, {s["node"]: (s["chars"], s["links"]) for s in held or ()})
-                wanted.append([i for i, t in enumerate(take) if t])
-            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("reference"), pa.array(wanted, pa.list_(pa.int32())), batch.column("template")], ["host", "reference", "wanted", "template"])
+                amounts = {s["node"]: (s["chars"], s["links"]) for s in held or ()}
+                wanted.append(wrapper(reference, amounts, {s["node"] for s in held or () if not s["varies"]}))
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("reference"), pa.array(wanted, pa.list_(pa.int32()))], ["host", "reference", "wanted"])
 
-    return materialize(gathered.select("host", "reference", "slots", "template").mapInArrow(decide, "host string, reference string, wanted array<int>, template array<long>"), "wrappers")
+    return materialize(gathered.select("host", "reference", "slots").mapInArrow(decide, "host string, reference string, wanted array<int>"), "wrappers")
 
 
 def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
@@ -474,9 +542,9 @@ def main_text(pages: DataFrame, key: str = "page_id", url: str = "url", source:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                read_page(h.as_py(), r.as_py(), w.as_py() or [], set(t.as_py() or ()))
-                for h, r, w, t in zip(*(batch.column(c) for c in ("html", "reference", "wanted", "template")))
+                read_page(h.as_py(), r.as_py(), w.as_py() or [])
+                for h, r, w in zip(*(batch.column(c) for c in ("html", "reference", "wanted")))
             ]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("url"), pa.array(texts, pa.string())], [key, "url", "text"])
 
-    return read.select("key", "url", "html", "reference", "wanted", "template").mapInArrow(run, f"`{key}` {page.schema['key'].dataType.simpleString()}, url string, text string")
+    return read.select("key", "url", "html", "reference", "wanted").mapInArrow(run, f"`{key}` {page.schema['key'].dataType.simpleString()}, url string, text string")

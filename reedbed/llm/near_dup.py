@@ -157,7 +157,11 @@ def _alike(one: str, two: str, percent: int) -> Column:
 
 
 def _sets(nodes: DataFrame, every: DataFrame) -> DataFrame:
-    """(node, set): the full sets of these nodes, packed. Rows of equal sets are dropped before the shuffle."""
+    """(node, set): the full sets of these nodes, packed. Rows of equal sets are dropped before the shuffle.
+
+    The nodes are written first: where they are few, they are broadcast, and other rows' sets do not shuffle.
+    """
+    nodes = materialize(nodes, "wanted")
     return materialize(every.select("node", "set").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
 
 

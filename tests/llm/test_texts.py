@@ -321,7 +321,7 @@ WHOLE = {
 @pytest.mark.parametrize("name", WHOLE)
 def test_page_is_not_lost_by_the_name_of_its_frame(name):
     body = "<h1>One</h1><p>A long enough story about one thing</p><h2 id='related-work'>Work</h2><p>more of it</p><section id='social-impact'><h3 id='search'>Search</h3><p>and the end</p></section>"
-    assert extract.read_page(WHOLE[name].format(body), None, [], set()).split("\n") == ["One", "A long enough story about one thing", "Work", "more of it", "Search", "and the end"]
+    assert extract.read_page(WHOLE[name].format(body), None, []).split("\n") == ["One", "A long enough story about one thing", "Work", "more of it", "Search", "and the end"]
 
 
 RAW_PARTS = {
@@ -334,13 +334,13 @@ RAW_PARTS = {
 @pytest.mark.parametrize("part", RAW_PARTS)
 def test_nothing_behind_an_unread_element_is_lost(part):
     text = " ".join(f"one {RAW_PARTS[part]} two".split())
-    assert extract.read_page(f"<article><p>one {part} two</p><p>three</p><video src=b></video><p>four</p></article>", None, [], set()) == f"{text}\nthree\nfour"
+    assert extract.read_page(f"<article><p>one {part} two</p><p>three</p><video src=b></video><p>four</p></article>", None, []) == f"{text}\nthree\nfour"
 
 
 def test_surroundings_stay_out():
     around = "<div class='comment-list'><article class=comment><p>{}</p></article></div><div class=newsletter-form><p>Sign up</p></div>".format("a long comment " * 40)
-    assert extract.read_page(f"<body><div class=ad>Buy</div><article><h1>One</h1></article>{around}</body>", None, [], set()) == "One"
-    assert extract.read_page(f"<body class=no-sidebar><h1>One</h1><p>short story</p>{around}</body>".replace("article", "div"), None, [], set()) == "One\nshort story"
+    assert extract.read_page(f"<body><div class=ad>Buy</div><article><h1>One</h1></article>{around}</body>", None, []) == "One"
+    assert extract.read_page(f"<body class=no-sidebar><h1>One</h1><p>short story</p>{around}</body>".replace("article", "div"), None, []) == "One\nshort story"
 
 
 def test_tree_matching_is_largest():
@@ -350,6 +350,72 @@ def test_tree_matching_is_largest():
     assert extract.align(a, a) == list(range(6))
 
 
+def test_equal_headings_and_link_lists_of_an_article_stay(spark):
+    body = "<html><body><nav class=menu><a href=/>Home</a></nav>{}<div class=legal>All rights are with the owner of this</div></body></html>"
+    inner = "<h1>Title {0}</h1><h2>Summary</h2><p>Text {0} of its own, long enough to matter {0}</p><p>Shared words of all pages</p><h2>Sources</h2><ul><li><a href=a>One source {0}</a><li><a href=b>Two</a></ul>"
+    for wrap in ("<article>{}</article>", "<main>{}</main>"):
+        rows = [(i, "http://h.example/x", body.format(wrap.format(inner.format(i)))) for i in range(4)]
+        got = {r.page_id: r.text.split("\n") for r in extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+        for i in range(4):
+            assert got[i] == [f"Title {i}", "Summary", f"Text {i} of its own, long enough to matter {i}", "Shared words of all pages", "Sources", f"One source {i}", "Two"]
+
+
+@pytest.mark.parametrize("depth", [1200, 100_000])
+def test_deep_pages_end(depth):
+    page = "<article><p>Top</p>" + "<div>" * depth + "deep words" + "</div>" * depth + "</article>"
+    shape = extract.Page(page).shape
+    assert extract.align(shape, shape) == list(range(depth + 3))
+    assert extract.read_page(page, shape, list(range(depth + 3))) == "Top\ndeep words"
+
+
+def test_long_lists_of_siblings_fold():
+    page = "<article><dl>" + "".join(f"<dt>t{i}<dd>d{i}" for i in range(50_000)) + "</dl></article>"
+    assert len(extract.Page(page).labels) <= 7
+    assert extract.read_page(page, None, []).split("\n")[-2:] == ["t49999", "d49999"]
+    rng = random.Random(1)
+    mixed = ["<article>" + "".join(f"<{t}>x</{t}>" for t in rng.choices(["p", "h2", "pre", "hr", "table", "h3"], k=3000)) + "</article>" for _ in range(2)]
+    one, two = (extract.Page(m).shape for m in mixed)
+    assert sum(x >= 0 for x in extract.align(one, two)) > 1000
+
+
+def test_elements_that_make_no_block():
+    for part in ("<x-tip>tip</x-tip>", "<ruby>tip<rt></rt></ruby>", "<picture><source><img></picture>tip", "<nobr>tip</nobr>", "<acronym>tip</acronym>", "<input>tip"):
+        assert extract.read_page(f"<article><p>one {part} two</p><p>three</p></article>", None, []) == "one tip two\nthree"
+    assert extract.read_page("<article><p>one</p><amp-ad><p>buy</p></amp-ad><x-box class=newsletter><p>join</p></x-box><p>two</p></article>", None, []) == "one\ntwo"
+
+
+def brute_matching(a, b):
+    """The most partners of two trees (label, children), by trying all ways to pair the children in order."""
+    if a[0] != b[0]:
+        return 0
+
+    def best(x, y):
+        if not x or not y:
+            return 0
+        return max(best(x[1:], y), best(x, y[1:]), brute_matching(x[0], y[0]) + best(x[1:], y[1:]))
+
+    return 1 + best(a[1], b[1])
+
+
+def test_alignment_is_the_largest_matching():
+    rng = random.Random(7)
+
+    def tree(depth):
+        return rng.choice("ab"), [tree(depth - 1) for _ in range(rng.randint(0, 3) if depth else 0)]
+
+    def shape(t, depth=0):
+        return " ".join([f"{depth}:{t[0]}", *(shape(c, depth + 1) for c in t[1])])
+
+    for _ in range(200):
+        one, two = ("r", [tree(2) for _ in range(3)]), ("r", [tree(2) for _ in range(3)])
+        partner = extract.align(shape(one), shape(two))
+        assert sum(x >= 0 for x in partner) == brute_matching(one, two)
+        labels, parents, _ = extract.read_shape(shape(one))
+        others, other_parents, _ = extract.read_shape(shape(two))
+        for i, x in enumerate(partner):
+            assert x < 0 or labels[i] == others[x] and (i == 0 or partner[parents[i]] == other_parents[x])
+
+
 def brute_components(values):
     sets = {i: near_dup.shingles(t or "") for i, t in values.items()}
     parent = {i: i for i in values}

@@ -1,7 +1,7 @@
 """Secrets in texts, also below layers of encoding.
 
 Each text is a worklist of layers. A layer is scanned, its percent, Unicode and HTML escapes are
-undone, its base64 and hex runs are decoded and unpacked where they hold anything readable, and
+undone, its base64, hex and escaped bytes are decoded and unpacked where they hold anything readable, and
 what comes out goes on the list, until nothing new comes out. Every character of a layer
 knows the span of the text it came from, so all findings are spans of the text itself.
 """
@@ -15,9 +15,10 @@ import html
 import itertools
 import lzma
 import re
+import urllib.parse
 import zlib
 from array import array
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,8 +54,13 @@ STRETCHES = [
     (re.compile(rb"(?:[\t\n\r\x20-\x7e]\0){12,}"), 0, 2),
     (re.compile(rb"(?:\0[\t\n\r\x20-\x7e]){12,}"), 1, 2),
 ]
+#: Bytes of a URL, those that need no escape as they are; and bytes in a text that was made of escapes.
+URL_BYTES = re.compile(r"(?<![A-Za-z0-9_.~!*'()+-])[A-Za-z0-9_.~!*'()+-]*+(?:%[0-9A-Fa-f]{2}[A-Za-z0-9_.~!*'()+-]*+){2,}+")
+RAW_BYTES, BYTES = re.compile(r"\x1f\x8b\x08|x[\x01\x9c\xda]|BZh[1-9]1AY|\xfd7zXZ\0|PK\x03\x04"), re.compile(r"[\0-\xff]*+")
 #: Where a compressed blob may begin.
-PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\0")
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\0|PK\x03\x04")
+#: Characters of a run for so many of its bytes.
+BASE64_RATE, HEX_RATE, BYTE_RATE = (4, 3), (2, 1), (1, 1)
 #: Blobs are unpacked and scanned in blocks of about so many bytes, cut behind what no encoded run holds. Each repeats so much of the one before.
 BLOCK, OVERLAP = 4 << 20, 4096
 CUT = re.compile(rb"\0\0|[^A-Za-z0-9+/_=%\\&#;\s>{}\0-]")
@@ -68,69 +74,121 @@ def scan(text: str) -> list[tuple[str, int, int]]:
 
 
 def _unpacker(data: bytes):
-    """What undoes the compression of data that begins like this; None if it is of no known format."""
+    """What undoes the compression of data that begins like this, and where the compressed part begins; None if it is of no known format."""
     if data[:2] == b"\x1f\x8b":
-        return zlib.decompressobj(31)
+        return zlib.decompressobj(31), 0
     if data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2], "big") % 31 == 0:
-        return zlib.decompressobj()
+        return zlib.decompressobj(), 0
     if data[:3] == b"BZh":
-        return bz2.BZ2Decompressor()
-    return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\0" else None
-
-
-def _members(blocks: Iterator[bytes], done: list[int]) -> Iterator[bytes]:
-    """What one compressed blob after the other holds, block by block, as far as it can be read. ``done`` gets the length of the whole ones."""
-    unpacker, rest, fed, more = None, b"", 0, True
-    while more or rest:
-        block = next(blocks, None) if more else None
-        more = block is not None
-        rest, fed = rest + (block or b""), fed + len(block or b"")
-        if unpacker is None:
-            rest = rest.lstrip(b"\0")  # archives are padded with them
-            if more and len(rest) < 6:
-                continue
-            unpacker = _unpacker(rest)
-            if unpacker is None:
+        return bz2.BZ2Decompressor(), 0
+    if data[:6] == b"\xfd7zXZ\0":
+        return lzma.LZMADecompressor(), 0
+    if data[:4] == b"PK\x03\x04" and data[8:10] == b"\x08\0":
+        return zlib.decompressobj(-15), 30 + int.from_bytes(data[26:28], "little") + int.from_bytes(data[28:30], "little")
+    return None
+
+
+class _Unpacking:
+    """Undoes compressed blobs, one behind the other, as their bytes come. ``done`` is the length of the whole ones."""
+
+    def __init__(self, unpacker=None):
+        self.unpacker, self.rest, self.fed, self.done, self.zip, self.over = unpacker, b"", 0, 0, False, False
+
+    def push(self, block: bytes, more: bool = True) -> Iterator[bytes]:
+        """What comes out, block by block, as far as it can be read. The next block is pushed when this one is read off."""
+        self.rest, self.fed = self.rest + block, self.fed + len(block)
+        while self.rest and not self.over:
+            if self.unpacker is None and not self._open(more):
                 return
-        try:
-            while not unpacker.eof:
-                out = unpacker.decompress(rest, BLOCK)
-                rest = getattr(unpacker, "unconsumed_tail", b"")
-                if out:
-                    yield out
-                elif not rest:
-                    break
-        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            try:
+                while not self.unpacker.eof:
+                    out = self.unpacker.decompress(self.rest, BLOCK)
+                    self.rest = getattr(self.unpacker, "unconsumed_tail", b"")
+                    if out:
+                        yield out
+                    elif not self.rest:
+                        break
+            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+                self.over = True
+                return
+            if self.unpacker.eof:
+                self.rest, self.unpacker = self.unpacker.unused_data, None
+                self.done = self.fed - len(self.rest)
+
+    def _open(self, more: bool) -> bool:
+        """Begins the next blob; false if there is none, or none yet."""
+        if self.zip:  # other records of the archive stand between its members
+            at = self.rest.find(b"PK\x03\x04")
+            self.rest = self.rest[at:] if at >= 0 else self.rest[-3:]
+            if at < 0:
+                return False
+        self.rest = self.rest.lstrip(b"\0")  # archives are padded with them
+        if more and len(self.rest) < 30:
+            return False
+        opened = _unpacker(self.rest)
+        if opened is None:
+            self.over = not self.zip
+            self.rest = self.rest[4:]
+            return self.zip and self._open(more)
+        if len(self.rest) < opened[1]:
+            return False
+        self.unpacker, self.zip = opened[0], opened[1] > 0
+        self.rest = self.rest[opened[1] :]
+        return True
+
+
+class _Pieces:
+    """Blocks anew, cut only where no encoded run can pass; each begins with the end of the one before."""
+
+    def __init__(self) -> None:
+        self.held, self.given = b"", 0  # so much of what is held was given already
+
+    def push(self, block: bytes) -> Iterator[bytes]:
+        begin = max(self.given, len(self.held) - 1)
+        self.held += block
+        if len(self.held) - self.given < BLOCK:
             return
-        if unpacker.eof:
-            rest, unpacker = unpacker.unused_data, None
-            done[0] = fed - len(rest)
+        near = max(begin, len(self.held) - 4096)
+        cut = max((m.end() for m in CUT.finditer(self.held, near)), default=0) or max((m.end() for m in CUT.finditer(self.held, begin)), default=0)
+        if cut > self.given:
+            yield self.held[:cut]
+            keep = max(0, cut - OVERLAP)
+            self.held, self.given = self.held[keep:], cut - keep
 
+    def last(self) -> Iterator[bytes]:
+        if len(self.held) > self.given:
+            yield self.held
 
-def _contents(make: Callable[[], Iterator[bytes]], above: tuple[bytes, ...] = ()) -> Iterator[bytes]:
-    """The blocks that ``make`` reads and those of all compressed layers below; an archive that holds itself ends."""
-    first = next(make(), b"")[:4096]
-    yield from _pieces(make())
-    if _unpacker(first) is not None and first not in above:
-        yield from _contents(lambda: _members(make(), [0]), (*above, first))
 
+def _contents(data: bytes, at: int, outer: _Unpacking) -> Iterator[bytes]:
+    """The pieces of what a compressed blob holds, and of all compressed layers in it; an archive that holds itself ends.
 
-def _pieces(blocks: Iterator[bytes]) -> Iterator[bytes]:
-    """Blocks anew, cut only where no encoded run can pass; each begins with the end of the one before."""
-    held, given = b"", 0  # so much of what is held was given already
-    for block in blocks:
-        begin = max(given, len(held) - 1)
-        held += block
-        if len(held) - given < BLOCK:
+    Every layer's blocks go on to the next layer as they come, by a worklist, so each is unpacked once however deep it lies.
+    """
+    chain, pieces, heads = [outer], [], {data[at : at + 4096]}
+    todo = [(0, outer.push(data[i : i + BLOCK], i + BLOCK < len(data))) for i in range(at, len(data), BLOCK)][::-1]
+    flushed = 0
+    while todo or flushed < len(pieces):
+        if not todo:
+            # Nothing more comes into this layer: its end goes on.
+            yield from pieces[flushed].last()
+            flushed += 1
+            if chain[flushed] is not None:
+                todo.append((flushed, chain[flushed].push(b"", False)))
             continue
-        near = max(begin, len(held) - 4096)
-        cut = max((m.end() for m in CUT.finditer(held, near)), default=0) or max((m.end() for m in CUT.finditer(held, begin)), default=0)
-        if cut > given:
-            yield held[:cut]
-            keep = max(0, cut - OVERLAP)
-            held, given = held[keep:], cut - keep
-    if len(held) > given:
-        yield held
+        level, blocks = todo[-1]
+        block = next(blocks, None)
+        if block is None:
+            todo.pop()
+            continue
+        if level == len(pieces):
+            head = block[:4096]
+            pieces.append(_Pieces())
+            chain.append(_Unpacking() if _unpacker(head) is not None and head not in heads else None)
+            heads.add(head)
+        yield from pieces[level].push(block)
+        if chain[level + 1] is not None:
+            todo.append((level + 1, chain[level + 1].push(block)))
 
 
 def _texts(data: bytes) -> Iterator[tuple[str, list[tuple[int, int]], int]]:
@@ -192,11 +250,11 @@ class _Layer:
         plain(at, len(self.text))
         return _Layer("".join(out), whole=self.whole) if self.whole else _Layer("".join(out), starts, ends)
 
-    def blobs(self, data: bytes, places: Sequence[int], end: int, aligned: bool) -> Iterator[_Layer]:
-        """The layers that a decoded run may hold. ``places`` has the place of each of its characters. Uncompressed
-        base64 (``aligned``) maps by groups of characters, all else to the run."""
+    def blobs(self, data: bytes, places: Sequence[int], end: int, rate: tuple[int, int]) -> Iterator[_Layer]:
+        """The layers that a decoded run may hold. ``places`` has the place of each of its characters, ``rate`` of which
+        make a byte. Uncompressed base64 maps by groups of characters, all else to the run."""
         for text, stretches, size in _texts(data):
-            if self.whole or not aligned:
+            if self.whole or rate != BASE64_RATE:
                 yield _Layer(text, whole=self.span(places[0], end))
                 continue
             starts, ends, last = [], [], len(places) - 1
@@ -210,15 +268,19 @@ class _Layer:
             yield _Layer(text, starts[:-1], ends[:-1])
         behind = 0
         for m in PACKED.finditer(data):
-            at, done = m.start(), [0]
-            if at < behind:
-                continue
-            make = lambda: _members(itertools.chain([data[at : at + 4096]], (data[i : i + BLOCK] for i in range(at + 4096, len(data), BLOCK))), done)  # noqa: B023, E731
-            span = self.span(places[at * 4 // 3 if aligned else 2 * at], end)
-            for piece in _contents(make, (data[at : at + 4096],)):
-                for text, _, _ in _texts(piece):
-                    yield _Layer(text, whole=span)
-            behind = at + done[0]
+            if m.start() >= behind:
+                outer = _Unpacking()
+                yield from self._unpacked(data, m.start(), outer, self.span(places[m.start() * rate[0] // rate[1]], end))
+                behind = m.start() + outer.done
+        if not behind:
+            # Deflated data without a header tell nothing of themselves; what makes no sense ends at once.
+            yield from self._unpacked(data, 0, _Unpacking(zlib.decompressobj(-15)), self.span(places[0], end))
+
+    @staticmethod
+    def _unpacked(data: bytes, at: int, outer: _Unpacking, span: tuple[int, int]) -> Iterator[_Layer]:
+        for piece in _contents(data, at, outer):
+            for text, _, _ in _texts(piece):
+                yield _Layer(text, whole=span)
 
 
 def _percent(run: str) -> list[tuple[str, int, int]] | None:
@@ -275,11 +337,24 @@ def _below(layer: _Layer) -> Iterator[_Layer]:
     # A run may begin behind characters that are glued to it, so it is read from each place in a group.
     for run, places, end in _runs(layer.text, BASE64, BASE64_LINES):
         for skip in range(4):
-            yield from layer.blobs(_from_base64(run[skip:]), places[skip:], end, True)
+            yield from layer.blobs(_from_base64(run[skip:]), places[skip:], end, BASE64_RATE)
     for run, places, _ in _runs(layer.text, HEX_BYTES, HEX_LINES):
         for skip in range(2):
             size = (len(run) - skip) // 2 * 2
-            yield from layer.blobs(bytes.fromhex(run[skip : skip + size]), places[skip:], places[skip + size - 1] + 1, False)
+            yield from layer.blobs(bytes.fromhex(run[skip : skip + size]), places[skip:], places[skip + size - 1] + 1, HEX_RATE)
+    if "%" in layer.text:
+        for m in URL_BYTES.finditer(layer.text):
+            data, places, at = urllib.parse.unquote_to_bytes(m.group()), array("l"), m.start()
+            while at < m.end():
+                places.append(at)
+                at += 3 if layer.text[at] == "%" else 1
+            if PACKED.search(data):
+                yield from layer.blobs(data, places, m.end(), BYTE_RATE)
+    behind = 0
+    for m in RAW_BYTES.finditer(layer.text):
+        if m.start() >= behind:
+            behind = BYTES.match(layer.text, m.start()).end()
+            yield from layer.blobs(layer.text[m.start() : behind].encode("latin-1"), range(m.start(), behind), behind, BYTE_RATE)
 
 
 def layers(text: str) -> Iterator[_Layer]:

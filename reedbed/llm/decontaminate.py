@@ -16,6 +16,8 @@ from collections.abc import Iterator
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from reedbed.llm.common import column, keyed_text, materialize, text_batches
 
@@ -140,8 +142,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     """
     spark = docs.sparkSession
     source = keyed_text(docs, key, text)
-    item_type = benchmark.select(column(item)).schema[0].dataType.simpleString()
-    schema = f"`{key}` {source.schema['key'].dataType.simpleString()}, `{item}` {item_type}, edits int"
+    schema = StructType([StructField(key, source.schema["key"].dataType), StructField(item, benchmark.select(column(item)).schema[0].dataType), StructField("edits", IntegerType())])
     out = None
     for items in _passes(benchmark, item, item_text):
         shared = spark.sparkContext.broadcast(items)
@@ -153,8 +154,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     return spark.createDataFrame([], schema) if out is None else out
 
 
-def _search(shared, rate: float, key: str, item: str, schema: str):
-    item_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[schema.split(", ")[1].split()[1]]
+def _search(shared, rate: float, key: str, item: str, schema: StructType):
+    item_arrow = to_arrow_type(schema[1].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = None

@@ -3,7 +3,8 @@
 Texts are encoded and cut into sequences of one length, the last of a text filled up. The sequences are
 numbered, and a keyed Feistel network, walked until it stays within their number, permutes the numbers: it
 gives every sequence its slot in training order without a sort. A slot's file and place are plain arithmetic, as
-all records have one size, so a reader starts anywhere and reads on.
+all records have one size, so a reader starts anywhere and reads on. Sequences are dealt out by ranges of slots, and
+each task writes the files of its range one after the other.
 """
 
 from __future__ import annotations
@@ -20,12 +21,13 @@ import pyarrow.fs
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from reedbed.llm.bpe import KNOWN_PATTERN, Bpe, read_ranks
-from reedbed.llm.common import keyed_text, materialize, text_batches
+from reedbed.llm.common import keyed_text, scratch_dir, text_batches
 
-#: Tokens of a record, and records of a file (16 MB).
-LENGTH, RECORDS = 256, 32_640
+#: Tokens of a record, records of a file (16 MB), and files of a task where there are very many.
+LENGTH, RECORDS, FILES = 256, 32_640, 16
 ROUNDS = 6
 _PRIME = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -77,53 +79,55 @@ def slots(numbers: np.ndarray, total: int, key: str) -> np.ndarray:
     return value.astype(np.int64)
 
 
-def stride(length: int) -> int:
-    """Bytes of a record: the number of tokens that count, then the ids, unsigned 16-bit little-endian."""
-    return 2 * (length + 1)
+def id_width(vocabulary: int) -> int:
+    """Bytes of an id: two, or four for vocabularies that need them."""
+    return 2 if vocabulary <= 1 << 16 else 4
 
 
-def place(slot: int, records: int, length: int) -> tuple[int, int]:
+def stride(length: int, width: int = 2) -> int:
+    """Bytes of a record: the number of tokens that count, then the ids, all unsigned little-endian of one width."""
+    return width * (length + 1)
+
+
+def place(slot: int, records: int, length: int, width: int = 2) -> tuple[int, int]:
     """File number and byte offset of a slot."""
-    return slot // records, slot % records * stride(length)
+    return slot // records, slot % records * stride(length, width)
 
 
 def shard_name(number: int) -> str:
     return f"shard-{number:06d}.bin"
 
 
-def read_records(folder: str, first: int, count: int, total: int, records: int = RECORDS, length: int = LENGTH) -> Iterator[np.ndarray]:
+def read_records(folder: str, first: int, count: int, total: int, records: int = RECORDS, length: int = LENGTH, width: int = 2) -> Iterator[np.ndarray]:
     """The token ids of ``count`` slots from ``first`` on, in training order; a reader resumes by its slot alone."""
     files, root = pa.fs.FileSystem.from_uri(folder)
-    slot, end, size = first, min(first + count, total), stride(length)
+    slot, end, size = first, min(first + count, total), stride(length, width)
     while slot < end:
-        number, offset = place(slot, records, length)
+        number, offset = place(slot, records, length, width)
         many = min(end - slot, records - slot % records)
         with files.open_input_file(f"{root}/{shard_name(number)}") as file:
-            data = np.frombuffer(file.read_at(many * size, offset), "<u2").reshape(many, length + 1)
+            data = np.frombuffer(file.read_at(many * size, offset), f"<u{width}").reshape(many, length + 1)
         for row in data:
             yield row[1 : 1 + row[0]]
         slot += many
 
 
-def _sequences(source: DataFrame, ranks_path: str, length: int) -> DataFrame:
-    """(key, text) to (task, number in the task, key, part, ids); ids are packed 16-bit. An empty text has none."""
-    kind = source.schema["key"].dataType.simpleString()
+def _sequences(source: DataFrame, ranks_path: str, length: int, width: int) -> DataFrame:
+    """(key, text) to (key, part, ids); ids are packed. An empty text has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(ranks_path)
-        if len(bpe.ranks) > 1 << 16:
-            raise ValueError("ids of more than 16 bits")
         for keys, texts in text_batches(batches):
             at, parts, ids = [], [], []
             for i, text in enumerate(texts):
-                packed = np.frombuffer(bpe.encode(text), "<u4").astype("<u2").tobytes()
-                for part, begin in enumerate(range(0, len(packed), 2 * length)):
+                packed = np.frombuffer(bpe.encode(text), "<u4").astype(f"<u{width}").tobytes()
+                for part, begin in enumerate(range(0, len(packed), width * length)):
                     at.append(i)
                     parts.append(part)
-                    ids.append(packed[begin : begin + 2 * length])
+                    ids.append(packed[begin : begin + width * length])
             yield pa.RecordBatch.from_arrays([keys.take(pa.array(at, pa.int64())), pa.array(parts, pa.int64()), pa.array(ids, pa.binary())], ["key", "part", "ids"])
 
-    return source.mapInArrow(run, f"key {kind}, part long, ids binary")
+    return source.mapInArrow(run, StructType([source.schema["key"], StructField("part", LongType()), StructField("ids", BinaryType())]))
 
 
 def _numbered(parts: DataFrame) -> DataFrame:
@@ -132,7 +136,7 @@ def _numbered(parts: DataFrame) -> DataFrame:
     return parts.withColumn("_row", row).select("key", "part", "ids", F.shiftright("_row", 33).alias("task"), F.col("_row").bitwiseAND((1 << 33) - 1).alias("within"))
 
 
-RESULT = "part long, slot long, shard long, byte_offset long, n_tokens int, ids_crc32 long"
+RESULT = [("part", LongType()), ("slot", LongType()), ("shard", LongType()), ("byte_offset", LongType()), ("n_tokens", IntegerType()), ("ids_crc32", LongType())]
 
 
 def write_shards(docs: DataFrame, ranks_path: str, folder: str, seed: str = "0", key: str = "doc_id", text: str = "text", records: int = RECORDS, length: int = LENGTH) -> DataFrame:
@@ -140,54 +144,41 @@ def write_shards(docs: DataFrame, ranks_path: str, folder: str, seed: str = "0",
 
     The rows hold ``key``, the ``part`` of the text, its ``slot``, ``shard``, ``byte_offset``, ``n_tokens``
     (without filling, which is zeros) and the checksum of its ids. Null and empty texts have no sequences. Repeated
-    rows are sequences of their own. No sequences: no files and no rows. Other columns are not carried.
+    rows are sequences of their own. No sequences: no files and no rows. Other columns are not carried. The
+    order is that of the seed and of the rows as they are read.
 
-    The sequences are written once, so that a lost executor changes no number. Then each task packs what it
-    has for a file into one compressed blob; a file is put together by one task, under another name, and
+    The sequences are written once, so that a lost executor changes no number. Then they are dealt out by ranges of
+    slots, which are even by construction, and sorted. A file is put together by one task, under another name, and
     renamed at the end: a file that is there is whole. A task that is run again skips a file of the same content.
     """
     spark = docs.sparkSession
+    width = id_width(len(read_ranks(ranks_path)))
     source = keyed_text(docs, key, text)
-    kind = source.schema["key"].dataType.simpleString()
-    held = materialize(_numbered(_sequences(source, ranks_path, length)), "sequences")
+    path = scratch_dir(spark, "sequences")
+    numbered = _numbered(_sequences(source, ranks_path, length, width))
+    numbered.write.option("compression", "zstd").parquet(path)
+    held = spark.read.schema(numbered.schema).parquet(path)
     # One row for each task that made sequences: their offsets are sums over few rows.
     tasks = [(r.task, r.n) for r in held.groupBy("task").agg(F.count("*").alias("n")).orderBy("task").collect()]
     offsets, total = {}, 0
     for task, n in tasks:
         offsets[task], total = total, total + n
     shards = -(-total // records)
-    schema = f"`{key}` {kind}, {RESULT}"
+    schema = StructType([StructField(key, source.schema["key"].dataType), *(StructField(*f) for f in RESULT)])
     if not total:
         return spark.createDataFrame([], schema)
-    key_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = pa.Codec("zstd")
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
             first = np.array([offsets[t] for t in batch.column("task").to_pylist()], np.int64)
             slot = slots(first + batch.column("within").to_numpy(), total, seed)
-            order = np.argsort(slot, kind="stable")
-            table = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "part", "ids")), pa.array(slot)], ["key", "part", "ids", "slot"]).take(pa.array(order))
-            file = slot[order] // records
-            cuts = [0, *(np.flatnonzero(np.diff(file)) + 1).tolist(), len(file)]
-            numbers, blobs, sizes = [], [], []
-            for a, b in zip(cuts, cuts[1:]):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, table.schema) as stream:
-                    stream.write_batch(table.slice(a, b - a))
-                data = sink.getvalue()
-                numbers.append(int(file[a]))
-                sizes.append(data.size)
-                blobs.append(codec.compress(data, asbytes=True))
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())], ["shard", "size", "blob"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "part", "ids")), pa.array(slot)], ["key", "part", "ids", "slot"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by file."""
+        """Rows come sorted by slot."""
         files, root = pa.fs.FileSystem.from_uri(folder)
         files.create_dir(root)
-        codec, now, data, rows = pa.Codec("zstd"), None, None, []
+        now, data, rows = None, None, []
 
         def finish() -> pa.RecordBatch:
             final, made = f"{root}/{shard_name(now)}", f"{root}/_{shard_name(now)}-{uuid.uuid4().hex}"
@@ -199,26 +190,30 @@ def write_shards(docs: DataFrame, ranks_path: str, folder: str, seed: str = "0",
             slot = table.column("slot").to_numpy()
             at = slot - now * records
             checks = [zlib.crc32(data[i, 1 : 1 + data[i, 0]].tobytes()) for i in at]
-            arrays = [table.column("key").combine_chunks(), table.column("part").combine_chunks(), pa.array(slot), pa.array(np.full(len(slot), now, np.int64)), pa.array(at * stride(length)), pa.array(data[at, 0].astype(np.int32)), pa.array(checks, pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, [key, *(x.split()[0] for x in RESULT.split(", "))])
+            arrays = [table.column("key").combine_chunks(), table.column("part").combine_chunks(), pa.array(slot), pa.array(np.full(len(slot), now, np.int64)), pa.array(at * stride(length, width)), pa.array(data[at, 0].astype(np.int32)), pa.array(checks, pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, [key, *(name for name, _ in RESULT)])
 
         for batch in batches:
-            for number, size, blob in zip(batch.column("shard").to_pylist(), batch.column("size").to_pylist(), batch.column("blob")):
-                if number != now:
+            slot = batch.column("slot").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(slot // records)) + 1).tolist(), len(slot)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if slot[a] // records != now:
                     if rows:
                         yield finish()
-                    now, rows = number, []
-                    data = np.zeros((min(records, total - number * records), length + 1), "<u2")
-                with pa.ipc.open_stream(codec.decompress(blob.as_buffer(), size)) as stream:
-                    for part in stream:
-                        for slot, ids in zip(part.column("slot").to_pylist(), part.column("ids").to_pylist()):
-                            row = data[slot - now * records]
-                            row[0] = len(ids) // 2
-                            row[1 : 1 + row[0]] = np.frombuffer(ids, "<u2")
-                        rows.append(part.select(["key", "part", "slot"]))
+                    now, rows = int(slot[a] // records), []
+                    data = np.zeros((min(records, total - now * records), length + 1), f"<u{width}")
+                for i, ids in zip(slot[a:b].tolist(), batch.column("ids").slice(a, b - a)):
+                    row = data[i - now * records]
+                    row[0] = ids.as_buffer().size // width
+                    row[1 : 1 + row[0]] = np.frombuffer(ids.as_buffer(), f"<u{width}")
+                rows.append(batch.slice(a, b - a).select(["key", "part", "slot"]))
         if rows:
             yield finish()
 
-    packed = held.select("key", "part", "ids", "task", "within").mapInArrow(pack, "shard long, size long, blob binary")
-    return packed.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(write, schema)
-
+    slotted = held.select("key", "part", "ids", "task", "within").mapInArrow(assign, StructType([*held.select("key", "part", "ids").schema, StructField("slot", LongType())]))
+    ranges = min(shards, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // FILES)))
+    shard = F.expr(f"slot div {records}L")
+    dealt = slotted.repartitionById(ranges, (shard * ranges / F.lit(shards)).cast("int")).sortWithinPartitions("slot")
+    return dealt.mapInArrow(write, schema)

@@ -283,6 +283,25 @@ def test_feistel_is_a_permutation():
     assert shards.slots(np.arange(1000), 1000, "k").tolist() != shards.slots(np.arange(1000), 1000, "l").tolist()
 
 
+def test_shards_of_wide_ids_in_several_ranges(spark, tmp_path, monkeypatch):
+    # The ids of a small vocabulary in four bytes, and keys of another type.
+    monkeypatch.setattr(shards, "id_width", lambda n: 4)
+    values = [f"some text number {i} of many " * (i % 5) for i in range(300)]
+    docs, folder = spark.createDataFrame([(i, t) for i, t in enumerate(values)], "`a, b` short, text string"), f"file://{tmp_path}/w"
+    rows = shards.write_shards(docs, RANKS, folder, "seed", key="a, b", records=5, length=8).orderBy("slot").collect()
+    read = list(shards.read_records(folder, 0, len(rows), len(rows), 5, 8, 4))
+    assert len(read) == len(rows) == sum(-(-len(LIBRARY.encode_ordinary(t)) // 8) for t in values)
+    for row, ids in zip(rows, read, strict=True):
+        assert ids.tolist() == LIBRARY.encode_ordinary(values[row["a, b"]])[8 * row.part : 8 * row.part + 8]
+        assert (row.shard, row.byte_offset) == shards.place(row.slot, 5, 8, 4)
+
+
+def test_leaks_of_narrow_item_types(spark):
+    docs = spark.createDataFrame([(1, "here stands the whole question of the test and more")], "doc_id short, text string")
+    items = spark.createDataFrame([(3, "stands the whole question of the test")], "item_id short, text string")
+    assert [tuple(r) for r in decontaminate.find_leaks(docs, items).collect()] == [(1, 3, 0)]
+
+
 def test_shards_read_back(spark, tmp_path):
     docs, folder = texts(spark, [*MESSY, "a", "a"]), f"file://{tmp_path}/s"
     rows = shards.write_shards(docs, RANKS, folder, "seed", records=7, length=16).orderBy("slot").collect()

@@ -38,6 +38,8 @@ SKETCH_BITS = 64 * SKETCH_WORDS
 BLOCK, BLOCK_SHINGLES = 512, 500_000
 #: Shingles whose members are counted in one product of matrices.
 COLUMNS = 4096
+#: The bitmap of wanted sets has 64 bits for each of 2 to this power words.
+FILTER_WORDS = 18
 #: Buckets of more than one part in so many, for each shuffle partition, of all rows are joined without a shuffle.
 PARTS = 4
 
@@ -157,12 +159,17 @@ def _alike(one: str, two: str, percent: int) -> Column:
 
 
 def _sets(nodes: DataFrame, every: DataFrame) -> DataFrame:
-    """(node, set): the full sets of these nodes, packed. Rows of equal sets are dropped before the shuffle.
+    """(node, set): the full sets of these nodes, packed.
 
-    The nodes are written first: where they are few, they are broadcast, and other rows' sets do not shuffle.
+    A bitmap of the nodes' digests goes to all tasks first, 2 MB at any size of the input, so that most other rows' sets
+    do not shuffle; and rows of equal sets are dropped before the shuffle.
     """
     nodes = materialize(nodes, "wanted")
-    return materialize(every.select("node", "set").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    word, bit = F.col("node").bitwiseAND(F.lit((1 << FILTER_WORDS) - 1)), F.call_function("shiftright", F.col("node"), F.lit(FILTER_WORDS)).bitwiseAND(F.lit(63)).cast("int")
+    words = nodes.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    seen = F.call_function("shiftright", F.col("bits"), bit).bitwiseAND(F.lit(1)) == 1
+    maybe = every.select("node", "set", word.alias("word")).join(F.broadcast(words), "word").where(seen)
+    return materialize(maybe.select("node", "set").dropDuplicates(["node"]).join(nodes, "node", "left_semi"), "sets")
 
 
 def _members(nodes: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 class _WordIds(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = number = xxhash.xxh3_64_intdigest(word)
         return number

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from reedbed.llm.common import keyed_text, materialize, text_batches
 from reedbed.llm.components import components
@@ -121,29 +121,28 @@ def estimate(one: np.ndarray, two: np.ndarray) -> float:
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """(key, text) to (key, size, node, buckets, sketch, set); ``node`` is the digest of the set, null for an empty one."""
+    """(key, text) to (key, size, node, buckets, sketch); ``node`` is the digest of the set, null for an empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs = pa.list_(pa.int64())
         for keys, texts in text_batches(batches):
-            size, node, buckets, sketch, packed = [], [], [], [], []
+            size, node, buckets, sketch = [], [], [], []
             for text in texts:
                 found = shingles(text)
                 size.append(len(found))
                 if not len(found):
-                    for out in (node, buckets, sketch, packed):
+                    for out in (node, buckets, sketch):
                         out.append(None)
                     continue
                 least = samples(found)
                 node.append(_node(found))
                 buckets.append(bands(least))
                 sketch.append(odd_sketch(least))
-                packed.append(found.tobytes())
-            columns = [pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(buckets, longs), pa.array(sketch, longs), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays([keys, *columns], ["key", "size", "node", "buckets", "sketch", "set"])
+            columns = [pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(buckets, longs), pa.array(sketch, longs)]
+            yield pa.RecordBatch.from_arrays([keys, *columns], ["key", "size", "node", "buckets", "sketch"])
 
     many = ArrayType(LongType())
-    fields = [("size", LongType()), ("node", LongType()), ("buckets", many), ("sketch", many), ("set", BinaryType())]
+    fields = [("size", LongType()), ("node", LongType()), ("buckets", many), ("sketch", many)]
     return docs.mapInArrow(run, StructType([docs.schema["key"], *(StructField(*f) for f in fields)]))
 
 
@@ -158,18 +157,25 @@ def _alike(one: str, two: str, percent: int) -> Column:
     return (100 * small >= percent * large) & (bits <= most_bits(percent / 100 - MARGIN))
 
 
-def _sets(nodes: DataFrame, every: DataFrame) -> DataFrame:
-    """(node, set): the full sets of these nodes, packed.
+def _sets(wanted: DataFrame, source: DataFrame) -> DataFrame:
+    """(node, set): the full sets of the wanted (node, mark), packed, made anew from their texts.
 
-    A bitmap of the nodes' digests goes to all tasks first, 2 MB at any size of the input, so that most other rows' sets
-    do not shuffle; and rows of equal sets are dropped before the shuffle.
+    A bitmap of the texts' digests goes to all tasks first, 2 MB at any size of the input, so that other texts are neither
+    read in Python nor shuffled; and rows of equal sets are dropped before the shuffle.
     """
-    nodes = materialize(nodes, "wanted")
-    word, bit = F.col("node").bitwiseAND(F.lit((1 << FILTER_WORDS) - 1)), F.call_function("shiftright", F.col("node"), F.lit(FILTER_WORDS)).bitwiseAND(F.lit(63)).cast("int")
-    words = nodes.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    wanted = materialize(wanted, "wanted")
+    word, bit = F.col("mark").bitwiseAND(F.lit((1 << FILTER_WORDS) - 1)), F.call_function("shiftright", F.col("mark"), F.lit(FILTER_WORDS)).bitwiseAND(F.lit(63)).cast("int")
+    words = wanted.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
     seen = F.call_function("shiftright", F.col("bits"), bit).bitwiseAND(F.lit(1)) == 1
-    maybe = every.select("node", "set", word.alias("word")).join(F.broadcast(words), "word").where(seen)
-    return materialize(maybe.select("node", "set").dropDuplicates(["node"]).join(nodes, "node", "left_semi"), "sets")
+    rows = source.select("text", F.xxhash64("text").alias("mark")).withColumn("word", word).join(F.broadcast(words), "word").where(seen)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in text_batches(batches):
+            sets = [found for found in map(shingles, texts) if len(found)]
+            yield pa.RecordBatch.from_arrays([pa.array(map(_node, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "set"])
+
+    found = rows.select(F.col("mark").alias("key"), "text").mapInArrow(run, "node long, set binary")
+    return materialize(found.dropDuplicates(["node"]).join(wanted.select("node"), "node", "left_semi"), "sets")
 
 
 def _members(nodes: DataFrame) -> DataFrame:
@@ -376,16 +382,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     A link is lost only if a pair meets in no bucket (5e-6 at the threshold, less above) or its sketches
     mislead (2e-7 there), and then only if no other way joins the two.
     """
-    every = materialize(_sketched(keyed_text(docs, key, text)), "sketches")
+    source = keyed_text(docs, key, text)
+    marked = source.select(F.struct("key", F.xxhash64("text").alias("mark")).alias("key"), "text")
+    every = materialize(_sketched(marked).select("key.key", "key.mark", "size", "node", "buckets", "sketch"), "sketches")
     placed = every.where("node IS NOT NULL")
-    nodes = placed.groupBy("node").agg(F.min("key").alias("key"), F.first(F.struct("size", "buckets", "sketch")).alias("x")).select("node", "key", "x.*")
+    # Of the texts with one set any one is its mark.
+    nodes = placed.groupBy("node").agg(F.min("key").alias("key"), F.first(F.struct("mark", "size", "buckets", "sketch")).alias("x")).select("node", "key", "x.*")
     nodes = materialize(nodes, "nodes")
     members = _members(nodes)
     tried = materialize(members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "tried")
     details = nodes.select("node", "size", "sketch")
     a, b = details.alias("one"), details.alias("two")
     likely = tried.join(a, F.col("a") == F.col("one.node")).join(b, F.col("b") == F.col("two.node")).where(_alike("one", "two", percent)).select("a", "b")
-    sets = _sets(members.select("node").distinct(), placed)
+    sets = _sets(nodes.select("node", "mark").join(members.select("node").distinct(), "node", "left_semi"), source)
     links = _measured(materialize(likely, "likely"), sets, percent).where("linked").select("a", "b")
     roots = components(links)
     left = _left_over(members.where("n > 2").select("bucket", "node"), roots, nodes, sets, percent)

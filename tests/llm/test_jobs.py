@@ -13,11 +13,12 @@ from reedbed.llm.queries import ORACLES, QUERIES
 def test_query_rows(spark, sf_dir, name):
     rows = QUERIES[name](spark, sf_dir).collect()
     many = {"op1_preference_pairs": "conversations", "op9_main_text": "pages"}.get(name, "documents")
-    if name not in ("op1_preference_pairs", "op2_benchmark_leaks", "op4_training_order"):
+    if name not in ("op1_preference_pairs", "op2_benchmark_leaks", "op4_training_order", "op11_hard_negatives"):
         assert len(rows) == spark.read.parquet(f"{sf_dir}/{many}.parquet").count()
     if name in ORACLES:
         db = duckdb.connect()
-        db.execute(f"CREATE VIEW {many} AS SELECT * FROM '{sf_dir}/{many}.parquet'")
+        for name_of in ("benchmark", "conversations", "documents", "embeddings"):
+            db.execute(f"CREATE VIEW {name_of} AS SELECT * FROM '{sf_dir}/{name_of}.parquet'")
         found = db.execute(ORACLES[name])
         names = [d[0] for d in found.description]
         assert sorted(map(str, (tuple(r[n] for n in names) for r in rows))) == sorted(map(str, found.fetchall()))

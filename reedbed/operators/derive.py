@@ -22,13 +22,18 @@ TIME_FORMATS = tuple(date + clock for date in DATE_FORMATS for clock in CLOCK_FO
 def parse_capture_time(df: DataFrame, col: str = "capture_time", formats: Sequence[str] = TIME_FORMATS) -> DataFrame:
     """Text to wall-clock time; a zone suffix is dropped, bad text gives null. A time stays as it is.
 
-    A leading weekday, commas, long month names and a year behind the time are put right before the formats are tried.
+    A leading weekday, commas, long month names, dashes, years of two digits (2000 to 2099), a dot in the time of day, a time
+    before the date and a year behind it are put right before the formats are tried.
     ``unparsed_times`` counts what is lost.
     """
     if dict(df.dtypes)[col] == "timestamp_ntz":
         return df
     text = F.trim(F.col(col).cast("string"))
     plain = F.trim(F.regexp_replace(F.regexp_replace(text, r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*[,.]?\s+", ""), r"[,\s]+", " "))
+    plain = F.regexp_replace(plain, r"(?i)^(\d{1,2}:\d{2}(?::\d{2})?(?: ?[ap]\.?m\.?)?) (.+)$", "$2 $1")
+    plain = F.regexp_replace(plain, r"(?i) (\d{1,2})\.(\d{2})( ?[ap]\.?m\.?)?$", " $1:$2$3")
+    plain = F.regexp_replace(plain, r"^(\d{1,2})-(\d{1,2})-(\d{4}|\d{2})(?!\d)", "$1/$2/$3")
+    plain = F.regexp_replace(plain, r"^(\d{1,2}/\d{1,2})/(\d{2})(?!\d)", "$1/20$2")
     plain = F.regexp_replace(plain, r"^(\d{4})-(\d{1,2})-(\d{1,2})", "$1/$2/$3")
     plain = F.regexp_replace(plain, r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?", "$1")
     plain = F.regexp_replace(plain, r"^(\p{L}+ \d{1,2}) (\d{1,2}:\d{2}(?::\d{2})?) (\d{4})$", "$1 $3 $2")

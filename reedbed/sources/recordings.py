@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reedbed.sources.quoted_csv import read_quoted_csv
+
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("id", T.LongType()),
@@ -27,27 +29,25 @@ RAW_SCHEMA = T.StructType(
     ]
 )
 REQUIRED_COLUMNS = RAW_SCHEMA.fieldNames()
+# A quoted string, a stretch without quotes, or a lone quote.
+QUOTED_OR_NOT = r""""(?:[^"\\]|\\.)*+"|'(?:[^'\\]|\\.)*+'|[^"']++|["']"""
 LIST_COLUMNS = {"validated_frog_names": "array<string>", "validated_frog_ids": "array<bigint>"}
 
 
 def read_recordings(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Scan a CSV export by its header; columns other than the required ones are not parsed.
 
-    ``multi_line`` admits line breaks inside notes but makes a file one task, so
-    hand over many files, or turn it off when no field holds a line break.
+    ``multi_line`` admits line breaks inside quoted notes; files are still read by byte ranges, in two passes. Quotes
+    then stand around fields and doubled inside them only. Turn it off for a single pass where no field holds a line break.
     """
-    header = spark.read.option("header", True).csv(path).columns if not multi_line else _header(spark, path)
+    header = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path).columns
     known = {f.name: f.dataType for f in RAW_SCHEMA}
     flags = [c for c in header if isinstance(known.get(c), T.BooleanType)]
     schema = T.StructType([T.StructField(c, T.StringType() if c in flags else known.get(c, T.StringType())) for c in header])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .csv(path)
-    )
+    if multi_line:
+        rows = read_quoted_csv(spark, path, schema)
+    else:
+        rows = spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False).csv(path)
     return rows.withColumns({c: parse_flag(c) for c in flags})
 
 
@@ -62,10 +62,6 @@ def parse_flag(name: str) -> Column:
     )
 
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).columns
-
-
 def require_columns(df: DataFrame, cols: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     """Fail on missing columns, keep only the wanted ones."""
     missing = [c for c in cols if c not in df.columns]
@@ -85,11 +81,25 @@ def parse_list_columns(df: DataFrame, cols: dict[str, str] = LIST_COLUMNS) -> Da
 
     def parsed(name: str, kind: str):
         text = F.trim(F.col(name))
-        is_list = text.startswith("[") & text.endswith("]")
-        text = F.regexp_replace(text, r"(?<=[\[,])\s*(?:None|nan)\s*(?=[,\]])", "null")
-        text = F.regexp_replace(text, r",\s*\]$", "]")
+        # Quoted names are kept apart, as they may hold the same words.
+        plain = F.transform(
+            F.regexp_extract_all(text, F.lit(QUOTED_OR_NOT), F.lit(0)),
+            lambda t: F.when(t.rlike("^[\"']"), t).otherwise(F.regexp_replace(t, r"(?<![^\s\[,])(?:None|nan)(?![^\s,\]])", "null")),
+        )
+        list_text = F.regexp_replace(F.array_join(plain, ""), r",\s*\]$", "]")
         if kind == "array<bigint>":
-            return F.when(is_list, F.from_json(text, "array<double>").cast(kind))
-        return F.when(is_list, F.from_json(text, kind))
+            return F.when(_is_list(text), F.from_json(list_text, "array<double>").cast(kind))
+        return F.when(_is_list(text), F.from_json(list_text, kind))
 
     return df.withColumns({c: parsed(c, kind) for c, kind in cols.items()})
+
+
+def unparsed_lists(df: DataFrame, cols: dict[str, str] = LIST_COLUMNS) -> DataFrame:
+    """One row with a count for each column: the texts in brackets that are no readable list, and so give null."""
+    texts = df.select(*[F.col(c) for c in cols], *[F.col(c).alias(f"_text_{c}") for c in cols])
+    lost = [F.count_if(_is_list(F.trim(F.col(f"_text_{c}"))) & F.col(c).isNull()).alias(c) for c in cols]
+    return parse_list_columns(texts, cols).agg(*lost)
+
+
+def _is_list(text: Column) -> Column:
+    return text.startswith("[") & text.endswith("]")

@@ -1,14 +1,16 @@
 """Hand cases of reading, cleaning and derived columns."""
 
 import datetime as dt
+import random
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reedbed.config import OTHER, ClassMapping, CleaningCriteria
 from reedbed.operators import anchors, clean, derive, strategies
-from reedbed.sources import recordings
+from reedbed.sources import quoted_csv, recordings
 
 MAPPING = ClassMapping((OTHER, "a", "b", "c"))
 RAW = recordings.RAW_SCHEMA.simpleString().removeprefix("struct<").removesuffix(">")
@@ -117,6 +119,8 @@ def test_times_in_free_form(spark):
     cases = {
         "3/17/2025 9:12 PM": at, "2025-03-17 9:12 PM": at, "17/03/2025 21:12": at, "Mar 17, 2025": day, "17 March 2025": day,
         "2025/03/17 21:12": at, "20250317": day, "Mon Mar 17 21:12:00 2025": at, "March 17, 2025 9:12 p.m.": at, "17 mar 2025 9:12pm": at,
+        "17-03-2025": day, "17-03-2025 21:12": at, "03/17/25": day, "17/03/25 9:12 pm": at, "17 Mar 2025 9.12pm": at,
+        "12:30 2025-03-17": dt.datetime(2025, 3, 17, 12, 30), "9:12 pm 17 March 2025": at, "3-4-25": dt.datetime(2025, 3, 4),
         "3/4/2025": dt.datetime(2025, 3, 4), "31/31/2025": None, "not a time": None, "": None, None: None,
     }
     df = spark.createDataFrame(list(enumerate(cases)), "id int, capture_time string")
@@ -234,3 +238,51 @@ def test_flags_as_numbers(spark, tmp_path):
 def test_python_lists(spark):
     df = spark.createDataFrame([("['A', None]", "[1.0, nan]"), ("['B',]", "[2,]"), ("['None']", "[3]")], "validated_frog_names string, validated_frog_ids string")
     assert rows(recordings.parse_list_columns(df), "validated_frog_names", "validated_frog_ids") == [(["A", None], [1, None]), (["B"], [2]), (["None"], [3])]
+
+
+def test_words_inside_quotes_are_no_missing_entries(spark):
+    texts = ["['a, None, b', None]", '["x [nan] y", nan ]', "['it, nan', \"None, d'e\", None,]", "['open, None]", "[None]", "[Nonesuch]"]
+    df = raw(spark, *[raw_row(i, validated_frog_names=t) for i, t in enumerate(texts)])
+    got = [r[0] for r in recordings.parse_list_columns(df).orderBy("id").select("validated_frog_names").collect()]
+    assert got == [["a, None, b", None], ["x [nan] y", None], ["it, nan", "None, d'e", None], None, [None], None]
+    assert recordings.unparsed_lists(df).first().asDict() == {"validated_frog_names": 2, "validated_frog_ids": 0}
+
+
+def quoted_file(seed):
+    """Text of a CSV file whose notes hold quotes, commas, line breaks and blank lines."""
+    rng = random.Random(seed)
+    note = lambda: "".join(rng.choice(["a", "b ", '""', ",", "\n", "\r\n", "\n\n", "\u00e9"]) for _ in range(rng.randint(0, 5)))
+    lines = [f'{i},"{note()}",{rng.choice(["x", "", "y z"])}' for i in range(5)]
+    end = rng.choice(["\n", "\r\n"])
+    return end.join(["id,note,state", *lines]) + rng.choice(["", end])
+
+
+@pytest.mark.parametrize("block", [5, 17, 10_000])
+def test_quoted_csv_cut_anywhere_equals_one_task(spark, tmp_path, block):
+    for name in "ab":
+        (tmp_path / f"{name}.csv").write_bytes(quoted_file(f"{name}{block}").encode())
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("note", T.StringType()), T.StructField("state", T.StringType())])
+    whole = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path))
+    changed = {"spark.sql.files.maxPartitionBytes": str(block), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        got = rows(quoted_csv.read_quoted_csv(spark, str(tmp_path), schema), "id", "note", "state")
+        tasks = quoted_csv._lines(spark, str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == rows(whole, "id", "note", "state") and len(got) == 10
+    assert tasks > 2 or block == 10_000
+
+
+def test_quoted_csv_with_another_header_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,note\n1,"x\ny"\n')
+    (tmp_path / "b.csv").write_text("id,other\n2,z\n")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("note", T.StringType())])
+    with pytest.raises(Exception, match="another header"):
+        quoted_csv.read_quoted_csv(spark, str(tmp_path), schema).collect()
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "e.csv").write_text("id,note\n")
+    assert quoted_csv.read_quoted_csv(spark, str(tmp_path / "c"), schema).count() == 0

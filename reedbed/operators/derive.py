@@ -38,11 +38,16 @@ def parse_capture_time(df: DataFrame, col: str = "capture_time", formats: Sequen
     plain = F.regexp_replace(plain, r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?", "$1")
     plain = F.regexp_replace(plain, r"^(\p{L}+ \d{1,2}) (\d{1,2}:\d{2}(?::\d{2})?) (\d{4})$", "$1 $3 $2")
     plain = F.regexp_replace(plain, r"(?i)(\d) ?([ap])\.?m\.?$", "$1 $2m")
-    plain = F.concat(F.initcap(F.regexp_replace(plain, r" [aApP]m$", "")), F.upper(F.regexp_extract(plain, r"( [aApP]m)$", 1)))
-    parsed = [text.try_cast("timestamp_ntz")]
+    plain = _once(plain, lambda p: F.concat(F.initcap(F.regexp_replace(p, r" [aApP]m$", "")), F.upper(F.regexp_extract(p, r"( [aApP]m)$", 1))))
+    iso = text.try_cast("timestamp_ntz")
+    read = _once(plain, lambda p: F.coalesce(*[F.try_to_timestamp(p, F.lit(f)).cast("timestamp_ntz") for f in formats]))
     # A bare number casts as a year; eight digits are a date.
-    parsed = [F.when(~text.rlike(r"^\d+$"), parsed[0]), *[F.try_to_timestamp(plain, F.lit(f)).cast("timestamp_ntz") for f in formats], parsed[0]]
-    return df.withColumn(col, F.coalesce(*parsed))
+    return df.withColumn(col, F.coalesce(F.when(~text.rlike(r"^\d+$"), iso), read, iso))
+
+
+def _once(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is computed a single time, however often ``fn`` refers to it."""
+    return F.transform(F.array(value), fn)[0]
 
 
 def unparsed_times(df: DataFrame, col: str = "capture_time") -> DataFrame:

@@ -183,6 +183,8 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     if not wanted:
         return Languages({})
     taken = labelled.where(column(key).isin(wanted)).select(column(lang).alias("lang"), column(key).alias("key"), F.substring(column(text), 1, chars).alias("text"))
+    # A key may be repeated without bound: rows are drawn again, not keys.
+    taken = taken.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(F.col("key").cast("string")), "key", "text"))).where(F.col("n") <= rows)
     samples: dict[str, list[str]] = {}
     for row in sorted(taken.collect(), key=lambda r: (r.lang, str(r.key), r.text)):
         held = samples.setdefault(row.lang, [])

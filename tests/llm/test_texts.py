@@ -203,6 +203,15 @@ def test_language_held_out_accuracy(spark, sf_dir):
     assert right >= 0.95 * total > 0
 
 
+def test_language_draws_rows_of_repeated_keys(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "Languages", lambda samples: seen.append(samples))
+    key = next(k for k in range(9) if zlib.crc32(str(k).encode()) % 5)
+    docs = spark.range(500).selectExpr(f"{key}L AS doc_id", "concat('text ', id) AS text", "if(id % 2 = 0, 'a', 'b') AS lang")
+    language.learn(docs, rows=7)
+    assert {name: len(texts) for name, texts in seen[0].items()} == {"a": 7, "b": 7}
+
+
 def test_language_of_nothing(spark):
     docs = spark.createDataFrame([(1, None, None), (2, "12 !", "en"), (3, "", None)], "doc_id long, text string, lang string")
     assert {tuple(r) for r in language.identify(docs, language.learn(docs)).collect()} == {(i, "und", 0.0) for i in (1, 2, 3)}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from reedbed.operators import arrays
@@ -100,31 +103,39 @@ def _(spark, sf_dir):
     return arrays.stack_segments(rows)
 
 
-def _signal_features(row):
-    """Peak, trough and length of a signal; a short signal is refused."""
-    y = row["y"]
-    if len(y) < 28:
+def _signal_features(batch):
+    """Peak, trough and length of the signals of a batch; short signals are refused."""
+    y = batch.column("y")
+    sizes = pc.list_value_length(y).to_numpy()
+    if (sizes < 66).any():
         raise ValueError("signal too short")
-    return [max(y), min(y), len(y)]
+    values, starts = y.flatten().to_numpy(), np.cumsum(sizes) - sizes
+    table = np.stack([np.maximum.reduceat(values, starts), np.minimum.reduceat(values, starts), sizes], axis=1)
+    features = pa.ListArray.from_arrays(np.arange(0, 3 * len(sizes) + 1, 3, dtype="int32"), pa.array(table.ravel().astype("float32")))
+    rows = pa.array(np.arange(len(sizes)))
+    return pa.RecordBatch.from_arrays([rows, pa.array(np.zeros(len(sizes), "int32")), features], ["row", "chunk_index", "features"])
+
+
+def _extracted(waves):
+    return arrays.extract_features(waves, arrays.batch_extractor(_signal_features), weight=4 * F.size("y"))
 
 
 @query(
     "extract_features",
-    f"""WITH {_WAVES} SELECT id, CASE WHEN len(y) >= 28 THEN CAST(0 AS INTEGER) END AS chunk_index,
-    CASE WHEN len(y) >= 28 THEN {q.decimals('[CAST(list_max(y) AS DOUBLE), list_min(y), len(y)]')} END AS features,
-    CASE WHEN len(y) < 28 THEN 'ValueError: signal too short' END AS error FROM waves""",
+    f"""WITH {_WAVES} SELECT id, CASE WHEN len(y) >= 66 THEN CAST(0 AS INTEGER) END AS chunk_index,
+    CASE WHEN len(y) >= 66 THEN {q.decimals('[CAST(list_max(y) AS DOUBLE), list_min(y), len(y)]')} END AS features,
+    CASE WHEN len(y) < 66 THEN 'ValueError: signal too short' END AS error FROM waves""",
 )
 def _(spark, sf_dir):
-    return arrays.extract_features(fx.waveforms(spark, sf_dir), arrays.per_row_extractor(_signal_features))
+    return _extracted(fx.waveforms(spark, sf_dir))
 
 
 @query(
     "preprocessing_summary",
-    f"""WITH {_WAVES} SELECT count(*) AS total_input, count(*) FILTER (WHERE len(y) < 28) AS failed_count,
-    count(*) FILTER (WHERE len(y) > 36) AS skipped_cached_count, count(*) FILTER (WHERE len(y) >= 28) AS final_output FROM waves""",
+    f"""WITH {_WAVES} SELECT count(*) AS total_input, count(*) FILTER (WHERE len(y) < 66) AS failed_count,
+    count(*) FILTER (WHERE len(y) > 80) AS skipped_cached_count, count(*) FILTER (WHERE len(y) >= 66) AS final_output FROM waves""",
 )
 def _(spark, sf_dir):
     waves = fx.waveforms(spark, sf_dir)
-    found = materialize(arrays.extract_features(waves, arrays.per_row_extractor(_signal_features)), "extracted")
-    good, failed = arrays.split_failures(found)
-    return arrays.preprocessing_summary(waves, good, failed, waves.filter("size(y) > 36"))
+    good, failed = arrays.split_failures(materialize(_extracted(waves), "extracted"))
+    return arrays.preprocessing_summary(waves, good, failed, waves.filter("size(y) > 80"))

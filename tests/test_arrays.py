@@ -1,11 +1,13 @@
 """Hand cases of framing, normalising, extraction and learning."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from reedbed.operators import arrays, learn
+from reedbed.session import materialize
 
 
 def signals(spark, *lengths):
@@ -89,6 +91,42 @@ def test_failed_rows_are_reported_and_the_rest_goes_on(spark):
     assert tuple(summary) == (3, 1, 0, 3)
 
 
+def test_a_bad_row_does_not_cost_its_batch(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def compute(batch):
+        calls.add(1)
+        sizes = [len(y) for y in batch.column("y").to_pylist()]
+        if any(n % 50 == 7 for n in sizes):
+            raise ValueError("bad signal")
+        rows = [i for i, n in enumerate(sizes) for _ in range(n % 3)]
+        index = [k for n in sizes for k in range(n % 3)]
+        return pa.RecordBatch.from_pydict({"row": rows, "chunk_index": index, "features": [[float(sizes[i])] for i in rows]})
+
+    lengths = list(range(1, 201))
+    found = materialize(arrays.extract_features(signals(spark, *lengths), arrays.batch_extractor(compute), partitions=2), "found")
+    good, failed = arrays.split_failures(found)
+    bad = [n for n in lengths if n % 50 == 7]
+    assert rows(failed, "id", "error") == sorted([(n, "ValueError: bad signal") for n in bad], key=str)
+    want = [(n, k, [float(n)]) for n in lengths if n not in bad for k in range(n % 3)]
+    assert rows(good, "id", "chunk_index", "features") == sorted(want, key=str)
+    assert calls.value < 4 * 2 * 10  # two halves a level for each bad row
+
+
+def test_rows_are_packed_by_weight(spark):
+    # A few rows weigh as much as all others; null and negative weights count as nothing.
+    weight = F.when(F.col("id") % 100 == 0, 5000).when(F.col("id") % 7 == 0, None).when(F.col("id") % 11 == 0, -3).otherwise(50)
+    df = spark.range(4000).withColumn("w", weight).unionByName(spark.createDataFrame([(None, 50)], "id bigint, w int"))
+    packed = arrays.pack_by_weight(df, F.col("w"), 20_000)
+    total = df.agg(F.sum(F.greatest(F.coalesce("w", F.lit(0)), F.lit(0)) + 1)).first()[0]
+    loads = packed.groupBy(F.spark_partition_id().alias("task")).agg(F.sum(F.greatest(F.coalesce("w", F.lit(0)), F.lit(0)) + 1).alias("load"))
+    got = [r["load"] for r in loads.collect()]
+    assert packed.rdd.getNumPartitions() == -(-total // 20_000) == len(got)
+    assert max(got) < 20_000 + 2 * 5050
+    assert rows(packed, "id", "w") == rows(df, "id", "w")
+    assert arrays.pack_by_weight(df.limit(0), F.col("w"), 10).count() == 0
+
+
 def test_learning_separates_two_clusters(spark):
     rng = np.random.default_rng(0)
     data = [(i, i % 2, [float(x) for x in rng.normal(loc=4 * (i % 2), size=3)]) for i in range(120)]

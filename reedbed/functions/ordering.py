@@ -168,3 +168,24 @@ def running_totals(
     summed = cut.withColumns({f"_local_{s}": F.sum(s).over(local) for s in sums}).join(shifts, groups + ["_piece"])
     runs = {f"{s}_run": F.col(f"_shift_{s}") + F.col(f"_local_{s}") for s in sums}
     return summed.withColumns(runs).drop("_piece", *[f"_{kind}_{s}" for kind in ("shift", "local") for s in sums])
+
+
+def with_next(
+    df: DataFrame, groups: list[str], order: str, cols: list[str], cuts: list[float], descending: bool
+) -> DataFrame:
+    """Adds ``<c>_next``, the value in the next row by ``order`` of the group; null in its last row.
+
+    ``df`` has one row per (groups, order). Value ranges look up their own rows; over a border the first row of the
+    next range that has any is handed on, one small row per range.
+    """
+    cut = df.withColumn("_piece", _piece(F.col(order), cuts)).withColumn("_row", F.struct(*cols))
+    piece_order = F.col("_piece").desc() if descending else F.col("_piece").asc()
+    row_order = F.col(order).desc() if descending else F.col(order).asc()
+    first = F.max_by("_row", order) if descending else F.min_by("_row", order)
+    heads = cut.groupBy(*groups, "_piece").agg(first.alias("_head"))
+    over = F.lead("_head").over(Window.partitionBy(*groups).orderBy(piece_order))
+    borders = heads.select(*groups, "_piece", over.alias("_border"))
+    inside = F.lead("_row").over(Window.partitionBy(*groups, "_piece").orderBy(row_order))
+    found = cut.withColumn("_inside", inside).join(borders, groups + ["_piece"])
+    following = F.coalesce("_inside", "_border")
+    return found.select(*df.columns, *[following[c].alias(f"{c}_next") for c in cols])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reedbed.config import ClassMapping, EvaluationSettings
 from reedbed.functions.columns import half_even, ratio, ratio_or_zero, species_of
-from reedbed.functions.ordering import running_totals, value_cuts
+from reedbed.functions.ordering import running_totals, value_cuts, with_next
 from reedbed.operators.pooling import recording_predictions
 from reedbed.session import materialize
 
@@ -188,20 +188,46 @@ def _curve(points: DataFrame, x: str, y: str, cols: dict[str, Column], start: di
     return curve.unionByName(first)
 
 
-def _roc_curve(points: DataFrame) -> DataFrame:
+def _parallel(a: tuple[str, str], b: tuple[str, str]) -> Column:
+    """Whether two steps of (positives, negatives) go in one direction: exact, as products of counts may pass 64 bits."""
+    (a_pos, a_neg), (b_pos, b_neg) = ([F.col(c).cast("decimal(19,0)") for c in step] for step in (a, b))
+    return a_pos * b_neg == b_pos * a_neg
+
+
+def _with_next_step(points: DataFrame) -> DataFrame:
+    return with_next(points, ["class_label"], "score", ["pos", "neg"], value_cuts(points, "score"), descending=True)
+
+
+def _roc_corners(points: DataFrame) -> DataFrame:
+    """The points where the curve turns, and each class's last one."""
+    straight = _parallel(("pos", "neg"), ("pos_next", "neg_next"))
+    return _with_next_step(points).filter(F.col("pos_next").isNull() | ~straight)
+
+
+def _pr_corners(points: DataFrame) -> DataFrame:
+    """All but the points inside a vertical (recall stays) or level (precision stays) stretch of the curve."""
+    vertical = (F.col("pos") == 0) & (F.col("pos_next") == 0)
+    is_first = (F.col("pos_run") == F.col("pos")) & (F.col("neg_run") == F.col("neg"))
+    # The point before the first threshold has precision 1.
+    level_in = F.when(is_first, F.col("neg_run") == 0).otherwise(_parallel(("pos", "neg"), ("pos_run", "neg_run")))
+    level_out = _parallel(("pos_next", "neg_next"), ("pos_run", "neg_run"))
+    return _with_next_step(points).filter(F.col("pos_next").isNull() | ~(vertical | (level_in & level_out)))
+
+
+def _roc_curve(points: DataFrame, thin: bool = False) -> DataFrame:
     rates = {
         "fpr": ratio(F.col("neg_run"), F.col("neg_total")),
         "tpr": ratio(F.col("pos_run"), F.col("pos_total")),
     }
-    return _curve(points, "fpr", "tpr", rates, {"fpr": 0.0, "tpr": 0.0})
+    return _curve(_roc_corners(points) if thin else points, "fpr", "tpr", rates, {"fpr": 0.0, "tpr": 0.0})
 
 
-def _pr_curve(points: DataFrame) -> DataFrame:
+def _pr_curve(points: DataFrame, thin: bool = False) -> DataFrame:
     rates = {
         "precision": ratio(F.col("pos_run"), F.col("pos_run") + F.col("neg_run")),
         "recall": ratio(F.col("pos_run"), F.col("pos_total")),
     }
-    return _curve(points, "precision", "recall", rates, {"precision": 1.0, "recall": 0.0})
+    return _curve(_pr_corners(points) if thin else points, "precision", "recall", rates, {"precision": 1.0, "recall": 0.0})
 
 
 def _pr_trapezoid(points: DataFrame) -> DataFrame:
@@ -234,14 +260,20 @@ def average_precision_macro(df: DataFrame) -> DataFrame:
     return _mean_or_null(average_precision_per_class(df), "pr_auc", "pr_auc_macro")
 
 
-def roc_curve(df: DataFrame) -> DataFrame:
-    """``(threshold, fpr, tpr)`` at every distinct score of the classes with true rows, and the origin."""
-    return _roc_curve(_score_points(df))
+def roc_curve(df: DataFrame, thin: bool = False) -> DataFrame:
+    """``(threshold, fpr, tpr)`` at every distinct score of the classes with true rows, and the origin.
+
+    ``thin`` leaves out the points on the line between their neighbours; the area stays the same.
+    """
+    return _roc_curve(_score_points(df), thin)
+
 
+def pr_curve(df: DataFrame, thin: bool = False) -> DataFrame:
+    """``(threshold, precision, recall)`` likewise; the extra point is recall 0, precision 1.
 
-def pr_curve(df: DataFrame) -> DataFrame:
-    """``(threshold, precision, recall)`` likewise; the extra point is recall 0, precision 1."""
-    return _pr_curve(_score_points(df))
+    ``thin`` leaves out the points inside vertical or level stretches; the trapezoid area stays the same.
+    """
+    return _pr_curve(_score_points(df), thin)
 
 
 def pr_auc_trapezoid(df: DataFrame) -> DataFrame:

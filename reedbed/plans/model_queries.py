@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reedbed.config import EvaluationSettings
@@ -9,7 +12,7 @@ from reedbed.functions.columns import argmax
 from reedbed.operators import learn, metrics, monitor, pooling
 from reedbed.plans import fixtures as fx
 from reedbed.plans import sql as q
-from reedbed.plans.registry import query
+from reedbed.plans.registry import ORACLES, query
 from reedbed.session import scratch_dir
 from reedbed.sources.embeddings import STORE_COLUMNS, read_store
 from reedbed.streaming import jobs
@@ -180,19 +183,39 @@ _metric_query(
     f"{_AP} SELECT round(CASE WHEN count(pr_auc) = count(*) THEN avg(pr_auc) END, 6) AS pr_auc_macro FROM ap",
     metrics.average_precision_macro,
 )
+
+
+def _whole_and_thin(curve):
+    """A curve with all its points and without those on a straight stretch."""
+
+    def both(df):
+        return curve(df).withColumn("points", F.lit("all")).unionByName(curve(df, thin=True).withColumn("points", F.lit("corners")))
+
+    return both
+
+
+# Steps before and behind a point, in counts; the step before the first point begins at nothing.
+_TURNS = f"""{_POINTS}, turns AS (SELECT *, tp - pos AS tp0, fp - neg AS fp0, lead(pos) OVER w AS pos1, lead(neg) OVER w AS neg1 FROM pts
+  WINDOW w AS (PARTITION BY class_label ORDER BY score DESC)),
+steps AS (SELECT *, CASE WHEN tp0 + fp0 = 0 THEN fp = 0 ELSE tp * (tp0 + fp0) = tp0 * (tp + fp) END AS level_in,
+  tp * (tp + pos1 + fp + neg1) = (tp + pos1) * (tp + fp) AS level_out FROM turns WHERE p > 0)"""
 _metric_query(
     "roc_curve",
-    f"""{_POINTS} SELECT class_label, round(score, 6) AS threshold, round(CAST(fp AS DOUBLE) / nullif(n, 0), 6) AS fpr,
-      round(CAST(tp AS DOUBLE) / p, 6) AS tpr FROM pts WHERE p > 0
-    UNION ALL SELECT DISTINCT class_label, CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM pts WHERE p > 0""",
-    metrics.roc_curve,
+    f"""{_TURNS}, shown AS (SELECT 'all' AS points, * FROM steps
+      UNION ALL SELECT 'corners', * FROM steps WHERE pos1 IS NULL OR pos * neg1 <> pos1 * neg)
+    SELECT points, class_label, round(score, 6) AS threshold, round(CAST(fp AS DOUBLE) / nullif(n, 0), 6) AS fpr,
+      round(CAST(tp AS DOUBLE) / p, 6) AS tpr FROM shown
+    UNION ALL SELECT DISTINCT points, class_label, CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM shown""",
+    _whole_and_thin(metrics.roc_curve),
 )
 _metric_query(
     "pr_curve",
-    f"""{_POINTS} SELECT class_label, round(score, 6) AS threshold, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision,
-      round(CAST(tp AS DOUBLE) / p, 6) AS recall FROM pts WHERE p > 0
-    UNION ALL SELECT DISTINCT class_label, CAST(NULL AS DOUBLE), CAST(1 AS DOUBLE), CAST(0 AS DOUBLE) FROM pts WHERE p > 0""",
-    metrics.pr_curve,
+    f"""{_TURNS}, shown AS (SELECT 'all' AS points, * FROM steps
+      UNION ALL SELECT 'corners', * FROM steps WHERE pos1 IS NULL OR NOT ((pos = 0 AND pos1 = 0) OR (level_in AND level_out)))
+    SELECT points, class_label, round(score, 6) AS threshold, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision,
+      round(CAST(tp AS DOUBLE) / p, 6) AS recall FROM shown
+    UNION ALL SELECT DISTINCT points, class_label, CAST(NULL AS DOUBLE), CAST(1 AS DOUBLE), CAST(0 AS DOUBLE) FROM shown""",
+    _whole_and_thin(metrics.pr_curve),
 )
 _metric_query(
     "pr_auc_trapezoid",
@@ -216,27 +239,58 @@ _metric_query(
 )
 
 
+# For each frame: its row names, its numbers, and the rows of the SQL that computes it alone.
+_FRAMES = {
+    "recording_predictions": (("recording_id",), ("num_chunks", "confidence", "predicted_class"), ""),
+    "confusion_counts": (("y_true", "y_pred"), ("count",), ""),
+    "confusion_normalized": (("y_true", "y_pred"), ("share",), ""),
+    "per_class_metrics": (("class_label", "species_name"), ("precision", "recall", "f1", "support"), ""),
+    "global_metrics": ((), ("accuracy", "f1_macro", "f1_weighted", "precision_macro", "recall_macro"), ""),
+    "classification_report": (("label",), ("precision", "recall", "f1", "support"), ""),
+    "roc_auc_per_class": (("class_label",), ("roc_auc",), ""),
+    "roc_auc_macro": ((), ("roc_auc_macro",), ""),
+    "average_precision_per_class": (("class_label",), ("pr_auc",), ""),
+    "average_precision_macro": ((), ("pr_auc_macro",), ""),
+    "roc_curve": (("class_label",), ("num_points", "threshold", "fpr", "tpr"), "points = 'all'"),
+    "pr_curve": (("class_label",), ("num_points", "threshold", "precision", "recall"), "points = 'all'"),
+    "pr_auc_trapezoid": (("class_label",), ("pr_auc_trapezoid",), ""),
+    "top_k_accuracy": ((), ("top_k_accuracy",), ""),
+}
+_CURVES = ("roc_curve", "pr_curve")  # compared by the sums of their columns
+
+
+def _frame_sql(frame):
+    keys, numbers, kept = _FRAMES[frame]
+    rows = f"(SELECT * FROM ({ORACLES[frame]}) WHERE {kept or 'true'})"
+    if frame == "recording_predictions":  # the run has no confidence threshold
+        rows = f"(WITH {q.pooled()} SELECT recording_id, num_chunks, confidence, y_pred AS predicted_class FROM rec)"
+    if frame in _CURVES:
+        sums = ", ".join(f"sum({c}) AS {c}" for c in numbers[1:])
+        rows = f"(SELECT class_label, count(*) AS num_points, {sums} FROM {rows} GROUP BY 1)"
+    row = " || '/' || ".join(f"CAST({k} AS VARCHAR)" for k in keys) or "''"
+    values = ", ".join(f"CAST({c} AS DOUBLE)" for c in numbers)
+    return f"SELECT '{frame}' AS frame, {row} AS name, unnest({q.sql_list(numbers)}) AS measure, unnest([{values}]) AS value FROM {rows}"
+
+
+def _frame_rows(frame, df):
+    keys, numbers, _ = _FRAMES[frame]
+    if frame in _CURVES:
+        sums = [F.sum(F.round(c, 6)).alias(c) for c in numbers[1:]]
+        df = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_points"), *sums)
+    row = F.concat_ws("/", *[F.col(k).cast("string") for k in keys]) if keys else F.lit("")
+    entries = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in numbers])
+    return df.select(F.lit(frame).alias("frame"), row.alias("name"), F.inline(entries))
+
+
 @query(
     "evaluate",
-    f"""WITH {q.pooled()} {_GRID}{_POINTS},
-    seen AS (SELECT count(DISTINCT y_true) AS n FROM rec)
-    SELECT 'recording_predictions' AS frame, count(*) AS num_rows FROM rec
-    UNION ALL SELECT 'confusion_counts', count(*) FROM cells UNION ALL SELECT 'confusion_normalized', count(*) FROM cells
-    UNION ALL SELECT 'per_class_metrics', 16 UNION ALL SELECT 'global_metrics', 1
-    UNION ALL SELECT 'classification_report', count(*) + 3 FROM classes
-    UNION ALL SELECT 'roc_auc_per_class', 10 UNION ALL SELECT 'roc_auc_macro', 1
-    UNION ALL SELECT 'average_precision_per_class', 10 UNION ALL SELECT 'average_precision_macro', 1
-    UNION ALL SELECT 'roc_curve', count(*) + (SELECT n FROM seen) FROM pts WHERE p > 0
-    UNION ALL SELECT 'pr_curve', count(*) + (SELECT n FROM seen) FROM pts WHERE p > 0
-    UNION ALL SELECT 'pr_auc_trapezoid', n FROM seen UNION ALL SELECT 'top_k_accuracy', 1""",
+    "SELECT frame, name, measure, round(value, 6) AS value FROM ("
+    + " UNION ALL ".join(_frame_sql(frame) for frame in _FRAMES)
+    + ")",
 )
 def _(spark, sf_dir):
     frames = metrics.evaluate(fx.chunk_probs(spark, sf_dir), fx.MAPPING, EvaluationSettings(n_classes=C))
-    sizes = [df.agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(name).alias("frame"), "num_rows") for name, df in frames.items()]
-    both = sizes[0]
-    for size in sizes[1:]:
-        both = both.union(size)
-    return both
+    return reduce(DataFrame.unionByName, [_frame_rows(name, df) for name, df in frames.items()])
 
 
 # --- learning --------------------------------------------------------------------------

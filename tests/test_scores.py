@@ -2,6 +2,7 @@
 
 import math
 import random
+from fractions import Fraction
 
 import pytest
 from conftest import rows
@@ -213,6 +214,48 @@ def test_score_metrics(spark, scored, pieces):
         assert sorted(r[1] for r in pr if r[0] == c and r[1] is not None) == pytest.approx(sorted(s for s, _, _ in curve))
 
 
+def thinned(curve, on_line):
+    """Points of a curve, one after the other, without those that lie between their neighbours."""
+    kept = curve[:1]
+    for here, following in zip(curve[1:], curve[2:] + [None]):
+        if following is None or not on_line(kept[-1], here, following):
+            kept.append(here)
+    return kept
+
+
+@pytest.mark.parametrize("pieces", ["1", "5"])
+def test_thin_curves_keep_their_corners(spark, pieces):
+    rng = random.Random(3)
+    # Runs of hits and of misses, equal scores among them, and a class that is always right.
+    data = [(int(rng.random() < i % 90 / 90), 0, [1 - (i // 2) / 200, (i // 2) / 200]) for i in range(300)] + [(2, 0, [0.1, 0.2])]
+    data = [(t, p, scores + [1.0 if t == 2 else 0.0]) for t, p, scores in data]
+    df = spark.createDataFrame(data, PRED)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", pieces)
+    try:
+        roc, pr = ([tuple(r) for r in fn(df, thin=True).collect()] for fn in (metrics.roc_curve, metrics.pr_curve))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+    def cross(a, b, c):
+        return (b[1] - a[1]) * (c[2] - b[2]) == (b[2] - a[2]) * (c[1] - b[1])
+
+    for c in (0, 1, 2):
+        all_points = [(None, Fraction(0), Fraction(0))] + [(s, Fraction(tp), Fraction(fp)) for s, tp, fp in points(data, c)]
+        want = thinned(all_points, cross)
+        pos, neg = sum(t == c for t, _, _ in data), sum(t != c for t, _, _ in data)
+        assert c == 2 or len(want) < len(all_points)
+        mine = sorted((r[1], r[3], r[2]) for r in roc if r[0] == c and r[1] is not None)
+        assert sum(mine, ()) == pytest.approx(sum(sorted((s, float(tp) / pos, float(fp) / neg) for s, tp, fp in want[1:]), ()))
+        level = [(None, Fraction(0), Fraction(1))] + [(s, tp, tp / (tp + fp)) for s, tp, fp in all_points[1:]]
+        straight = lambda a, b, d: a[1] == b[1] == d[1] or a[2] == b[2] == d[2]
+        whole = lambda line: sum((b[1] - a[1]) * (a[2] + b[2]) / 2 for a, b in zip(line, line[1:]))
+        want = thinned(level, straight)
+        assert whole(want) == whole(level)
+        got = sorted((r[1], r[3], r[2]) for r in pr if r[0] == c and r[1] is not None)
+        assert sum(got, ()) == pytest.approx(sum(sorted((s, float(tp) / pos, float(p)) for s, tp, p in want[1:]), ()))
+
+
 def test_macro_is_unknown_when_a_class_is(spark, scored):
     _, df = scored
     assert metrics.roc_auc_macro(df).first()[0] is None and metrics.average_precision_macro(df).first()[0] is None

@@ -11,7 +11,7 @@ from reedbed.plans import fixtures as fx
 from reedbed.plans import sql as q
 from reedbed.plans.registry import query
 from reedbed.session import scratch_dir
-from reedbed.sources import artifacts, embeddings, recordings
+from reedbed.sources import artifacts, embeddings, recordings, versions
 from reedbed.sources.tables import write_table
 
 # Fixed value: at the usual 100 no species of the fixture is rare.
@@ -167,7 +167,11 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     kind = F.when(F.col("is_held"), "npz").otherwise("pkl")
     rows = fx.features(spark, sf_dir).withColumn("format", kind)
-    kept, removed = embeddings.retain_features(rows, rows.filter("class_label < 5").select("id"), ["npz"])
+    # Stored, rewritten without the unwanted rows, and read back.
+    root, by = scratch_dir(spark, "retained"), ["class_label"]
+    versions.create_versions(rows, root, by)
+    _, removed = versions.rewrite_retained(spark, root, by, rows.filter("class_label < 5").select("id"), ["npz"])
+    kept = versions.read_version(spark, root).select(*removed.columns)
     both = kept.withColumn("status", F.lit("kept")).unionByName(removed.withColumn("status", F.lit("removed")))
     return both.select("id", "chunk_index", "format", "status")
 

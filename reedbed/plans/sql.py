@@ -200,8 +200,8 @@ failed AS (SELECT o_orderkey AS id FROM orders WHERE o_orderpriority = '1-URGENT
 
 TEST_IDS = cleaned("first") + """,
 test_ids AS (
-  SELECT id, class_label_single AS label, species_name_single AS species_name, CAST(10 + id % 50 AS DOUBLE) AS duration_seconds
-  FROM cleaned)"""
+  SELECT id, class_label_single AS label, species_name_single AS species_name, o_totalprice AS duration_seconds
+  FROM cleaned JOIN orders ON o_orderkey = id)"""
 
 
 def key(id_expr: str, seed: int = 42) -> str:

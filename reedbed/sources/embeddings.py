@@ -179,7 +179,7 @@ def retain_features(
 ) -> tuple[DataFrame, DataFrame]:
     """``(kept, removed)`` rows by exact id and, if given, by format.
 
-    Rewriting the store is left to the caller, who writes ``kept`` to a new place. An
+    ``versions.rewrite_retained`` keeps the result as a new version of a stored table. An
     empty keep list would remove everything and needs ``allow_empty_keep``.
     """
     ids = keep_ids.select(F.trim(F.col(id_col).cast("string")).alias("_keep")).distinct()

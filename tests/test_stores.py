@@ -8,7 +8,7 @@ from conftest import rows
 
 from reedbed.config import EmbeddingSettings
 from reedbed.operators import joins, monitor
-from reedbed.sources import artifacts, embeddings
+from reedbed.sources import artifacts, embeddings, versions
 from reedbed.session import scratch_dir
 from reedbed.sources.tables import read_table, write_table
 from reedbed.streaming import jobs
@@ -107,6 +107,43 @@ def test_retention_is_by_exact_id(spark):
     assert kept.count() == 0 and removed.count() == 4
 
 
+def test_only_partitions_that_lose_rows_are_rewritten(spark, tmp_path, monkeypatch):
+    root, by = str(tmp_path / "kept features"), ["part", "format"]
+    data = [(i, f"0{i // 10}", "npz" if i % 2 else "p k:l") for i in range(40)]
+    df = spark.createDataFrame(data, "id bigint, part string, format string")
+    assert versions.create_versions(df, root, by) == 0
+    with pytest.raises(ValueError, match="has versions"):
+        versions.create_versions(df, root, by)
+    old, _ = versions.version_folders(spark, root, 0)
+    assert len(old) == 8
+
+    keep = ids(spark, *[i for i in range(40) if i not in (3, 5, 32)])
+    publish = versions._publish
+    monkeypatch.setattr(versions, "_publish", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        versions.rewrite_retained(spark, root, by, keep)
+    assert versions.latest_version(spark, root) == 0
+    assert rows(versions.read_version(spark, root), "id", "part", "format") == sorted(data, key=str)
+
+    monkeypatch.setattr(versions, "_publish", publish)
+    version, removed = versions.rewrite_retained(spark, root, by, keep)
+    assert version == 1 and rows(removed, "id") == [(3,), (32,), (5,)]
+    new, layout = versions.version_folders(spark, root, 1)
+    assert layout == df.schema
+    assert sorted(set(old) - set(new)) == [f for f in old if "part=00/format=npz" in f or ("part=03" in f and "npz" not in f)]
+    assert rows(versions.read_version(spark, root), "id", "part", "format") == sorted([r for r in data if r[0] not in (3, 5, 32)], key=str)
+    assert versions.read_version(spark, root, 0).count() == 40
+
+    assert versions.rewrite_retained(spark, root, by, keep)[0] == 1  # nothing more to lose
+    with pytest.raises(ValueError, match="empty keep list"):
+        versions.rewrite_retained(spark, root, by, ids(spark).limit(0))
+    version, removed = versions.rewrite_retained(spark, root, by, ids(spark).limit(0), allow_empty_keep=True)
+    assert version == 2 and removed.count() == 37
+    empty = versions.read_version(spark, root)
+    assert empty.count() == 0 and empty.columns == df.columns
+    assert versions.rewrite_retained(spark, root, by, keep)[0] == 2
+
+
 def test_merge_fills_missing_columns(spark):
     both = embeddings.merge_feature_sources(ids(spark, 1), feature_rows(spark, (2, 0)).select("id", "species_name"))
     assert rows(both, "id", "species_name") == [(1, None), (2, "s2")]
@@ -118,6 +155,38 @@ def test_audio_inventory_counts_digit_names_only(spark, tmp_path):
     assert rows(artifacts.scan_audio_inventory(spark, str(tmp_path), ".wav"), "id") == [(5,), (9,)]
 
 
+def test_audio_inventory_goes_down_all_folders(spark, tmp_path):
+    wanted = []
+    for i, folder in enumerate((".", "a b", "a b/c%20d", "a b/c%20d/e", "x/y/z", "empty", "_hidden", "x/.hid")):
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        if folder != "empty":
+            for n in range(3):
+                (tmp_path / folder / f"{10 * i + n}.wav").write_bytes(b"x")
+            (tmp_path / folder / f"{i}9.WAV").write_bytes(b"x")
+        if folder not in ("empty", "_hidden", "x/.hid"):
+            wanted += [10 * i + n for n in range(3)]
+    (tmp_path / "77.wav").mkdir()
+    found = artifacts.scan_audio_inventory(spark, str(tmp_path), "wav")
+    assert sorted(r["id"] for r in found.collect()) == sorted(wanted)
+    # The same as Spark's own listing, which holds all file states in the driver.
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").option("recursiveFileLookup", True).load(str(tmp_path))
+    assert rows(artifacts.ids_from_paths(listed.select("path"), "wav"), "id") == rows(found, "id")
+    with pytest.raises(Exception, match="missing"):
+        artifacts.scan_audio_inventory(spark, str(tmp_path / "missing"), "wav")
+
+
+def test_the_manifest_notes_what_came_and_went(spark, tmp_path):
+    manifest = str(tmp_path / "manifest")
+    scan = lambda *values: rows(artifacts.update_inventory(ids(spark, *values), manifest), "id", "change")
+    assert artifacts.inventory_ids(spark, manifest).count() == 0
+    assert scan(1, 2, 2) == [(1, "added"), (2, "added")]
+    assert scan(2, 1) == []
+    assert scan(2, 3) == [(1, "gone"), (3, "added")]
+    assert scan(1, 2, 3) == [(1, "added")]
+    assert rows(artifacts.inventory_ids(spark, manifest), "id") == [(1,), (2,), (3,)]
+    assert len(list((tmp_path / "manifest").glob("scan=*"))) == 3
+
+
 def test_split_ids_are_read_back_alone_or_together(spark, tmp_path):
     given = spark.createDataFrame([(1, "train"), (2, "val"), (3, "test")], "id bigint, split string")
     path = str(tmp_path / "ids")

@@ -25,6 +25,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from reedbed.llm.common import keyed_text, materialize, text_batches
 from reedbed.llm.components import components
+from reedbed.session import bound_batches
 
 WORDS, PERCENT = 5, 75
 #: MinHash samples in bands: a pair at 75 % meets in no bucket with probability (1 - 0.75 ** 4) ** 32 = 5e-6.
@@ -382,6 +383,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     A link is lost only if a pair meets in no bucket (5e-6 at the threshold, less above) or its sketches
     mislead (2e-7 there), and then only if no other way joins the two.
     """
+    # A row may hold two blocks of sets, so the rows of a batch are bounded by their bytes.
+    bound_batches(docs.sparkSession)
     source = keyed_text(docs, key, text)
     marked = source.select(F.struct("key", F.xxhash64("text").alias("mark")).alias("key"), "text")
     every = materialize(_sketched(marked).select("key.key", "key.mark", "size", "node", "buckets", "sketch"), "sketches")

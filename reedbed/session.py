@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
 
+#: Bytes of a batch between the JVM and a Python worker. Each side holds one or two of every task at once, and Spark's own bound
+#: is 64 MB. A row is never cut, so a larger one is a batch of its own.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None) -> SparkSession:
     """Local session for tests and the bench; on a cluster use the given one."""
@@ -42,6 +47,13 @@ def show_package(spark: SparkSession) -> SparkSession:
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    return bound_batches(spark)
+
+
+def bound_batches(spark: SparkSession) -> SparkSession:
+    """Bound the bytes of Arrow batches, unless the session has a bound of its own."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     return spark
 
 

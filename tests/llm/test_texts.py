@@ -15,6 +15,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -22,6 +23,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from reedbed import session
 from reedbed.llm import bpe, chat, decontaminate, extract, language, merkle, near_dup, secret_scan, shards, token_counts
 from reedbed.llm.common import tokenizer_path
 
@@ -563,6 +565,21 @@ def test_near_duplicates_with_repeated_rows_null_keys_and_other_columns(spark):
     assert got == {(5, 56, 3, False): 3000, (6, 56, 3, False): 3000, (3, 55, 3, True): 1, (None, 55, 3, False): 1, (None, 1, None, False): 1, (None, 0, None, False): 1, (9, 0, 9, True): 1}
 
 
+def test_batches_to_workers_are_bounded_by_their_bytes(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    sizes = lambda: [r.n for r in spark.range(0, 24, 1, 1).selectExpr("repeat('x', 1 << 20) text").mapInArrow(lambda bs: (pa.record_batch({"n": [b.nbytes]}) for b in bs), "n long").collect()]
+    held = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        near_dup.near_duplicates(texts(spark, ["a b c", "a b c"])).count()
+        assert len(sizes()) > 4 and max(sizes()) <= session.BATCH_BYTES + (2 << 20)
+        spark.conf.set(name, str(64 << 20))
+        near_dup.near_duplicates(texts(spark, ["a b c", "a b c"])).count()
+        assert len(sizes()) == 1
+    finally:
+        spark.conf.unset(name) if held is None else spark.conf.set(name, held)
+
+
 def test_near_duplicates_of_a_group_that_pivots_do_not_join(spark, monkeypatch):
     # Chains: each text shares enough with the next one only, so no member is linked to all.
     monkeypatch.setattr(near_dup, "BLOCK", 16)

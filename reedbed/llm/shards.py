@@ -4,7 +4,8 @@ Texts are encoded and cut into sequences of one length, the last of a text fille
 numbered, and a keyed Feistel network, walked until it stays within their number, permutes the numbers: it
 gives every sequence its slot in training order without a sort. A slot's file and place are plain arithmetic, as
 all records have one size, so a reader starts anywhere and reads on. Sequences are dealt out by ranges of slots, and
-each task writes the files of its range one after the other.
+each task writes the files of its range one after the other. This takes a few turns, each with its part of the files, so
+that only a part of the sequences is in a shuffle at any time.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import hashlib
 import math
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from reedbed.llm.bpe import KNOWN_PATTERN, Bpe, read_ranks
-from reedbed.llm.common import keyed_text, scratch_dir, text_batches
+from reedbed.llm.common import keyed_text, materialize, scratch_dir, text_batches
+from reedbed.session import passing_shuffles
 
 #: Tokens of a record, records of a file (16 MB), and files of a task where there are very many.
 LENGTH, RECORDS, FILES = 256, 32_640, 16
+#: Turns in which the files are written; each reads the written sequences once and shuffles its part of them.
+TURNS = 2
 ROUNDS = 6
 _PRIME = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -43,7 +47,7 @@ class LibraryBpe(Bpe):
         self.library = tiktoken.Encoding("ranks", pat_str=KNOWN_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        return self.library.encode_ordinary(piece.decode())
+        return self.library._encode_single_piece(piece)
 
 
 def load(path: str) -> LibraryBpe:
@@ -130,6 +134,13 @@ def _sequences(source: DataFrame, ranks_path: str, length: int, width: int) -> D
     return source.mapInArrow(run, StructType([source.schema["key"], StructField("part", LongType()), StructField("ids", BinaryType())]))
 
 
+def unpacked(packed: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each element holds, and the ids of all, one after the other."""
+    packed = packed.cast(pa.large_binary())
+    ends = np.frombuffer(packed.buffers()[1], np.int64)[packed.offset : packed.offset + len(packed) + 1]
+    return np.diff(ends) // width, np.frombuffer(packed.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(f"<u{width}")
+
+
 def _numbered(parts: DataFrame) -> DataFrame:
     """With ``task`` and ``within``, which number the rows of each task: set by the high and low bits of Spark's row id."""
     row = F.monotonically_increasing_id()
@@ -150,6 +161,9 @@ def write_shards(docs: DataFrame, ranks_path: str, folder: str, seed: str = "0",
     The sequences are written once, so that a lost executor changes no number. Then they are dealt out by ranges of
     slots, which are even by construction, and sorted. A file is put together by one task, under another name, and
     renamed at the end: a file that is there is whole. A task that is run again skips a file of the same content.
+
+    The files are there when this returns. They are written in ``TURNS`` turns, and the shuffle files of a turn are deleted
+    when its files and rows are written.
     """
     spark = docs.sparkSession
     width = id_width(len(read_ranks(ranks_path)))
@@ -160,19 +174,25 @@ def write_shards(docs: DataFrame, ranks_path: str, folder: str, seed: str = "0",
     held = spark.read.schema(numbered.schema).parquet(path)
     # One row for each task that made sequences: their offsets are sums over few rows.
     tasks = [(r.task, r.n) for r in held.groupBy("task").agg(F.count("*").alias("n")).orderBy("task").collect()]
-    offsets, total = {}, 0
-    for task, n in tasks:
-        offsets[task], total = total, total + n
+    known = np.array([task for task, _ in tasks], np.int64)
+    offsets, total = np.cumsum([0, *(n for _, n in tasks)]), sum(n for _, n in tasks)
     shards = -(-total // records)
     schema = StructType([StructField(key, source.schema["key"].dataType), *(StructField(*f) for f in RESULT)])
     if not total:
         return spark.createDataFrame([], schema)
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            first = np.array([offsets[t] for t in batch.column("task").to_pylist()], np.int64)
-            slot = slots(first + batch.column("within").to_numpy(), total, seed)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "part", "ids")), pa.array(slot)], ["key", "part", "ids", "slot"])
+    def assign(low: int, high: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        """Adds the slots, and keeps those from ``low`` up to ``high``."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                first = offsets[np.searchsorted(known, batch.column("task").to_numpy())]
+                slot = slots(first + batch.column("within").to_numpy(), total, seed)
+                here = np.flatnonzero((slot >= low) & (slot < high))
+                kept = batch.select(["key", "part", "ids"]).take(pa.array(here))
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(slot[here])], ["key", "part", "ids", "slot"])
+
+        return run
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by slot."""
@@ -191,7 +211,7 @@ def write_shards(docs: DataFrame, ranks_path: str, folder: str, seed: str = "0",
             at = slot - now * records
             checks = [zlib.crc32(data[i, 1 : 1 + data[i, 0]].tobytes()) for i in at]
             arrays = [table.column("key").combine_chunks(), table.column("part").combine_chunks(), pa.array(slot), pa.array(np.full(len(slot), now, np.int64)), pa.array(at * stride(length, width)), pa.array(data[at, 0].astype(np.int32)), pa.array(checks, pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, [key, *(name for name, _ in RESULT)])
+            return pa.RecordBatch.from_arrays(arrays, ["key", *(name for name, _ in RESULT)])
 
         for batch in batches:
             slot = batch.column("slot").to_numpy()
@@ -204,16 +224,25 @@ def write_shards(docs: DataFrame, ranks_path: str, folder: str, seed: str = "0",
                         yield finish()
                     now, rows = int(slot[a] // records), []
                     data = np.zeros((min(records, total - now * records), length + 1), f"<u{width}")
-                for i, ids in zip(slot[a:b].tolist(), batch.column("ids").slice(a, b - a)):
-                    row = data[i - now * records]
-                    row[0] = ids.as_buffer().size // width
-                    row[1 : 1 + row[0]] = np.frombuffer(ids.as_buffer(), f"<u{width}")
+                sizes, ids = unpacked(batch.column("ids").slice(a, b - a), width)
+                filled = np.zeros((b - a, length), data.dtype)
+                filled[np.arange(length) < sizes[:, None]] = ids
+                data[slot[a:b] - now * records, 0], data[slot[a:b] - now * records, 1:] = sizes, filled
                 rows.append(batch.slice(a, b - a).select(["key", "part", "slot"]))
         if rows:
             yield finish()
 
-    slotted = held.select("key", "part", "ids", "task", "within").mapInArrow(assign, StructType([*held.select("key", "part", "ids").schema, StructField("slot", LongType())]))
-    ranges = min(shards, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // FILES)))
-    shard = F.expr(f"slot div {records}L")
-    dealt = slotted.repartitionById(ranges, (shard * ranges / F.lit(shards)).cast("int")).sortWithinPartitions("slot")
-    return dealt.mapInArrow(write, schema)
+    whole = held.select("key", "part", "ids", "task", "within")
+    slotted = StructType([*held.select("key", "part", "ids").schema, StructField("slot", LongType())])
+    least = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made = None
+    for turn in range(min(TURNS, shards)):
+        first, end = (shards * t // min(TURNS, shards) for t in (turn, turn + 1))
+        ranges = min(end - first, max(least, -(-(end - first) // FILES)))
+        shard = F.expr(f"slot div {records}L") - first
+        dealt = whole.mapInArrow(assign(first * records, end * records), slotted)
+        dealt = dealt.repartitionById(ranges, (shard * ranges / F.lit(end - first)).cast("int")).sortWithinPartitions("slot")
+        with passing_shuffles(spark):
+            written = materialize(dealt.mapInArrow(write, StructType([StructField("key", source.schema["key"].dataType), *schema.fields[1:]])), "slots")
+        made = written if made is None else made.unionByName(written)
+    return made.toDF(*schema.names)

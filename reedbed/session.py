@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +16,7 @@ _local_scratch: dict[str, str] = {}
 #: is 64 MB. A row is never cut, so a larger one is a batch of its own.
 BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None) -> SparkSession:
@@ -57,6 +60,20 @@ def bound_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def passing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within this block Spark deletes the shuffle files of a query as soon as it has ended."""
+    before = spark.conf.get(_CLEANUP_SETTING, None)
+    spark.conf.set(_CLEANUP_SETTING, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP_SETTING)
+        else:
+            spark.conf.set(_CLEANUP_SETTING, before)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder named in ``spark.checkpoint.dir``.
 

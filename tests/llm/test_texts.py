@@ -9,10 +9,12 @@ import lzma
 import math
 import random
 import re
+import time
 import urllib.parse
 import zipfile
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -307,6 +309,32 @@ def test_shards_of_wide_ids_in_several_ranges(spark, tmp_path, monkeypatch):
         assert (row.shard, row.byte_offset) == shards.place(row.slot, 5, 8, 4)
 
 
+def test_shards_leave_no_shuffle_of_the_ids(spark, tmp_path):
+    values = [" ".join(f"{i * j} words" for j in range(200)) for i in range(100)]
+    docs, folder = texts(spark, values), f"file://{tmp_path}/t"
+    places = list(spark._jsparkSession.sparkContext().env().blockManager().diskBlockManager().localDirsString())
+    held = lambda: {f: f.stat().st_size for p in places for f in Path(p).rglob("shuffle_*.data")}
+    before, setting = held(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    rows = sorted(shards.write_shards(docs, RANKS, folder, "seed", records=50, length=32).collect(), key=lambda r: r.slot)
+    made = sum(2 * r.n_tokens for r in rows)
+    for _ in range(50):
+        left = sum(size for f, size in held().items() if f not in before)
+        if left < made / 4:
+            break
+        time.sleep(0.1)
+    assert len(rows) > 500 and left < made / 4
+    assert spark.conf.get(setting, None) is None
+    read = list(shards.read_records(folder, 0, len(rows), len(rows), 50, 32))
+    assert all(ids.tolist() == LIBRARY.encode_ordinary(values[r.doc_id])[32 * r.part : 32 * r.part + 32] for r, ids in zip(rows, read, strict=True))
+
+
+def test_unpacked_ids_of_a_slice():
+    packed = pa.array([b"\1\0\2\0", b"", b"\3\0", b"\4\1"], pa.binary())
+    for first in range(4):
+        sizes, ids = shards.unpacked(packed.slice(first, 3), 2)
+        assert sizes.tolist() == [2, 0, 1, 1][first : first + 3] and ids.tolist() == [1, 2, 3, 260][[0, 2, 2, 3][first] : [3, 4, 4, 4][first]]
+
+
 def test_leaks_of_narrow_item_types(spark):
     docs = spark.createDataFrame([(1, "here stands the whole question of the test and more")], "doc_id short, text string")
     items = spark.createDataFrame([(3, "stands the whole question of the test")], "item_id short, text string")

@@ -26,6 +26,8 @@ KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+
 SHORT_ENDINGS, LONG_ENDINGS = "stmd", ("re", "ve", "ll")
 #: Above any rank.
 NEVER = 1 << 40
+#: Places for digests of pieces seen once, emptied when a quarter is taken.
+PLACES = 1 << 22
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -201,16 +203,25 @@ class Bpe:
 
 
 class _Pieces(dict):
-    """Packed ids by piece; when full, the older half is let go unless it is asked for again."""
+    """Packed ids by piece; when full, the older half is let go unless it is asked for again.
+
+    A piece is kept when it is seen again, as most are not: it takes a place of one byte first.
+    """
 
     def __init__(self, bpe: Bpe):
         super().__init__()
-        self.bpe, self.older = bpe, {}
+        self.bpe, self.older, self.once, self.taken = bpe, {}, bytearray(PLACES), 0
 
     def __missing__(self, piece: bytes) -> bytes:
         packed = self.older.get(piece)
         if packed is None:
             packed = np.array(self.bpe.encode_piece(piece), "<u4").tobytes()
+            at = hash(piece) % PLACES
+            if not self.once[at]:
+                if self.taken >= PLACES // 4:
+                    self.once, self.taken = bytearray(PLACES), 0
+                self.once[at], self.taken = 1, self.taken + 1
+                return packed
         if len(self) >= self.bpe.cached // 2:
             self.older = dict(self)
             self.clear()

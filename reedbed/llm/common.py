@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from reedbed.session import materialize, scratch_dir
 
-__all__ = ["column", "keyed_text", "partitions_for", "materialize", "scratch_dir", "code_points", "char_classes", "OTHER", "LETTER", "NUMBER", "WHITE", "text_batches", "tokenizer_path"]
+__all__ = ["column", "keyed_text", "partitions_for", "materialize", "scratch_dir", "parted", "code_points", "char_classes", "OTHER", "LETTER", "NUMBER", "WHITE", "text_batches", "tokenizer_path"]
 
 OTHER, LETTER, NUMBER, WHITE = 0, 1, 2, 3
+#: The bitmap of wanted digests has 64 bits for each of 2 to this power words.
+FILTER_WORDS = 18
 _classes: list[np.ndarray] = []
 
 
@@ -39,6 +41,19 @@ def partitions_for(spark: SparkSession, rows: int, rows_each: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / rows_each))
 
 
+def parted(rows: DataFrame, wanted: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose values of these columns ``wanted`` does not hold for sure, and the others, most of which it holds.
+
+    A bitmap of the values' digests goes to all tasks, 2 MB at any size of the input, so a search for exact matches has
+    only the others to shuffle. Nulls are values like any other.
+    """
+    mark = F.xxhash64(*names)
+    word, bit = mark.bitwiseAND(F.lit((1 << FILTER_WORDS) - 1)), F.call_function("shiftright", mark, F.lit(FILTER_WORDS)).bitwiseAND(F.lit(63)).cast("int")
+    words = wanted.groupBy(word.alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    held = (word == F.col("_word")) & (F.call_function("shiftright", F.col("_bits"), bit).bitwiseAND(F.lit(1)) == 1)
+    return rows.join(F.broadcast(words), held, "left_anti"), rows.join(F.broadcast(words), held, "left_semi")
+
+
 def tokenizer_path(name: str) -> str:
     """The place of a public vocabulary file, the default of the tokenizer parameters."""
     import public_tokenizers

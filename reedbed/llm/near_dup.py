@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from reedbed.llm.common import keyed_text, materialize, text_batches
+from reedbed.llm.common import keyed_text, materialize, parted, text_batches
 from reedbed.llm.components import components
 from reedbed.session import bound_batches
 
@@ -39,8 +39,6 @@ SKETCH_BITS = 64 * SKETCH_WORDS
 BLOCK, BLOCK_SHINGLES = 512, 500_000
 #: Shingles whose members are counted in one product of matrices.
 COLUMNS = 4096
-#: The bitmap of wanted sets has 64 bits for each of 2 to this power words.
-FILTER_WORDS = 18
 #: Buckets of more than one part in so many, for each shuffle partition, of all rows are joined without a shuffle.
 PARTS = 4
 
@@ -161,14 +159,11 @@ def _alike(one: str, two: str, percent: int) -> Column:
 def _sets(wanted: DataFrame, source: DataFrame) -> DataFrame:
     """(node, set): the full sets of the wanted (node, mark), packed, made anew from their texts.
 
-    A bitmap of the texts' digests goes to all tasks first, 2 MB at any size of the input, so that other texts are neither
-    read in Python nor shuffled; and rows of equal sets are dropped before the shuffle.
+    A bitmap of the texts' digests goes to all tasks first, so that other texts are neither read in Python nor shuffled;
+    and rows of equal sets are dropped before the shuffle.
     """
     wanted = materialize(wanted, "wanted")
-    word, bit = F.col("mark").bitwiseAND(F.lit((1 << FILTER_WORDS) - 1)), F.call_function("shiftright", F.col("mark"), F.lit(FILTER_WORDS)).bitwiseAND(F.lit(63)).cast("int")
-    words = wanted.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
-    seen = F.call_function("shiftright", F.col("bits"), bit).bitwiseAND(F.lit(1)) == 1
-    rows = source.select("text", F.xxhash64("text").alias("mark")).withColumn("word", word).join(F.broadcast(words), "word").where(seen)
+    rows = parted(source.select("text", F.xxhash64("text").alias("mark")), wanted, "mark")[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_batches(batches):

@@ -15,6 +15,9 @@ _local_scratch: dict[str, str] = {}
 #: Bytes of a batch between the JVM and a Python worker. Each side holds one or two of every task at once, and Spark's own bound
 #: is 64 MB. A row is never cut, so a larger one is a batch of its own.
 BATCH_BYTES = 4 << 20
+#: Rows of a batch of a Parquet scan of texts. Spark's own 4,096 make arrays of many megabytes, for which a heap grows.
+SCAN_ROWS = 512
+_SCAN_SETTING = "spark.sql.parquet.columnarReaderBatchSize"
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -60,6 +63,13 @@ def bound_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_scans(spark: SparkSession) -> SparkSession:
+    """Bound the rows of a scan's batches for long texts, unless the session has a bound of its own."""
+    if spark.conf.get(_SCAN_SETTING, None) is None:
+        spark.conf.set(_SCAN_SETTING, str(SCAN_ROWS))
+    return spark
+
+
 @contextmanager
 def passing_shuffles(spark: SparkSession) -> Iterator[None]:
     """Within this block Spark deletes the shuffle files of a query as soon as it has ended."""

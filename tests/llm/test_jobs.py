@@ -1,11 +1,15 @@
 """The registered queries and the pipeline on the smallest tables."""
 
+import random
+from pathlib import Path
+
 import corpus_pipeline
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from reedbed.llm import near_dup, secret_scan
+from reedbed.llm.common import parted
 from reedbed.llm.queries import ORACLES, QUERIES
 
 
@@ -39,3 +43,68 @@ def test_pipeline_stages(spark, sf_dir):
     assert ids == want
     assert all(r.text == secret_scan.redact(texts[r.doc_id], secret_scan.find_secrets(texts[r.doc_id])[1]) for r in kept.collect())
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf_dir).collect()} == ids
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Runs a job as one over large tables, whose joins shuffle both sides; gives its rows and the MB it shuffled."""
+    name, places = "spark.sql.autoBroadcastJoinThreshold", list(spark._jsparkSession.sparkContext().env().blockManager().diskBlockManager().localDirsString())
+    held = lambda: {f: f.stat().st_size for p in places for f in Path(p).rglob("shuffle_*.data")}
+    before = spark.conf.get(name)
+
+    def run(stage, docs, folder):
+        old = held()
+        rows = stage(spark, docs, folder).collect()
+        return rows, sum(size for f, size in held().items() if f not in old) / 1e6
+
+    spark.conf.set(name, "-1")
+    yield run
+    spark.conf.set(name, before)
+
+
+def test_stages_shuffle_only_documents_that_may_go(spark, tmp_path, shuffled):
+    rng = random.Random(1)
+    # Five words, so one shingle, of many characters that cannot be compressed.
+    plain = [" ".join(rng.randbytes(4000).hex() for _ in range(5)) for _ in range(150)]
+    leak = "a passage of the benchmark that some of the documents hold"
+    docs = [(i, t) for i, t in enumerate(plain)] + [(1000 + i, plain[i].upper()) for i in range(6)] + [(None, plain[0]), (None, plain[1])]
+    docs += [(2000, plain[20] + "0")] * 3 + [(2001, None)] * 2 + [(2002, " ")] * 2 + [(None, None)] * 2 + [(3000, f"{plain[30]} {leak}")]
+    spark.createDataFrame([(0, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs, total = spark.read.parquet(f"{tmp_path}/documents.parquet"), sum(len(t or "") for _, t in docs) / 1e6
+    ids = lambda rows: sorted(((r.doc_id, r.text) for r in rows), key=str)
+    whole = [*enumerate(plain)]
+
+    unique, moved = shuffled(corpus_pipeline.deduplicated, docs, str(tmp_path))
+    ones = [(2000, plain[20] + "0"), *[(2001, None), (2002, " "), (None, None)] * 2, (3000, f"{plain[30]} {leak}")]
+    assert ids(unique) == sorted([*whole, *ones], key=str)
+    assert moved < total / 2
+
+    clean, moved = shuffled(corpus_pipeline.decontaminated, docs, str(tmp_path))
+    assert ids(clean) == ids(docs.where("doc_id IS NULL OR doc_id <> 3000").collect())
+    assert moved < total / 20
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_scan_long_texts_in_small_batches(spark, sf_dir, name, stage):
+    setting, docs = "spark.sql.parquet.columnarReaderBatchSize", spark.read.parquet(f"{sf_dir}/documents.parquet").limit(5)
+    before = spark.conf.get(setting, None)
+    try:
+        spark.conf.unset(setting)
+        stage(spark, docs, sf_dir)
+        assert spark.conf.get(setting) == "512"
+        spark.conf.set(setting, "100")
+        stage(spark, docs, sf_dir)
+        assert spark.conf.get(setting) == "100"
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
+def test_rows_parted_by_a_bitmap(spark):
+    schema = "a long, b string"
+    rows = spark.createDataFrame([(i if i % 10 else None, None if i % 7 == 0 else str(i)) for i in range(1000)], schema).withColumn("c", F.lit(1))
+    for wanted in ([], [(None, None)], [(i, str(i)) for i in range(1, 300, 2)] + [(None, "20"), (1, None), (7, None)]):
+        others, likely = (x.collect() for x in parted(rows, spark.createDataFrame(wanted, schema), "a", "b"))
+        assert sorted(others + likely, key=str) == sorted(rows.collect(), key=str)
+        assert not {(r.a, r.b) for r in others} & {*wanted}
+        assert sum((r.a, r.b) not in {*wanted} for r in likely) < 5
